@@ -1,0 +1,16 @@
+"""Broadcast only what was counted and found small."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DIMENSION_ROWS = 100_000
+
+
+def fits(df: DataFrame, rows: int = DIMENSION_ROWS) -> bool:
+    """Whether a dimension has at most ``rows`` rows; reads no more than that."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def small(df: DataFrame, rows: int = DIMENSION_ROWS) -> DataFrame:
+    """The dimension with a broadcast hint when it is small, else unchanged (shuffled join)."""
+    return F.broadcast(df) if fits(df, rows) else df
