@@ -142,25 +142,26 @@ def derives(docs: DataFrame, sources: DataFrame, key: str, theme: str, date: str
             lag: tuple[int, int] = (180, 365)) -> DataFrame:
     """Documents with the sources dated ``lag`` days before them, and those of the same month.
 
-    A source in the same month counts as parallel, never as an origin. Per day of a theme the
-    sources are summarised once; the band is a range frame over those days.
+    Sources of the same month count as parallel, never as an origin. Per day of a theme the
+    sources are summarised once; the band is a range frame over those days. Keys are numbers.
     """
-    src_days = sources.groupBy(theme, F.to_date(date).alias("_day")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(key).alias("_first"), F.max(key).alias("_last"))
-    want = docs.select(theme, F.to_date(date).alias("_day")).distinct()
-    days = want.join(src_days, [theme, "_day"], "full").withColumn(
-        "_num", F.datediff("_day", F.lit("1970-01-01").cast("date")))
+    asked = docs.select(theme, F.to_date(date).alias("_day"), F.lit(None).cast("long").alias("_src"))
+    given = sources.select(theme, F.to_date(date).alias("_day"), F.col(key).cast("long").alias("_src"))
+    days = asked.unionByName(given).groupBy(theme, "_day").agg(
+        F.count("_src").alias("_n"), F.min("_src").alias("_first"), F.max("_src").alias("_last"))
+    days = days.withColumn("_num", F.datediff("_day", F.lit("1970-01-01").cast("date")))
+    seen = F.when(F.col("_n") > 0, F.col("_num"))
     band = Window.partitionBy(theme).orderBy("_num").rangeBetween(-lag[1], -lag[0])
     month = Window.partitionBy(theme, F.trunc("_day", "month"))
     found = days.select(
         theme, "_day", F.sum("_n").over(band).alias("origins"),
-        F.min_by("_first", "_num").over(band).alias("first_origin"),
-        F.max_by("_last", "_num").over(band).alias("last_origin"),
+        F.min_by("_first", seen).over(band).alias("first_origin"),
+        F.max_by("_last", seen).over(band).alias("last_origin"),
         F.sum("_n").over(month).alias("_month"))
     rows = docs.withColumn("_day", F.to_date(date)).join(found, [theme, "_day"])
     return rows.select(
         F.col(key).alias("src"), theme, F.coalesce("origins", F.lit(0)).alias("origins"),
-        "first_origin", "last_origin", (F.coalesce("_month", F.lit(0)) > 0).alias("parallel"))
+        "first_origin", "last_origin", F.col("_month").alias("parallel"))
 
 
 def linkage_class(df: DataFrame, column: str, classes: dict[str, str] | None = None) -> DataFrame:
