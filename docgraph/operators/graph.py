@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docgraph.functions import fixed
 from docgraph.operators import rank
-from docgraph.plans import sizes, storage
+from docgraph.plans import paging, storage
 
 
 def renamed(rel: Column, names: dict[str, str] | None = None) -> Column:
@@ -29,19 +29,8 @@ def reverse(edges: DataFrame) -> DataFrame:
 
 
 def pages(views: DataFrame, size: int = 1000) -> DataFrame:
-    """Sorted listings per node and section, cut into pages of about ``size`` entries.
-
-    Only nodes with more than ``size`` entries have several pages; their entries are spread by a
-    hash, so no task collects the list of a hub.
-    """
-    keys = ["node", "direction", "section"]
-    hubs = views.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size)
-    hubs = sizes.small(hubs.select(*keys, F.ceil(F.col("_n") / size).alias("_pages")))
-    digits = F.conv(F.substring(F.md5(F.col("other").cast("string")), 1, 8), 16, 10).cast("long")
-    spread = views.join(hubs, keys, "left").withColumn(
-        "page", F.coalesce(F.pmod(digits, F.col("_pages")), F.lit(0)))
-    return spread.groupBy(*keys, "page").agg(
-        F.count(F.lit(1)).alias("entries"), F.sort_array(F.collect_list("other")).alias("others"))
+    """Sorted listings per node and section, in pages of about ``size`` entries."""
+    return paging.paged(views, ["node", "direction", "section"], "other", F.col("other"), size)
 
 
 def degree(edges: DataFrame, rels: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.operators import rank
+from docgraph.plans import paging
 
 
 def stats(docs: DataFrame, theme: str, date: str, score: str, high: int = 4) -> DataFrame:
@@ -31,8 +32,8 @@ def bundle(docs: DataFrame, edges: DataFrame, theme: str, key: str, level: str,
            issuer: str, score: str, k: int = 5) -> DataFrame:
     """One nested row of figures per theme: sizes, maps of regions and issuers, best documents.
 
-    What grows with the corpus (members, edges) stays in the tables the row counts; the row nests
-    only what the registries or ``k`` bound.
+    The row nests what the registries or ``k`` bound; documents and relations, which grow with
+    the corpus, are nested by ``bundle_pages``.
     """
     sizes = docs.groupBy(theme).agg(F.count(F.lit(1)).alias("documents"))
     cells = docs.groupBy(theme, level, region).agg(F.count(F.lit(1)).alias("n"))
@@ -54,6 +55,14 @@ def bundle(docs: DataFrame, edges: DataFrame, theme: str, key: str, level: str,
                   [sizes, regions, issuers, best, links]).fillna(0, ["relations"])
 
 
+def bundle_pages(docs: DataFrame, edges: DataFrame, theme: str, key: str, cols: list[str],
+                 size: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """The documents and the relations of each theme as nested pages."""
+    policies = paging.paged(docs, [theme], key, F.struct(key, *cols), size)
+    relations = paging.paged(edges, [theme], "src", F.struct("src", "dst", "rel"), size)
+    return policies, relations
+
+
 def overlap(tags: DataFrame, themes: str) -> DataFrame:
     """How many documents carry both themes, for every pair of themes that occurs.
 

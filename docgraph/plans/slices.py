@@ -11,13 +11,12 @@ carry over the slice borders is joined back by (key, slice), on which the rows a
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAIN = "_grain"
+GRAIN = "_sl_grain"
 
 
-def id_block(col: str | Column, width: int = 1 << 16) -> Column:
-    """Slice number for an order by a dense numeric id."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.floor(c / F.lit(width)).cast("long")
+def id_block(col: str, bits: int = 16) -> Column:
+    """Slice number for an order by a dense numeric id: blocks of 2**bits ids."""
+    return F.shiftright(F.col(col).cast("long"), bits)
 
 
 def _key_struct(order: list[str]) -> Column:
@@ -28,20 +27,20 @@ def ordinal(df: DataFrame, keys: list[str], order: list[str], grain: Column,
             name: str = "ordinal", size: str | None = None) -> DataFrame:
     """Row number by ``order`` in each group, and on request the group size."""
     rows = df.withColumn(GRAIN, grain)
-    counts = rows.groupBy(*keys, GRAIN).agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(*keys, GRAIN).agg(F.count(F.lit(1)).alias("_sl_n"))
     by_key = Window.partitionBy(*keys)
     before = by_key.orderBy(GRAIN).rowsBetween(Window.unboundedPreceding, -1)
     carry = counts.select(
         *keys, GRAIN,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(by_key).alias("_size"))
+        F.coalesce(F.sum("_sl_n").over(before), F.lit(0)).alias("_sl_before"),
+        F.sum("_sl_n").over(by_key).alias("_sl_size"))
     inside = Window.partitionBy(*keys, GRAIN).orderBy(*order)
-    out = (rows.withColumn("_row", F.row_number().over(inside))
+    out = (rows.withColumn("_sl_row", F.row_number().over(inside))
            .join(carry, [*keys, GRAIN])
-           .withColumn(name, (F.col("_before") + F.col("_row")).cast("long")))
+           .withColumn(name, (F.col("_sl_before") + F.col("_sl_row")).cast("long")))
     if size:
-        out = out.withColumn(size, F.col("_size").cast("long"))
-    return out.drop(GRAIN, "_row", "_before", "_size")
+        out = out.withColumn(size, F.col("_sl_size").cast("long"))
+    return out.drop(GRAIN, "_sl_row", "_sl_before", "_sl_size")
 
 
 def neighbour(df: DataFrame, keys: list[str], order: list[str], grain: Column,
@@ -52,34 +51,34 @@ def neighbour(df: DataFrame, keys: list[str], order: list[str], grain: Column,
     inside = Window.partitionBy(*keys, GRAIN).orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(GRAIN)
     if ahead:
-        rows = rows.withColumn("_near", F.lead(value).over(inside))
+        rows = rows.withColumn("_sl_near", F.lead(value).over(inside))
         edge = F.min_by(value, _key_struct(order))
-        carried = F.lead("_edge").over(across)
+        carried = F.lead("_sl_edge").over(across)
     else:
-        rows = rows.withColumn("_near", F.lag(value).over(inside))
+        rows = rows.withColumn("_sl_near", F.lag(value).over(inside))
         edge = F.max_by(value, _key_struct(order))
-        carried = F.lag("_edge").over(across)
-    carry = (df.withColumn(GRAIN, grain).groupBy(*keys, GRAIN).agg(edge.alias("_edge"))
-             .select(*keys, GRAIN, carried.alias("_far")))
-    out = rows.join(carry, [*keys, GRAIN]).withColumn("_hit", F.coalesce("_near", "_far"))
+        carried = F.lag("_sl_edge").over(across)
+    carry = (df.withColumn(GRAIN, grain).groupBy(*keys, GRAIN).agg(edge.alias("_sl_edge"))
+             .select(*keys, GRAIN, carried.alias("_sl_far")))
+    out = rows.join(carry, [*keys, GRAIN]).withColumn("_sl_hit", F.coalesce("_sl_near", "_sl_far"))
     for i, new in enumerate(cols.values()):
-        out = out.withColumn(new, F.col("_hit")[f"c{i}"])
-    return out.drop(GRAIN, "_near", "_far", "_hit")
+        out = out.withColumn(new, F.col("_sl_hit")[f"c{i}"])
+    return out.drop(GRAIN, "_sl_near", "_sl_far", "_sl_hit")
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str], grain: Column,
            value: Column, name: str) -> DataFrame:
     """The last non-null ``value`` up to and including each row (as-of)."""
-    rows = df.withColumn(GRAIN, grain).withColumn("_value", value)
+    rows = df.withColumn(GRAIN, grain).withColumn("_sl_value", value)
     inside = (Window.partitionBy(*keys, GRAIN).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, 0))
     before = (Window.partitionBy(*keys).orderBy(GRAIN)
               .rowsBetween(Window.unboundedPreceding, -1))
     carry = (rows.groupBy(*keys, GRAIN)
-             .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), _key_struct(order)))
-                  .alias("_edge"))
-             .select(*keys, GRAIN, F.last("_edge", ignorenulls=True).over(before).alias("_far")))
-    return (rows.withColumn("_near", F.last("_value", ignorenulls=True).over(inside))
+             .agg(F.max_by("_sl_value", F.when(F.col("_sl_value").isNotNull(), _key_struct(order)))
+                  .alias("_sl_edge"))
+             .select(*keys, GRAIN, F.last("_sl_edge", ignorenulls=True).over(before).alias("_sl_far")))
+    return (rows.withColumn("_sl_near", F.last("_sl_value", ignorenulls=True).over(inside))
             .join(carry, [*keys, GRAIN])
-            .withColumn(name, F.coalesce("_near", "_far"))
-            .drop(GRAIN, "_value", "_near", "_far"))
+            .withColumn(name, F.coalesce("_sl_near", "_sl_far"))
+            .drop(GRAIN, "_sl_value", "_sl_near", "_sl_far"))
