@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
-    """Count and percent of total per class. The total runs over the few class rows only."""
+    """Count and percent of total per class; the total is a count that reads no column."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("_total"))
-    return counts.join(F.broadcast(total)).withColumn(  # one row
-        "pct", F.round(100.0 * F.col("n") / F.col("_total"), 1)).drop("_total")
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.withColumn("pct", F.round(100.0 * F.col("n") / total, 1))
 
 
 def buckets(df: DataFrame, column: str, edges: list[tuple[str, float]], rest: str) -> DataFrame:
@@ -26,10 +25,8 @@ def buckets(df: DataFrame, column: str, edges: list[tuple[str, float]], rest: st
 
 def zero_filled(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """Counts for every allowed value, zero where it does not occur."""
-    spark = df.sparkSession
-    dim = spark.createDataFrame([(v,) for v in values], f"{column} string")
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return F.broadcast(dim).join(counts, column, "left").fillna(0, ["n"])
+    sums = [F.count_if(F.col(column) == v).alias(v) for v in values]
+    return df.agg(*sums).unpivot([], values, column, "n")
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
@@ -66,10 +63,10 @@ def edge_types(edges: DataFrame, rel: str, types: list[str]) -> DataFrame:
 
 def density(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges per thousand possible directed edges."""
-    e = edges.agg(F.count(F.lit(1)).alias("edges"))
-    n = nodes.agg(F.count(F.lit(1)).alias("nodes"))
+    n = nodes.agg(F.count(F.lit(1))).scalar()
+    sums = edges.agg(F.count(F.lit(1)).alias("edges")).withColumn("nodes", n)
     possible = F.col("nodes") * (F.col("nodes") - 1)
-    return e.join(F.broadcast(n)).withColumn(  # one row each
+    return sums.withColumn(
         "per_mille", F.round(F.try_divide(F.col("edges") * 1000.0, possible), 6))
 
 

@@ -14,8 +14,8 @@ def ordinal_claims(docs: DataFrame, key: str, kind: list[str], date: str, claim:
     """
     grain = F.trunc(date, "month")
     rows = docs.withColumn("_claim", claim)
-    rows = slices.neighbour(rows, kind, [date, key], grain, {key: "predecessor"})
-    rows = slices.ordinal(rows, kind, [date, key], grain, "ordinal")
+    rows = slices.sliced(rows, kind, [date, key], grain, ordinal="ordinal",
+                         previous={key: "predecessor"})
     first = docs.groupBy(*kind).agg(F.min_by(key, F.struct(date, key)).alias("first"))
     return (rows.filter("_claim").drop("_claim").join(first, kind)
             .withColumn("holds", F.col("ordinal") == 1))

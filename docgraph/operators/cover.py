@@ -21,10 +21,10 @@ def matrix(docs: DataFrame, region: str, score: str, issuer: str, date: str, hig
 
 def summary(docs: DataFrame, level: str, region: str, regions: DataFrame) -> DataFrame:
     """Per level the documents and how many of all regions are covered."""
-    total = regions.agg(F.count_distinct(region).alias("regions"))
+    total = regions.agg(F.count_distinct(region)).scalar()
     found = docs.groupBy(level).agg(F.count(F.lit(1)).alias("documents"),
                                     F.count_distinct(region).alias("covered"))
-    return found.join(F.broadcast(total)).withColumn(  # one row
+    return found.withColumn("regions", total).withColumn(
         "pct", F.round(100.0 * F.col("covered") / F.col("regions"), 1))
 
 
@@ -36,11 +36,11 @@ def gaps(docs: DataFrame, theme: str, themes: DataFrame, region: str, regions: D
     taken off that list: no product of themes and regions is built.
     """
     whole = regions.groupBy(macro).agg(F.array_sort(F.collect_set(region)).alias("_all"))
-    listed = whole.agg(F.collect_list(F.struct(macro, "_all")).alias("_macros"))
+    listed = whole.agg(F.collect_list(F.struct(macro, "_all"))).scalar()
     present = docs.select(theme, region).distinct().groupBy(theme).agg(
         F.collect_set(region).alias("_present"))  # bounded by the region registry
-    rows = themes.select(theme).distinct().join(present, theme, "left").join(
-        F.broadcast(listed))  # one row
+    rows = themes.select(theme).distinct().join(present, theme, "left").withColumn(
+        "_macros", listed)
     out = rows.select(theme, "_present", F.inline("_macros"))
     empty = F.array().cast(regions.select(F.array(region)).schema[0].dataType)
     return (out.withColumn("missing", F.array_except("_all", F.coalesce("_present", empty)))

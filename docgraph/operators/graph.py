@@ -72,15 +72,14 @@ def chain(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     steps = edges.filter("src is not null and dst is not null and src <> dst").select(
         "src", "dst").distinct()
     steps = storage.cut(steps)
-    known = storage.cut(steps.withColumn("depth", F.lit(1).cast("long")))
-    layers, frontier, depth = [known], known, 1
+    frontier, depth = steps.withColumn("depth", F.lit(1).cast("long")), 1
+    layers = [frontier]
     hop = steps.select(F.col("src").alias("dst"), F.col("dst").alias("_next"))
     while max_depth is None or depth < max_depth:
         depth += 1
+        known = reduce(DataFrame.unionByName, layers).select("src", "dst")
         reached = (frontier.join(hop, "dst").select("src", F.col("_next").alias("dst"))
-                   .filter("src <> dst").distinct())
-        for layer in layers:
-            reached = reached.join(layer.select("src", "dst"), ["src", "dst"], "left_anti")
+                   .filter("src <> dst").distinct().join(known, ["src", "dst"], "left_anti"))
         frontier = storage.cut(reached.withColumn("depth", F.lit(depth).cast("long")))
         if frontier.isEmpty():
             break

@@ -30,10 +30,11 @@ def consensus(stances: DataFrame, doc: str, aspect: str, polarity: str, source:
 def conflict(stances: DataFrame, keys: list[str], polarity: str, source: str, pro: str, con: str,
              n: int = 2) -> DataFrame:
     """Aspects with opposite polarities from at least ``n`` distinct sources together."""
-    side = lambda p: F.count_distinct(F.when(F.col(polarity) == p, F.col(source)))
+    side = lambda p: F.max((F.col(polarity) == p).cast("long"))
     both = stances.filter(F.col(polarity).isin(pro, con))
-    return both.groupBy(*keys).agg(
-        side(pro).alias("pro"), side(con).alias("con"), F.count_distinct(source).alias("sources")
+    by_source = both.groupBy(*keys, source).agg(side(pro).alias("_pro"), side(con).alias("_con"))
+    return by_source.groupBy(*keys).agg(
+        F.sum("_pro").alias("pro"), F.sum("_con").alias("con"), F.count(source).alias("sources")
     ).filter((F.col("pro") > 0) & (F.col("con") > 0) & (F.col("sources") >= n))
 
 

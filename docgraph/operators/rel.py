@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docgraph.functions import fixed
-from docgraph.plans import sizes, slices
+from docgraph.plans import sizes, slices, storage
 
 
 def references(mention_rows: DataFrame, src: str, mark: str, docs: DataFrame, dst: str) -> DataFrame:
@@ -49,8 +49,8 @@ def clarifies(docs: DataFrame, key: str, scope: str, stem: Column, detail: Colum
 def iterates(docs: DataFrame, key: str, blocks: list[str], title: str, date: str,
              distance: int = 5) -> DataFrame:
     """Each document and the one before it with the same title stem and issuer."""
-    chained = slices.neighbour(docs, blocks, [date, key], F.trunc(date, "month"),
-                               {key: "dst", title: "_before", date: "dst_date"})
+    chained = slices.sliced(docs, blocks, [date, key], F.trunc(date, "month"),
+                            previous={key: "dst", title: "_before", date: "dst_date"})
     return (chained.filter("dst is not null")
             .withColumn("distance", F.levenshtein(title, "_before", distance))
             .filter("distance >= 0")
@@ -127,12 +127,12 @@ def conflict_pairs(docs: DataFrame, key: str, theme: str, date: str, score: str,
     ``earlier`` is the number of earlier high-scoring documents of the theme with another stance,
     that is the size of the full candidate list of the row.
     """
-    top = docs.filter(F.col(score) >= floor)
+    top = storage.stored(docs.select(key, theme, date, score, stance).filter(
+        F.col(score) >= floor), "top")  # read four times below
     grain = F.trunc(date, "month")
-    chained = slices.neighbour(top, [theme], [date, key], grain,
-                               {key: "dst", stance: "dst_stance"})
-    place = slices.ordinal(chained, [theme], [date, key], grain, "_n")
-    place = slices.ordinal(place, [theme, stance], [date, key], grain, "_own")
+    place = slices.sliced(top, [theme], [date, key], grain, ordinal="_n",
+                          previous={key: "dst", stance: "dst_stance"})
+    place = slices.sliced(place, [theme, stance], [date, key], grain, ordinal="_own")
     return place.select(theme, F.col(key).alias("src"), "dst", F.col(stance).alias("src_stance"),
                         "dst_stance", (F.col("_n") - F.col("_own")).alias("earlier")).filter(
         "dst is not null and src_stance <> dst_stance")

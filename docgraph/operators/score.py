@@ -30,10 +30,11 @@ def gate_audit(df: DataFrame, declared: Column, stored: Column) -> DataFrame:
 def matrix2x2(df: DataFrame, x: str, y: str, cut: int = 4) -> DataFrame:
     """Counts in the four quadrants of two scores; empty quadrants are listed."""
     marked = df.select(S.high_low(F.col(x), cut).alias("x"), S.high_low(F.col(y), cut).alias("y"))
-    counts = marked.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-    cells = df.sparkSession.createDataFrame(
-        [(a, b) for a in ("high", "low") for b in ("high", "low")], "x string, y string")
-    return F.broadcast(cells).join(counts, ["x", "y"], "left").fillna(0, ["n"])
+    cells = {f"{a}|{b}": F.count_if((F.col("x") == a) & (F.col("y") == b))
+             for a in ("high", "low") for b in ("high", "low")}
+    wide = marked.agg(*[c.alias(n) for n, c in cells.items()]).unpivot([], list(cells), "_cell", "n")
+    return wide.select(F.split_part("_cell", F.lit("|"), F.lit(1)).alias("x"),
+                       F.split_part("_cell", F.lit("|"), F.lit(2)).alias("y"), "n")
 
 
 def signals(docs: DataFrame, key: str, words: Column, region: Column, rules: DataFrame) -> DataFrame:
@@ -65,18 +66,15 @@ def evidence(df: DataFrame, level: str, score: str, linkage: str) -> DataFrame:
 
 
 def cohorts(df: DataFrame, cohort: str, score: str, has_theme: Column, distance: float = 0.5) -> DataFrame:
-    """Score distribution per scorer or profile; cohorts far from the overall mean are flagged.
-
-    Two levels of aggregation: the overall figures are summed from the cohort rows.
-    """
+    """Score distribution per scorer or profile; cohorts far from the overall mean are flagged."""
     value = F.col(score).cast("double")
     rows = df.groupBy(cohort).agg(
         F.count(F.lit(1)).alias("n"), F.sum(value).alias("_sum"),
         F.sum(value * value).alias("_squares"), F.count_if(has_theme).alias("_themed"))
-    overall = rows.agg((F.sum("_sum") / F.sum("n")).alias("_mean_all"))
+    overall = df.agg(F.avg(value)).scalar()
     mean = F.col("_sum") / F.col("n")
     variance = F.greatest(F.col("_squares") / F.col("n") - mean * mean, F.lit(0.0))
-    return rows.join(F.broadcast(overall)).select(  # one row
+    return rows.select(
         cohort, "n", F.round(mean, 6).alias("mean"), F.round(F.sqrt(variance), 6).alias("stddev"),
         F.round(F.col("_themed") / F.col("n"), 6).alias("themed_share"),
-        (F.abs(mean - F.col("_mean_all")) > distance).alias("incomparable"))
+        (F.abs(mean - overall) > distance).alias("incomparable"))

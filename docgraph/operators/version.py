@@ -8,7 +8,7 @@ from docgraph.plans import slices
 
 def history(df: DataFrame, key: str, ts: str, tie: str, grain: Column) -> DataFrame:
     """``valid_from``/``valid_to`` of every version; the open one is live, the others archived."""
-    out = slices.neighbour(df, [key], [ts, tie], grain, {ts: "valid_to"}, ahead=True)
+    out = slices.sliced(df, [key], [ts, tie], grain, following={ts: "valid_to"})
     return (out.withColumn("valid_from", F.col(ts))
             .withColumn("live", F.col("valid_to").isNull()))
 
@@ -32,8 +32,8 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, ts: str, version: str
                             F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_tie"))
     rows = (facts.withColumn("_side", F.lit(1)).withColumn("_tie", F.col(tie).cast("long"))
             .unionByName(start, allowMissingColumns=True))
-    out = slices.latest(rows, [key], [ts, "_side", "_tie"], F.to_date(ts), F.col("_start"),
-                        "_in_force")
+    out = slices.sliced(rows, [key], [ts, "_side", "_tie"], F.to_date(ts),
+                        latest=(F.col("_start"), "_in_force"))
     return (out.filter("_side = 1")
             .withColumn("valid_from", F.col("_in_force.valid_from"))
             .withColumn("version", F.col("_in_force.version"))

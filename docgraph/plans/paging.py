@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgraph.plans import sizes
+from docgraph.plans import sizes, storage
 
 
 def paged(df: DataFrame, keys: list[str], spread: str, entry: Column, size: int = 1000) -> DataFrame:
@@ -13,7 +13,8 @@ def paged(df: DataFrame, keys: list[str], spread: str, entry: Column, size: int
     looked up and their rows dealt to pages by a hash of ``spread``.
     """
     large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size)
-    large = sizes.small(large.select(*keys, F.ceil(F.col("_n") / size).alias("_pages")))
+    large = storage.stored(large.select(*keys, F.ceil(F.col("_n") / size).alias("_pages")), "large")
+    large = sizes.small(large)
     digits = F.conv(F.substring(F.md5(F.col(spread).cast("string")), 1, 8), 16, 10).cast("long")
     page = F.coalesce(F.pmod(digits, F.col("_pages")), F.lit(0)).cast("long")
     return (df.join(large, keys, "left").withColumn("page", page).groupBy(*keys, "page")

@@ -4,8 +4,6 @@ A plain ``Window.partitionBy(key)`` sends a whole group to one task. Here every
 into slices along its order (a day, a block of ids). Rows are shuffled once by (key, slice);
 each slice is summarised to one row, the summaries run through the window by key, and what they
 carry over the slice borders is joined back by (key, slice), on which the rows already lie.
-
-``grain`` must not decrease along ``order``, and keys must not be null.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,66 +17,60 @@ def id_block(col: str, bits: int = 16) -> Column:
     return F.shiftright(F.col(col).cast("long"), bits)
 
 
-def _key_struct(order: list[str]) -> Column:
-    return F.struct(*order)
+def sliced(df: DataFrame, keys: list[str], order: list[str], grain: Column, *,
+           ordinal: str | None = None, size: str | None = None,
+           previous: dict[str, str] | None = None, following: dict[str, str] | None = None,
+           latest: tuple[Column, str] | None = None) -> DataFrame:
+    """Window columns over ordered groups, any of them in one pass.
 
+    ``grain`` must not decrease along ``order``; rows with a null key are dropped.
 
-def ordinal(df: DataFrame, keys: list[str], order: list[str], grain: Column,
-            name: str = "ordinal", size: str | None = None) -> DataFrame:
-    """Row number by ``order`` in each group, and on request the group size."""
+    ordinal, size: names for the row number and the number of rows of the group.
+    previous, following: columns of the row before or after, source to new name.
+    latest: a value and the name for its last non-null occurrence up to the row itself.
+    """
     rows = df.withColumn(GRAIN, grain)
-    counts = rows.groupBy(*keys, GRAIN).agg(F.count(F.lit(1)).alias("_sl_n"))
-    by_key = Window.partitionBy(*keys)
-    before = by_key.orderBy(GRAIN).rowsBetween(Window.unboundedPreceding, -1)
-    carry = counts.select(
-        *keys, GRAIN,
-        F.coalesce(F.sum("_sl_n").over(before), F.lit(0)).alias("_sl_before"),
-        F.sum("_sl_n").over(by_key).alias("_sl_size"))
     inside = Window.partitionBy(*keys, GRAIN).orderBy(*order)
-    out = (rows.withColumn("_sl_row", F.row_number().over(inside))
-           .join(carry, [*keys, GRAIN])
-           .withColumn(name, (F.col("_sl_before") + F.col("_sl_row")).cast("long")))
-    if size:
-        out = out.withColumn(size, F.col("_sl_size").cast("long"))
-    return out.drop(GRAIN, "_sl_row", "_sl_before", "_sl_size")
-
+    group = Window.partitionBy(*keys)
+    across = group.orderBy(GRAIN)
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    place = F.struct(*order)
 
-def neighbour(df: DataFrame, keys: list[str], order: list[str], grain: Column,
-              cols: dict[str, str], ahead: bool = False) -> DataFrame:
-    """Columns of the row before (or after) in each group; ``cols`` maps source to new name."""
-    rows = df.withColumn(GRAIN, grain)
-    value = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    inside = Window.partitionBy(*keys, GRAIN).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(GRAIN)
-    if ahead:
-        rows = rows.withColumn("_sl_near", F.lead(value).over(inside))
-        edge = F.min_by(value, _key_struct(order))
-        carried = F.lead("_sl_edge").over(across)
-    else:
-        rows = rows.withColumn("_sl_near", F.lag(value).over(inside))
-        edge = F.max_by(value, _key_struct(order))
-        carried = F.lag("_sl_edge").over(across)
-    carry = (df.withColumn(GRAIN, grain).groupBy(*keys, GRAIN).agg(edge.alias("_sl_edge"))
-             .select(*keys, GRAIN, carried.alias("_sl_far")))
-    out = rows.join(carry, [*keys, GRAIN]).withColumn("_sl_hit", F.coalesce("_sl_near", "_sl_far"))
-    for i, new in enumerate(cols.values()):
-        out = out.withColumn(new, F.col("_sl_hit")[f"c{i}"])
-    return out.drop(GRAIN, "_sl_near", "_sl_far", "_sl_hit")
+    in_slice: dict[str, Column] = {}
+    summary: dict[str, Column] = {}
+    carried: dict[str, Column] = {}
+    result: dict[str, Column] = {}
 
+    if ordinal or size:
+        summary["_sl_n"] = F.count(F.lit(1))
+        if ordinal:
+            in_slice["_sl_row"] = F.row_number().over(inside)
+            carried["_sl_before"] = F.coalesce(F.sum("_sl_n").over(earlier), F.lit(0))
+            result[ordinal] = (F.col("_sl_before") + F.col("_sl_row")).cast("long")
+        if size:
+            carried["_sl_size"] = F.sum("_sl_n").over(group)
+            result[size] = F.col("_sl_size").cast("long")
+    for tag, cols, near, edge, far in (
+            ("p", previous, F.lag, F.max_by, F.lag), ("f", following, F.lead, F.min_by, F.lead)):
+        if not cols:
+            continue
+        value = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+        in_slice[f"_sl_{tag}near"] = near(value).over(inside)
+        summary[f"_sl_{tag}edge"] = edge(value, place)
+        carried[f"_sl_{tag}far"] = far(f"_sl_{tag}edge").over(across)
+        hit = F.coalesce(f"_sl_{tag}near", f"_sl_{tag}far")
+        result.update({new: hit[f"c{i}"] for i, new in enumerate(cols.values())})
+    if latest:
+        value, name = latest
+        rows = rows.withColumn("_sl_value", value)
+        known = F.col("_sl_value").isNotNull()
+        in_slice["_sl_lnear"] = F.last("_sl_value", ignorenulls=True).over(
+            inside.rowsBetween(Window.unboundedPreceding, 0))
+        summary["_sl_ledge"] = F.max_by("_sl_value", F.when(known, place))
+        carried["_sl_lfar"] = F.last("_sl_ledge", ignorenulls=True).over(earlier)
+        result[name] = F.coalesce("_sl_lnear", "_sl_lfar")
 
-def latest(df: DataFrame, keys: list[str], order: list[str], grain: Column,
-           value: Column, name: str) -> DataFrame:
-    """The last non-null ``value`` up to and including each row (as-of)."""
-    rows = df.withColumn(GRAIN, grain).withColumn("_sl_value", value)
-    inside = (Window.partitionBy(*keys, GRAIN).orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, 0))
-    before = (Window.partitionBy(*keys).orderBy(GRAIN)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (rows.groupBy(*keys, GRAIN)
-             .agg(F.max_by("_sl_value", F.when(F.col("_sl_value").isNotNull(), _key_struct(order)))
-                  .alias("_sl_edge"))
-             .select(*keys, GRAIN, F.last("_sl_edge", ignorenulls=True).over(before).alias("_sl_far")))
-    return (rows.withColumn("_sl_near", F.last("_sl_value", ignorenulls=True).over(inside))
-            .join(carry, [*keys, GRAIN])
-            .withColumn(name, F.coalesce("_sl_near", "_sl_far"))
-            .drop(GRAIN, "_sl_value", "_sl_near", "_sl_far"))
+    carry = (rows.groupBy(*keys, GRAIN).agg(*[c.alias(n) for n, c in summary.items()])
+             .select(*keys, GRAIN, *[c.alias(n) for n, c in carried.items()]))
+    joined = rows.withColumns(in_slice).join(carry, [*keys, GRAIN])
+    return joined.select(*df.columns, *[c.alias(n) for n, c in result.items()])
