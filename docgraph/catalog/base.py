@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docgraph.plans.spread import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -15,6 +17,11 @@ class Tables:
         self.spark = spark
         self.path = path
 
+    @property
+    def texts(self) -> DataFrame:
+        """The documents, dealt out to all cores for work on their texts."""
+        return spread(self.documents)
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 

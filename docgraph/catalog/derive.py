@@ -138,7 +138,7 @@ def aliases(t) -> DataFrame:
 
 
 def mentions(t) -> DataFrame:
-    return link.mentions(t.documents.select("doc_id", "text"), "doc_id", "text", aliases(t), "item_id")
+    return link.mentions(t.texts.select("doc_id", "text"), "doc_id", "text", aliases(t), "item_id")
 
 
 def stances(t) -> DataFrame:

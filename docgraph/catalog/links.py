@@ -213,7 +213,7 @@ def link_cascade(t):
         return rows.select("doc_id").join(t.labels, "doc_id").select(
             "doc_id", F.col("quality").cast("long").alias("target"))
 
-    return link.cascade(t.documents.select("doc_id", "text"), "doc_id", {
+    return link.cascade(t.texts.select("doc_id", "text"), "doc_id", {
         "B1_official_number": by_number, "B2_title": by_title, "B3_verdict": by_verdict,
     }).select("doc_id", "target", "method")
 

@@ -102,7 +102,7 @@ SELECT doc_id, business, hits, CASE WHEN h = 1 OR loc = 1 THEN 'high' WHEN blank
 def score_signals(t):
     rules = t.spark.createDataFrame(
         RULES, "term string, business string, weight string, evidence string, region string")
-    return score.signals(t.documents.select("doc_id", "lang", "text"), "doc_id", text.words("text"),
+    return score.signals(t.texts.select("doc_id", "lang", "text"), "doc_id", text.words("text"),
                          F.col("lang"), rules)
 
 

@@ -90,7 +90,7 @@ SELECT doc_id, term, count(*) AS n FROM (
   SELECT doc_id, unnest(regexp_extract_all(text, '(Released under|copyright|password|license|License|Apache|token|MIT)', 1)) AS term
   FROM documents) GROUP BY ALL""")
 def lint_terms(t):
-    return lint.terms(t.documents, "doc_id", "text", TERMS)
+    return lint.terms(t.texts, "doc_id", "text", TERMS)
 
 
 @query("text_sanitize", r"""
@@ -99,5 +99,5 @@ FROM (SELECT doc_id, regexp_replace(replace(text, 'MIT License', 'open licence')
              '(#{3}|%{3}|[$]{3}|&{3}|[*]{3})', '', 'g') AS clean FROM documents)""")
 def text_sanitize(t):
     clean = text.sanitize("text", {"MIT License": "open licence"}, r"(#{3}|%{3}|[$]{3}|&{3}|[*]{3})")
-    return t.documents.select("doc_id", clean.alias("c")).select(
+    return t.texts.select("doc_id", clean.alias("c")).select(
         "doc_id", F.length("c").cast("long").alias("clean_len"), F.md5("c").alias("digest"))

@@ -16,17 +16,21 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
 def buckets(df: DataFrame, column: str, edges: list[tuple[str, float]], rest: str) -> DataFrame:
     """Histogram over named buckets with lower edges, highest first; all buckets are listed."""
-    value = F.col(column)
+    value = F.col("_v")
     name = reduce(lambda acc, e: acc.when(value >= e[1], e[0]), edges[1:],
                   F.when(value >= edges[0][1], edges[0][0])).otherwise(rest)
-    marked = df.filter(value.isNotNull()).select(name.alias("bucket"))
+    # Null compares as unknown, so it would fall into the last bucket.
+    marked = df.select(F.col(column).alias("_v")).select(
+        F.when(F.col("_v").isNotNull(), name).alias("bucket"))
     return zero_filled(marked, "bucket", [e[0] for e in edges] + [rest])
 
 
 def zero_filled(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """Counts for every allowed value, zero where it does not occur."""
-    sums = [F.count_if(F.col(column) == v).alias(v) for v in values]
-    return df.agg(*sums).unpivot([], values, column, "n")
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    cells = [F.coalesce(F.sum(F.when(F.col(column) == v, F.col("_n"))), F.lit(0)).alias(v)
+             for v in values]
+    return counts.agg(*cells).unpivot([], values, column, "n")
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:

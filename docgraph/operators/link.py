@@ -47,15 +47,14 @@ def _anchored(aliases: DataFrame) -> DataFrame:
     """Give each alias an anchor: a token every text that contains the alias must have.
 
     For three words or more that is the longest word inside (the outer ones may be cut in the
-    text); for shorter aliases, and scripts without blanks, a pair of characters.
+    text); for shorter aliases, and scripts without blanks, its first pair of characters.
     """
-    inner = F.expr("slice(_words, 2, greatest(size(_words) - 2, 0))")
-    rows = aliases.withColumn("_words", text.words("alias"))
+    words = text.words("alias")
+    inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    rows = rows.withColumn("_anchor", longest["w"])
-    by_word = F.col("_anchor").isNotNull() & (F.length("_anchor") > 2)
-    return rows.withColumn("_by_word", by_word).withColumn(
-        "_anchor", F.when(by_word, F.col("_anchor")).otherwise(F.substring("alias", 1, 2))).drop("_words")
+    return aliases.withColumn("_word", longest["w"]).withColumn(
+        "_anchor", F.coalesce("_word", F.substring("alias", 1, 2))).withColumn(
+        "_by_word", F.col("_word").isNotNull()).drop("_word")
 
 
 def mentions(docs: DataFrame, key: str, content: str, aliases: DataFrame, entity: str) -> DataFrame:
@@ -67,18 +66,20 @@ def mentions(docs: DataFrame, key: str, content: str, aliases: DataFrame, entity
     are literals, so texts are neither exploded in full nor shuffled.
     """
     dim = _anchored(aliases.select(entity, "alias").filter("length(alias) >= 2").distinct())
+    listed = dim.limit(LITERAL_ALIASES + 1).collect()
     parts = []
     for by_word, tokens in ((True, F.array_distinct(text.words(content))),
                             (False, _bigrams(F.col(content)))):
-        side = dim.filter(F.col("_by_word") == by_word).drop("_by_word")
-        anchors = [r[0] for r in side.select("_anchor").distinct().limit(LITERAL_ALIASES + 1).collect()]
-        if not anchors:
-            continue
-        if len(anchors) <= LITERAL_ALIASES and sizes.fits(side):
-            known = F.array(*[F.lit(a) for a in anchors])
+        if len(listed) <= LITERAL_ALIASES:
+            side = [r for r in listed if r["_by_word"] == by_word]
+            if not side:
+                continue
+            known = F.array(*[F.lit(a) for a in sorted({r["_anchor"] for r in side})])
             met = docs.select(key, content, F.explode(F.array_intersect(tokens, known)).alias("_anchor"))
-            parts.append(met.join(F.broadcast(side), "_anchor"))
+            rows = docs.sparkSession.createDataFrame(side, dim.schema).drop("_by_word")
+            parts.append(met.join(F.broadcast(rows), "_anchor"))  # counted above
         else:
+            side = dim.filter(F.col("_by_word") == by_word).drop("_by_word")
             met = docs.select(key, F.explode(tokens).alias("_anchor")).join(side, "_anchor")
             parts.append(met.join(docs.select(key, content), key))
     if not parts:
@@ -112,13 +113,18 @@ def primary(tag_rows: DataFrame, key: str, entity: str) -> DataFrame:
 
 def _deletions(c: Column, distance: int) -> Column:
     """The title and every form of it with up to ``distance`` characters deleted."""
-    forms = F.array(c)
+    # Deletions are made from left to right, so each set of positions is visited once.
+    layer = F.array(F.struct(c.alias("s"), F.lit(1).alias("at")))
+    layers = [layer]
     for _ in range(distance):
-        shorter = F.flatten(F.transform(forms, lambda s: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))),
-            lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))))
-        forms = F.array_distinct(F.concat(forms, shorter))
-    return forms
+        layer = F.flatten(F.transform(layer, lambda f: F.transform(
+            F.filter(F.sequence(f["at"], F.greatest(F.length(f["s"]), f["at"])),
+                     lambda i: i <= F.length(f["s"])),
+            lambda i: F.struct(F.concat(F.substring(f["s"], F.lit(1), i - 1),
+                                        F.substring(f["s"], i + 1, F.length(f["s"]))).alias("s"),
+                               i.alias("at")))))
+        layers.append(layer)
+    return F.array_distinct(F.transform(F.concat(*layers), lambda f: F.xxhash64(f["s"])))
 
 
 def fuzzy_title(left: DataFrame, right: DataFrame, distance: int = 2) -> DataFrame:
@@ -128,8 +134,12 @@ def fuzzy_title(left: DataFrame, right: DataFrame, distance: int = 2) -> DataFra
     equi join on these forms finds all of them; the edit distance itself decides.
     Both sides need one column ``title``; equal titles are left to the exact match.
     """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def indexed(df, name):
-        rows = df.select(F.col("title").alias(name)).filter(f"{name} is not null").distinct()
+        # A fixed number of partitions: the rows are few, but each grows to hundreds of forms.
+        rows = df.select(F.col("title").alias(name)).filter(f"{name} is not null")
+        rows = rows.repartition(parts, name).distinct()
         return rows.select(name, F.explode(_deletions(F.col(name), distance)).alias("_form"))
 
     pairs = indexed(left, "title").join(indexed(right, "match"), "_form").filter("title <> match")

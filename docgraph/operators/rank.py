@@ -28,9 +28,12 @@ def frequent(df: DataFrame, column: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), column).limit(n)
 
 
-def frequent_approx(df: DataFrame, column: str, n: int) -> DataFrame:
-    """The same for key spaces too large to count: a sketch, counts are estimates."""
-    top = df.agg(F.expr(f"approx_top_k({column}, {n})").alias("_top"))
+def frequent_approx(df: DataFrame, column: str, n: int, tracked: int = 100_000) -> DataFrame:
+    """The same for key spaces too large to count: a sketch of ``tracked`` keys, with estimates.
+
+    A key appears only if its count stands out of the sketch's error.
+    """
+    top = df.agg(F.expr(f"approx_top_k({column}, {n}, {tracked})").alias("_top"))
     return top.select(F.inline("_top")).withColumnsRenamed({"item": column, "count": "n"})
 
 
