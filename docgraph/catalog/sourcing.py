@@ -53,7 +53,7 @@ def ingest_documents(t):
     whole = F.concat(F.lit("---\nid: "), F.col("doc_id"), F.lit("\nlang: '"), F.col("lang"),
                      F.lit("'\nprovenance:\n  source: "), F.col("source"), F.lit("\n  chars: "),
                      F.col("n_chars"), F.lit("\n---\n"), F.col("text"))
-    raw = t.documents.select(F.when(F.col("lang") == "es", F.col("text")).otherwise(whole).alias("value"))
+    raw = t.texts.select(F.when(F.col("lang") == "es", F.col("text")).otherwise(whole).alias("value"))
     schema = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("lang", T.StringType()),
         T.StructField("provenance", T.StructType([
