@@ -164,23 +164,24 @@ def cover_summary(t):
 
 
 @query("cover_gaps", """
-WITH present AS (SELECT DISTINCT p_brand, s_nationkey FROM lineitem JOIN part ON l_partkey = p_partkey
+WITH present AS (SELECT DISTINCT p_name || ' ' || p_brand AS title, s_nationkey FROM lineitem JOIN part ON l_partkey = p_partkey
                  JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity >= 45 AND l_returnflag = 'R'),
-grid AS (SELECT b.p_brand, n.n_name, n.n_nationkey, r.r_name FROM (SELECT DISTINCT p_brand FROM part) b, nation n
+grid AS (SELECT b.title, n.n_name, n.n_nationkey, r.r_name FROM (SELECT DISTINCT p_name || ' ' || p_brand AS title FROM part) b, nation n
          JOIN region r ON n.n_regionkey = r.r_regionkey),
-miss AS (SELECT g.* FROM grid g WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.p_brand = g.p_brand AND p.s_nationkey = g.n_nationkey))
-SELECT p_brand, r_name, count(*) AS n_missing, (SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE region.r_name = miss.r_name) AS n_regions,
+miss AS (SELECT g.* FROM grid g WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.title = g.title AND p.s_nationkey = g.n_nationkey))
+SELECT title, r_name, count(*) AS n_missing, (SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE region.r_name = miss.r_name) AS n_regions,
        string_agg(n_name, ',' ORDER BY n_name) AS missing FROM miss GROUP BY ALL""")
 def cover_gaps(t):
-    """Nations that never shipped a large returned lot of a brand, by region of the world."""
+    """Nations that never shipped a large returned lot of a product, by region of the world."""
     names = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", "n_name", "r_name")
     lots = t.lineitem.filter("l_quantity >= 45 and l_returnflag = 'R'").select("l_partkey", "l_suppkey")
-    pairs = lots.join(t.part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(
+    products = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("title"))
+    pairs = lots.join(products, F.col("l_partkey") == F.col("p_partkey")).join(
         t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    seen = pairs.select("p_brand", "s_nationkey").distinct().join(
+    seen = pairs.select("title", "s_nationkey").distinct().join(
         F.broadcast(names), F.col("s_nationkey") == F.col("n_nationkey"))  # a fixed registry
-    out = cover.gaps(seen, "p_brand", t.part, "n_name", names, "r_name")
+    out = cover.gaps(seen, "title", products, "n_name", names, "r_name")
     return out.withColumn("missing", F.array_join("missing", ",")).withColumns(
         {c: F.col(c).cast("long") for c in ("n_missing", "n_regions")})
 

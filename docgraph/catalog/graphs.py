@@ -75,10 +75,9 @@ def graph_isolated(t):
 
 @query("graph_most_cited", WITH_EDGES + """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rel ORDER BY citations DESC, node) AS rank FROM (
-  SELECT rel, dst % 100 AS node, count(*) AS citations FROM edges GROUP BY ALL)) WHERE rank <= 5""")
+  SELECT rel, dst AS node, count(*) AS citations FROM edges GROUP BY ALL)) WHERE rank <= 5""")
 def graph_most_cited(t):
-    grouped = D.edges(t).withColumn("dst", F.col("dst") % 100)
-    return graph.most_cited(grouped, 5)
+    return graph.most_cited(D.edges(t), 5)
 
 
 @query("graph_subgraph", "WITH " + D.DOCS + "," + D.EDGES + """

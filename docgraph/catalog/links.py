@@ -169,12 +169,12 @@ def rel_linkage_class(t):
 
 TITLES = """
 titles AS (SELECT DISTINCT p_name || ' ' || p_type || ' ' || p_brand AS title FROM part),
-others AS (SELECT DISTINCT p_name || ' ' || p_type || ' ' || p_brand AS match FROM part WHERE p_size >= 10)"""
+others AS (SELECT DISTINCT p_name || ' ' || p_type || ' ' || p_brand AS match FROM part)"""
 
 
 def part_titles(t):
     title = F.concat_ws(" ", "p_name", "p_type", "p_brand")
-    return t.part.select(title.alias("title")), t.part.filter("p_size >= 10").select(title.alias("title"))
+    return t.part.select(title.alias("title"))
 
 
 @query("link_fuzzy", "WITH " + TITLES + """,
@@ -182,8 +182,8 @@ near AS (SELECT title, match, levenshtein(title, match) AS distance FROM titles,
          WHERE title <> match AND abs(length(title) - length(match)) <= 2 AND levenshtein(title, match) <= 2)
 SELECT title, arg_min(match, (distance, match)) AS match, min(distance) AS distance FROM near GROUP BY title""")
 def link_fuzzy(t):
-    left, right = part_titles(t)
-    return link.fuzzy_title(left, right, 2).withColumn("distance", F.col("distance").cast("long"))
+    titles = part_titles(t)
+    return link.fuzzy_title(titles, titles, 2).withColumn("distance", F.col("distance").cast("long"))
 
 
 @query("link_cascade", "WITH " + D.MENTIONS + "," + FIRST_LINE + """,

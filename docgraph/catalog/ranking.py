@@ -101,7 +101,7 @@ def rank_frequent_approx(t):
 
 
 @query("rank_bounded", """
-SELECT lang, doc_id, rank, total, total - 20 AS more FROM (
+SELECT lang, doc_id, rank, total, greatest(total - 20, 0) AS more FROM (
   SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY n_chars, doc_id) AS rank,
          count(*) OVER (PARTITION BY lang) AS total FROM documents WHERE n_chars < 3000) WHERE rank <= 20""")
 def rank_bounded(t):

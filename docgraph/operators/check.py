@@ -12,9 +12,8 @@ def ordinal_claims(docs: DataFrame, key: str, kind: list[str], date: str, claim:
     The predecessors of the n-th document are the rows of its kind with a smaller ordinal; the
     row names the first and the nearest, so a late claim does not repeat a long list.
     """
-    grain = F.trunc(date, "month")
     rows = docs.withColumn("_claim", claim)
-    rows = slices.sliced(rows, kind, [date, key], grain, ordinal="ordinal",
+    rows = slices.sliced(rows, kind, [date, key], slices.dated(date, key), ordinal="ordinal",
                          previous={key: "predecessor"})
     first = docs.groupBy(*kind).agg(F.min_by(key, F.struct(date, key)).alias("first"))
     return (rows.filter("_claim").drop("_claim").join(first, kind)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.functions import text
-from docgraph.plans import sizes
+from docgraph.plans import sizes, storage
 
 LITERAL_ALIASES = 10_000
 
@@ -158,8 +158,9 @@ def cascade(comments: DataFrame, key: str,
     rest, found = comments, []
     for method, match in stages.items():
         hit = match(rest).groupBy(key).agg(F.min("target").alias("target"))
+        hit = storage.stored(hit, "stage")  # read by every later stage and by the result
         found.append(hit.withColumn("method", F.lit(method)))
-        rest = rest.join(hit.select(key), key, "left_anti")
+        rest = rest.join(sizes.small(hit.select(key)), key, "left_anti")
     none = rest.select(key, F.lit(None).cast(found[0].schema["target"].dataType).alias("target"),
                        F.lit("none").alias("method"))
     return reduce(DataFrame.unionByName, [*found, none])

@@ -48,8 +48,8 @@ def clarifies(docs: DataFrame, key: str, scope: str, stem: Column, detail: Colum
 
 def iterates(docs: DataFrame, key: str, blocks: list[str], title: str, date: str,
              distance: int = 5) -> DataFrame:
-    """Each document and the one before it with the same title stem and issuer."""
-    chained = slices.sliced(docs, blocks, [date, key], F.trunc(date, "month"),
+    """Each document and the one before it with the same title stem and issuer; numeric keys."""
+    chained = slices.sliced(docs, blocks, [date, key], slices.dated(date, key),
                             previous={key: "dst", title: "_before", date: "dst_date"})
     return (chained.filter("dst is not null")
             .withColumn("distance", F.levenshtein(title, "_before", distance))
@@ -129,7 +129,7 @@ def conflict_pairs(docs: DataFrame, key: str, theme: str, date: str, score: str,
     """
     top = storage.stored(docs.select(key, theme, date, score, stance).filter(
         F.col(score) >= floor), "top")  # read four times below
-    grain = F.trunc(date, "month")
+    grain = slices.dated(date, key)
     place = slices.sliced(top, [theme], [date, key], grain, ordinal="_n",
                           previous={key: "dst", stance: "dst_stance"})
     place = slices.sliced(place, [theme, stance], [date, key], grain, ordinal="_own")

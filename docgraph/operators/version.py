@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from docgraph.plans import slices
 
 
-def history(df: DataFrame, key: str, ts: str, tie: str, grain: Column) -> DataFrame:
+def history(df: DataFrame, key: str, ts: str, tie: str,
+            grain: Column | None = None) -> DataFrame:
     """``valid_from``/``valid_to`` of every version; the open one is live, the others archived."""
-    out = slices.sliced(df, [key], [ts, tie], grain, following={ts: "valid_to"})
+    out = slices.sliced(df, [key], [ts, tie], slices.hourly(ts) if grain is None else grain,
+                        following={ts: "valid_to"})
     return (out.withColumn("valid_from", F.col(ts))
             .withColumn("live", F.col("valid_to").isNull()))
 
@@ -32,7 +34,7 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, ts: str, version: str
                             F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_tie"))
     rows = (facts.withColumn("_side", F.lit(1)).withColumn("_tie", F.col(tie).cast("long"))
             .unionByName(start, allowMissingColumns=True))
-    out = slices.sliced(rows, [key], [ts, "_side", "_tie"], F.to_date(ts),
+    out = slices.sliced(rows, [key], [ts, "_side", "_tie"], slices.hourly(ts),
                         latest=(F.col("_start"), "_in_force"))
     return (out.filter("_side = 1")
             .withColumn("valid_from", F.col("_in_force.valid_from"))

@@ -17,6 +17,19 @@ def id_block(col: str, bits: int = 16) -> Column:
     return F.shiftright(F.col(col).cast("long"), bits)
 
 
+def dated(date: str, key: str, bits: int = 24) -> Column:
+    """Slice for an order by date, then by a unique numeric key.
+
+    A slice has at most 2**bits rows, even if all rows of a group carry one date.
+    """
+    return F.struct(F.col(date), F.shiftright(F.col(key).cast("long"), bits))
+
+
+def hourly(ts: str) -> Column:
+    """Slice for an order that begins with a timestamp."""
+    return F.date_trunc("hour", ts)
+
+
 def sliced(df: DataFrame, keys: list[str], order: list[str], grain: Column, *,
            ordinal: str | None = None, size: str | None = None,
            previous: dict[str, str] | None = None, following: dict[str, str] | None = None,

@@ -19,8 +19,9 @@ def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def unseen(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not stored yet; of rows sharing a new key, the least by all columns."""
     rest = [c for c in df.columns if c != key]
-    one = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
-    return one.select(key, "_row.*").select(*df.columns).join(table.select(key), key, "left_anti")
+    new = df.join(table.select(key), key, "left_anti")
+    one = new.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    return one.select(key, "_row.*").select(*df.columns)
 
 
 def append_new(df: DataFrame, path: str, key: str, partition: str | None = None) -> None:
