@@ -50,9 +50,9 @@ SELECT r_name, n_name, count(*) AS n, CAST(grouping(r_name) * 2 + grouping(n_nam
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 GROUP BY ROLLUP (r_name, n_name)""")
 def agg_region_rollup(t):
-    places = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     rows = t.customer.select("c_nationkey").join(
-        F.broadcast(places.select("n_nationkey", "n_name", "r_name")),  # a fixed registry
+        places.select("n_nationkey", "n_name", "r_name"),
         F.col("c_nationkey") == F.col("n_nationkey"))
     return agg.region_rollup(rows, "r_name", "n_name").withColumn("depth", F.col("depth").cast("long"))
 
@@ -62,8 +62,8 @@ SELECT r_name, string_agg(n_name || '=' || n, ',' ORDER BY n_name) AS names FROM
   SELECT r_name, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey GROUP BY ALL) GROUP BY r_name""")
 def agg_region_map(t):
-    places = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = t.customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     out = agg.nested_counts(rows, "r_name", "n_name")
     return out.select("r_name", F.array_join(F.transform(
         F.array_sort(F.map_entries("names")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("names"))
@@ -173,14 +173,14 @@ SELECT title, r_name, count(*) AS n_missing, (SELECT count(*) FROM nation JOIN r
        string_agg(n_name, ',' ORDER BY n_name) AS missing FROM miss GROUP BY ALL""")
 def cover_gaps(t):
     """Nations that never shipped a large returned lot of a product, by region of the world."""
-    names = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+    names = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", "n_name", "r_name")
     lots = t.lineitem.filter("l_quantity >= 45 and l_returnflag = 'R'").select("l_partkey", "l_suppkey")
     products = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("title"))
     pairs = lots.join(products, F.col("l_partkey") == F.col("p_partkey")).join(
         t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     seen = pairs.select("title", "s_nationkey").distinct().join(
-        F.broadcast(names), F.col("s_nationkey") == F.col("n_nationkey"))  # a fixed registry
+        names, F.col("s_nationkey") == F.col("n_nationkey"))
     out = cover.gaps(seen, "title", products, "n_name", names, "r_name")
     return out.withColumn("missing", F.array_join("missing", ",")).withColumns(
         {c: F.col(c).cast("long") for c in ("n_missing", "n_regions")})

@@ -24,19 +24,32 @@ DOC_NUMBER = r"(\p{IsHan}{2,14}\s*[〔\[［(（【]\s*\d{4}\s*[〕\]］)）】]\
 LEAD_IN = "依据|根据|按照|遵照|参照|落实|贯彻|执行|废止|印发|转发|以及|详见|同时|文件|通知|和|及|与|的|见"
 
 
-def norm_doc_number(c: str | Column) -> Column:
-    """Document number without blanks, with one bracket form and without lead-in words."""
+def norm_brackets(c: str | Column) -> Column:
+    """Document number without blanks and with one form of brackets."""
     bare = F.regexp_replace(_col(c), r"[\s　]+", "")
     bare = F.regexp_replace(bare, r"[\[［(（【]", "〔")
-    bare = F.regexp_replace(bare, r"[\]］)）】]", "〕")
-    bare = F.regexp_replace(bare, "〕第", "〕")
-    return F.regexp_replace(bare, rf"^\p{{IsHan}}*(?:{LEAD_IN})(?=\p{{IsHan}}{{2,}}〔)", "")
+    return F.regexp_replace(bare, r"[\]］)）】]", "〕")
 
 
-def doc_numbers(c: str | Column) -> Column:
-    """All document numbers cited in a text, normalised and distinct."""
-    found = F.regexp_extract_all(_col(c), F.lit(DOC_NUMBER), F.lit(1))
-    return F.array_distinct(F.transform(found, norm_doc_number))
+def strip_lead_in(c: str | Column) -> Column:
+    return F.regexp_replace(_col(c), rf"^\p{{IsHan}}*(?:{LEAD_IN})(?=\p{{IsHan}}{{2,}}〔)", "")
+
+
+def doc_numbers(c: str | Column, issuers: list[str] | None = None) -> Column:
+    """All document numbers cited in a text, normalised and distinct.
+
+    Han script has no blanks, so the words before an issuer mark look like part of it. With the
+    known issuer marks given, a number is cut to the longest mark it ends on; otherwise the
+    lead-in words are stripped, which may cost a mark that itself begins with such a word.
+    """
+    found = F.transform(F.regexp_extract_all(_col(c), F.lit(DOC_NUMBER), F.lit(1)),
+                        lambda n: F.regexp_replace(norm_brackets(n), "〕第", "〕"))
+    if issuers is None:
+        return F.array_distinct(F.transform(found, strip_lead_in))
+    marks_ = "|".join(r"\Q" + i + r"\E" for i in sorted(issuers, key=len, reverse=True))
+    known = F.transform(found, lambda n: F.coalesce(
+        F.nullif(F.regexp_extract(n, rf"((?:{marks_})〔.*)$", 1), F.lit("")), strip_lead_in(n)))
+    return F.array_distinct(known)
 
 
 def marks(c: str | Column, pattern: str) -> Column:

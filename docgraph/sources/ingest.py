@@ -9,9 +9,11 @@ from docgraph.functions import text
 
 def _scalar(raw: Column) -> Column:
     """A header value without quotes and remarks; the null spellings become null."""
-    bare = F.regexp_replace(raw, r"\s+#.*$", "")
-    bare = F.regexp_replace(F.trim(bare), r"^(['\"])(.*)\1$", "$2")
-    return text.blank_to_null(F.when(bare.isin("null", "[]", "{}"), None).otherwise(bare))
+    quoted = r"^\s*(['\"])(.*)\1\s*(?:#.*)?$"
+    bare = F.trim(F.regexp_replace(raw, r"(?:^|\s+)#.*$", ""))
+    bare = F.when(bare.isin("null", "[]", "{}"), None).otherwise(bare)
+    inner = F.replace(F.regexp_extract(raw, quoted, 2), F.lit("''"), F.lit("'"))
+    return text.blank_to_null(F.when(raw.rlike(quoted), inner).otherwise(bare))
 
 
 def _typed(value: Column, kind: T.DataType) -> Column:

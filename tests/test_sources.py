@@ -77,6 +77,12 @@ def test_windows_line_ends_and_block_without_struct(spark):
     assert (row.id, row.title, row.region, row.body) == ("A", "t", None, "x\n")
 
 
+def test_quoted_values_keep_their_hash_signs(spark):
+    df = spark.createDataFrame([("---\nid: 'A # b'   # remark\ntitle: it''s # cut\nsubtype: # none\n---\n",)], "value string")
+    row = ingest.parse_documents(df, SCHEMA, "value", ("id",))[0].first()
+    assert (row.id, row.title, row.subtype) == ("A # b", "it''s", None)
+
+
 def test_jsonl_keeps_broken_lines(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"id": "a", "region": {"level": "市"}, "ids": ["p"]}\n{broken\n{"id": "b"}\n')
     schema = T.StructType([T.StructField("id", S), T.StructField("region", T.StructType([T.StructField("level", S)])),

@@ -21,6 +21,12 @@ def test_document_numbers(spark):
     assert got == ["发改办能源〔2024〕718号", "国办发〔2020〕39号", "沪府〔2022〕5号"]
 
 
+def test_document_numbers_of_known_issuers(spark):
+    body = "落实和政发〔2020〕1号、见国办发〔2021〕2号,详见某发〔2022〕3号"
+    assert one(spark, text.doc_numbers("b", ["和政发", "政发", "国办发"]), b=body) == [
+        "和政发〔2020〕1号", "国办发〔2021〕2号", "某发〔2022〕3号"]
+
+
 def test_document_number_none(spark):
     assert one(spark, text.doc_numbers("b"), b="no number here 2024") == []
 
