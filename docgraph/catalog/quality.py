@@ -251,7 +251,7 @@ verdicts AS (SELECT doc_id, CASE WHEN a THEN 'C' WHEN b THEN 'B' WHEN c THEN 'D'
 def verdicts(t):
     from docgraph.operators import audit
 
-    return audit.classify(t.documents, [
+    return audit.classify(t.texts, [
         (F.col("text").rlike("[0-9]{8,}"), "C", 0.9, "number run"),
         (F.contains("text", F.lit("@")), "B", 0.55, "address"),
         (F.contains("text", F.lit("icense")), "D", 0.85, "license line"),

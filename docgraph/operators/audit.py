@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docgraph.plans import once
+
 UNDECIDED = ("?", 0.4, "no rule")
 
 
@@ -11,8 +13,8 @@ def classify(df: DataFrame, rules: list[tuple[Column, str, float, str]]) -> Data
     verdict = lambda t, c, r: F.struct(F.lit(t).alias("type"), F.lit(c).alias("confidence"),
                                        F.lit(r).alias("reason"))
     tried = [F.when(condition, verdict(t, c, r)) for condition, t, c, r in rules]
-    return df.withColumn("_verdict", F.coalesce(*tried, verdict(*UNDECIDED))).select(
-        "*", "_verdict.*").drop("_verdict")
+    rows = once.computed(df, {"_verdict": F.coalesce(*tried, verdict(*UNDECIDED))})
+    return rows.select("*", "_verdict.*").drop("_verdict")
 
 
 def borderline(df: DataFrame, threshold: float = 0.7) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docgraph.functions import text
+from docgraph.plans import once
 
 
 def _scalar(raw: Column) -> Column:
@@ -56,11 +57,14 @@ def parse_documents(df: DataFrame, schema: T.StructType, column: str = "value",
 
     The second frame holds the rows without a header or without a required field, with reason.
     """
-    whole = F.regexp_replace(F.col(column), "\r\n?", "\n")
-    header = F.regexp_extract(whole, r"^\x{FEFF}?---\n((?s:.*?\n))---(?:\n|$)", 1)
-    body = F.regexp_replace(whole, r"^\x{FEFF}?---\n(?s:.*?\n)---(?:\n|$)", "")
-    rows = df.withColumn("_header", header).withColumn("body", body)
-    rows = rows.withColumns({f.name: _field(F.col("_header"), f) for f in schema.fields})
+    raw = F.col(column)
+    whole = F.when(F.contains(raw, F.lit("\r")), F.regexp_replace(raw, "\r\n?", "\n")).otherwise(raw)
+    # The header and its fences; what follows them is the body.
+    fenced = F.regexp_extract(whole, r"^\x{FEFF}?---\n(?s:.*?\n)---(?:\n|$)", 0)
+    header = F.regexp_extract(fenced, r"^\x{FEFF}?---\n((?s:.*\n))---", 1)
+    body = F.substring(whole, F.length(fenced) + 1, F.length(whole))
+    rows = once.computed(df, {"_header": header, "body": body})
+    rows = once.computed(rows, {f.name: _field(F.col("_header"), f) for f in schema.fields})
     lacking = F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in required]))
     reason = F.when(F.col("_header") == "", "no header").when(
         F.size(lacking) > 0, F.concat(F.lit("missing: "), F.concat_ws(", ", lacking)))
