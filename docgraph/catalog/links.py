@@ -84,12 +84,16 @@ titled AS (
 stemmed AS (SELECT *, lower(regexp_replace(title, '[^\\p{L}\\p{N}]+', '', 'g')) AS stem FROM titled)""".replace("\\\\", "\\")
 
 
+def stem_of(title):
+    """Digest of the bare title: a short key, however long the line is."""
+    return F.md5(F.lower(F.regexp_replace(title, r"[^\p{L}\p{N}]+", "")))
+
+
 def titled(t):
     """The first line of a document serves as its title."""
     date = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") * 37 % 2000).cast("int"))
     title = F.split_part("text", F.lit("\n"), F.lit(1))
-    stem = F.lower(F.regexp_replace(title, r"[^\p{L}\p{N}]+", ""))
-    return t.documents.select("doc_id", "lang", title.alias("title"), date.alias("date"), stem.alias("stem"))
+    return t.texts.select("doc_id", "lang", title.alias("title"), date.alias("date"), stem_of(title).alias("stem"))
 
 
 @query("rel_iterates", "WITH " + FIRST_LINE + """,
@@ -205,8 +209,7 @@ def link_cascade(t):
         return hits.select("doc_id", F.col("item_id").alias("target"))
 
     def by_title(rows):
-        mine = rows.select("doc_id", F.lower(F.regexp_replace(
-            F.split_part("text", F.lit("\n"), F.lit(1)), r"[^\p{L}\p{N}]+", "")).alias("stem"))
+        mine = rows.select("doc_id", stem_of(F.split_part("text", F.lit("\n"), F.lit(1))).alias("stem"))
         return mine.join(bases, "stem").filter("doc_id <> target").select("doc_id", "target")
 
     def by_verdict(rows):

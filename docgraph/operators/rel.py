@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docgraph.functions import fixed
-from docgraph.plans import sizes, slices, storage
+from docgraph.plans import once, sizes, slices, storage
 
 
 def references(mention_rows: DataFrame, src: str, mark: str, docs: DataFrame, dst: str) -> DataFrame:
@@ -51,9 +51,9 @@ def iterates(docs: DataFrame, key: str, blocks: list[str], title: str, date: str
     """Each document and the one before it with the same title stem and issuer; numeric keys."""
     chained = slices.sliced(docs, blocks, [date, key], slices.dated(date, key),
                             previous={key: "dst", title: "_before", date: "dst_date"})
-    return (chained.filter("dst is not null")
-            .withColumn("distance", F.levenshtein(title, "_before", distance))
-            .filter("distance >= 0")
+    near = once.computed(chained.filter("dst is not null"),
+                         {"distance": F.levenshtein(title, "_before", distance)})
+    return (near.filter("distance >= 0")
             .select(F.col(key).alias("src"), "dst", F.col(date).alias("src_date"), "dst_date",
                     "distance"))
 
