@@ -14,7 +14,5 @@ def ordinal_claims(docs: DataFrame, key: str, kind: list[str], date: str, claim:
     """
     rows = docs.withColumn("_claim", claim)
     rows = slices.sliced(rows, kind, [date, key], slices.dated(date, key), ordinal="ordinal",
-                         previous={key: "predecessor"})
-    first = docs.groupBy(*kind).agg(F.min_by(key, F.struct(date, key)).alias("first"))
-    return (rows.filter("_claim").drop("_claim").join(first, kind)
-            .withColumn("holds", F.col("ordinal") == 1))
+                         previous={key: "predecessor"}, first={key: "first"})
+    return rows.filter("_claim").drop("_claim").withColumn("holds", F.col("ordinal") == 1)

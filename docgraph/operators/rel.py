@@ -112,7 +112,7 @@ def aligns_centroid(vectors: DataFrame, key: str, theme: str, vector: str, thres
     centroid = means.groupBy(theme).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_d", "_m"))), lambda s: s["_m"]).alias("_c"))
     total = lambda arr: F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
-    rows = vectors.join(sizes.small(centroid), theme).withColumn(
+    rows = vectors.join(sizes.small(centroid, 1_000), theme).withColumn(
         "_v", F.transform(vector, lambda x: x.cast("double")))
     dot = total(F.zip_with("_v", "_c", lambda a, b: a * b))
     norm = lambda c: F.sqrt(total(F.transform(c, lambda x: x * x)))

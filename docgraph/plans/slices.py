@@ -9,7 +9,7 @@ carry over the slice borders is joined back by (key, slice), on which the rows a
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAIN = "_sl_grain"
+SLICE = "_sl_key"
 
 
 def id_block(col: str, bits: int = 16) -> Column:
@@ -33,19 +33,23 @@ def hourly(ts: str) -> Column:
 def sliced(df: DataFrame, keys: list[str], order: list[str], grain: Column, *,
            ordinal: str | None = None, size: str | None = None,
            previous: dict[str, str] | None = None, following: dict[str, str] | None = None,
+           first: dict[str, str] | None = None,
            latest: tuple[Column, str] | None = None) -> DataFrame:
     """Window columns over ordered groups, any of them in one pass.
 
-    ``grain`` must not decrease along ``order``; rows with a null key are dropped.
+    ``grain`` must not decrease along ``order``. Rows with a null key form a group, as in a window.
 
     ordinal, size: names for the row number and the number of rows of the group.
     previous, following: columns of the row before or after, source to new name.
+    first: columns of the first row of the group, source to new name.
     latest: a value and the name for its last non-null occurrence up to the row itself.
     """
-    rows = df.withColumn(GRAIN, grain)
-    inside = Window.partitionBy(*keys, GRAIN).orderBy(*order)
-    group = Window.partitionBy(*keys)
-    across = group.orderBy(GRAIN)
+    # One struct as key: structs with null fields compare as equal, so the join keeps them, and
+    # the same column partitions the window, the summary and the join.
+    rows = df.withColumn(SLICE, F.struct(*keys, grain.alias("_grain")))
+    inside = Window.partitionBy(SLICE).orderBy(*order)
+    group = Window.partitionBy(*[F.col(SLICE)[k] for k in keys])
+    across = group.orderBy(F.col(SLICE)["_grain"])
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     place = F.struct(*order)
 
@@ -73,6 +77,12 @@ def sliced(df: DataFrame, keys: list[str], order: list[str], grain: Column, *,
         carried[f"_sl_{tag}far"] = far(f"_sl_{tag}edge").over(across)
         hit = F.coalesce(f"_sl_{tag}near", f"_sl_{tag}far")
         result.update({new: hit[f"c{i}"] for i, new in enumerate(cols.values())})
+    if first:
+        value = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(first)])
+        summary["_sl_first"] = F.min_by(value, place)
+        carried["_sl_head"] = F.first("_sl_first").over(
+            across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        result.update({new: F.col("_sl_head")[f"c{i}"] for i, new in enumerate(first.values())})
     if latest:
         value, name = latest
         rows = rows.withColumn("_sl_value", value)
@@ -83,7 +93,7 @@ def sliced(df: DataFrame, keys: list[str], order: list[str], grain: Column, *,
         carried["_sl_lfar"] = F.last("_sl_ledge", ignorenulls=True).over(earlier)
         result[name] = F.coalesce("_sl_lnear", "_sl_lfar")
 
-    carry = (rows.groupBy(*keys, GRAIN).agg(*[c.alias(n) for n, c in summary.items()])
-             .select(*keys, GRAIN, *[c.alias(n) for n, c in carried.items()]))
-    joined = rows.withColumns(in_slice).join(carry, [*keys, GRAIN])
+    carry = (rows.groupBy(SLICE).agg(*[c.alias(n) for n, c in summary.items()])
+             .select(SLICE, *[c.alias(n) for n, c in carried.items()]))
+    joined = rows.withColumns(in_slice).join(carry, SLICE)
     return joined.select(*df.columns, *[c.alias(n) for n, c in result.items()])

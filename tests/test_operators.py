@@ -108,6 +108,12 @@ def test_near_copies_of_one_text_are_compared_once_each(spark):
     assert len(out) == 299 and {r.original for r in out} == {0}
 
 
+def test_rows_without_text_are_kept_and_no_copies(spark):
+    df = frame(spark, "id long, text string", (1, None), (2, None), (3, "a"), (4, "a"))
+    got = {r.id: (r.original, r.copies, r.is_copy) for r in dedup.exact(df, "id", F.col("text")).collect()}
+    assert got == {1: (1, 1, False), 2: (2, 1, False), 3: (3, 2, False), 4: (3, 2, True)}
+
+
 def test_no_copies(spark):
     df = frame(spark, "id long, text string", (1, "a b c d"), (2, "e f g h"))
     assert dedup.near(df, "id", "text").count() == 0

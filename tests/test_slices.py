@@ -15,7 +15,7 @@ def hot(spark):
     rng = random.Random(7)
     data = []
     for i in range(3000):
-        key = 0 if rng.random() < 0.35 else rng.randrange(1, 40)
+        key = 0 if rng.random() < 0.35 else rng.choice([None, *range(1, 40)])
         # Few distinct times: many ties, settled by the id.
         data.append((i, key, rng.randrange(0, 300), rng.choice([None, i])))
     return spark.createDataFrame(data, "id long, k long, t long, v long").cache()
@@ -23,12 +23,12 @@ def hot(spark):
 
 def test_all_columns_equal_plain_windows(hot):
     got = slices.sliced(hot, ["k"], ["t", "id"], F.shiftright("t", 4), ordinal="n", size="s",
-                        previous={"id": "p"}, following={"id": "f"}, latest=(F.col("v"), "l"))
+                        previous={"id": "p"}, following={"id": "f"}, first={"id": "h"}, latest=(F.col("v"), "l"))
     w = Window.partitionBy("k").orderBy("t", "id")
     want = hot.select(
         "*", F.row_number().over(w).cast("long").alias("n"),
         F.count(F.lit(1)).over(Window.partitionBy("k")).alias("s"), F.lag("id").over(w).alias("p"),
-        F.lead("id").over(w).alias("f"),
+        F.lead("id").over(w).alias("f"), F.first("id").over(w).alias("h"),
         F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("l"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
@@ -37,7 +37,7 @@ def test_plan_has_no_window_over_the_raw_group(hot):
     out = slices.sliced(hot, ["k"], ["t", "id"], F.shiftright("t", 4), ordinal="n")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     raw = [line for line in plan.splitlines() if "Window [row_number()" in line]
-    assert raw and all(slices.GRAIN in line for line in raw)
+    assert raw and all(f"[{slices.SLICE}#" in line for line in raw)
 
 
 def test_as_of_with_tie_and_vacuum(spark):
