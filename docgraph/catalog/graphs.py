@@ -65,6 +65,15 @@ def graph_chain(t):
     return graph.chain(D.edges(t))
 
 
+@query("graph_lineage", "WITH RECURSIVE " + D.EDGES.lstrip() + """,
+up AS (SELECT src, min(dst) AS dst FROM edges WHERE src <> dst GROUP BY src),
+walk(node, root, depth) AS (SELECT src, dst, 1 FROM up
+  UNION ALL SELECT w.node, u.dst, w.depth + 1 FROM walk w JOIN up u ON u.src = w.root)
+SELECT node, arg_max(root, depth) AS root, CAST(max(depth) AS BIGINT) AS depth FROM walk GROUP BY node""")
+def graph_lineage(t):
+    return graph.lineage(D.edges(t))
+
+
 @query("graph_isolated", WITH_EDGES + """
 SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT src FROM edges WHERE rel IN ('iterates', 'extends'))
 AND doc_id NOT IN (SELECT dst FROM edges WHERE rel IN ('iterates', 'extends'))""")

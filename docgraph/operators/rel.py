@@ -158,10 +158,10 @@ def derives(docs: DataFrame, sources: DataFrame, key: str, theme: str, date: str
         F.min_by("_first", seen).over(band).alias("first_origin"),
         F.max_by("_last", seen).over(band).alias("last_origin"),
         F.sum("_n").over(month).alias("_month"))
-    rows = docs.withColumn("_day", F.to_date(date)).join(found, [theme, "_day"])
+    rows = docs.withColumn("_day", F.to_date(date)).join(found, [theme, "_day"], "left")
     return rows.select(
         F.col(key).alias("src"), theme, F.coalesce("origins", F.lit(0)).alias("origins"),
-        "first_origin", "last_origin", F.col("_month").alias("parallel"))
+        "first_origin", "last_origin", F.coalesce("_month", F.lit(0)).alias("parallel"))
 
 
 def linkage_class(df: DataFrame, column: str, classes: dict[str, str] | None = None) -> DataFrame:

@@ -219,6 +219,13 @@ def test_chain_ends_on_cycles(spark):
     assert two.agg(F.max("depth")).first()[0] == 2
 
 
+def test_lineage_of_long_chains_and_cycles(spark):
+    chain = [(i, i - 1, "iterates") for i in range(1, 38)] + [(100, 101, "iterates"), (101, 102, "iterates"),
+                                                              (102, 100, "iterates"), (103, 100, "iterates")]
+    got = {r.node: (r.root, r.depth) for r in graph.lineage(frame(spark, "src long, dst long, rel string", *chain)).collect()}
+    assert got == {**{i: (0, i) for i in range(1, 38)}, **{i: (None, None) for i in (100, 101, 102, 103)}}
+
+
 def test_reverse_index_mirrors(spark):
     edges = frame(spark, "src string, dst string, rel string", *EDGES)
     views = graph.reverse(edges)
