@@ -48,7 +48,7 @@ def graph_degree(t):
 
 
 @query("graph_mirror_check", WITH_EDGES + f"""
-SELECT src, dst, rel, -1 AS surplus FROM edges WHERE rel = 'extends' AND dst > src""")
+SELECT src, dst, rel, CAST(-1 AS BIGINT) AS surplus FROM edges WHERE rel = 'extends' AND dst > src""")
 def graph_mirror_check(t):
     """The index without the inbound entries of forward 'extends' edges: just these are reported."""
     views = graph.reverse(D.edges(t))

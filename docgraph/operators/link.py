@@ -92,7 +92,7 @@ def mentions(docs: DataFrame, key: str, content: str, aliases: DataFrame, entity
 def _hit_columns(body: Column, alias: Column) -> list[Column]:
     pos = F.position(alias, body)
     count = (F.length(body) - F.length(F.replace(body, alias))) / F.length(alias)
-    return [pos.alias("pos"), count.cast("long").alias("evidence_count"),
+    return [pos.cast("long").alias("pos"), count.cast("long").alias("evidence_count"),
             text.snippet_at(body, pos, F.length(alias)).alias("snippet"),
             text.location(pos, F.length(body)).alias("location")]
 

@@ -12,7 +12,9 @@ def topk(df: DataFrame, part: list[str], order: list[Column], k: int, name: str
     Spark pushes ``row_number <= k`` below the shuffle, so a task sends k rows per group at most.
     """
     number = F.row_number().over(Window.partitionBy(*part).orderBy(*order))
-    return df.withColumn(name, number).filter(F.col(name) <= k)
+    # The cast comes after the filter: only the bare row number is pushed down.
+    return df.withColumn(name, number).filter(F.col(name) <= k).withColumn(
+        name, F.col(name).cast("long"))
 
 
 def recent(df: DataFrame, ingested: str, as_of: date, days: int, order: list[Column], k: int) -> DataFrame:
