@@ -32,12 +32,12 @@ def suffix(df: DataFrame, key: str, order: str, name: str = "unique_id") -> Data
     ranked = slices.sliced(df, [key], [order], slices.id_block(order), ordinal="_n", size="_size")
     index = F.col("_n") - 1
     letter = lambda i: F.char(F.lit(97) + i)
-    # Letters count like spreadsheet columns; three places cover 18,278 copies of an id,
-    # beyond that the plain number keeps ids unique.
+    # Letters count like spreadsheet columns; beyond two places the plain number keeps ids unique.
     tail = (F.when(index < 26, letter(index))
             .when(index < 702, F.concat(letter(F.floor(index / 26) - 1), letter(index % 26)))
             .otherwise(F.col("_n").cast("string")))
-    unique = F.when(F.col("_size") == 1, F.col(key)).otherwise(F.concat_ws("_", F.col(key), tail))
+    plain = F.col(key).cast("string")
+    unique = F.when(F.col("_size") == 1, plain).otherwise(F.concat_ws("_", plain, tail))
     return ranked.withColumn(name, unique).drop("_n", "_size")
 
 

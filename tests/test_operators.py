@@ -100,6 +100,26 @@ def test_near_copies_against_brute_force(spark):
         assert similarity == round(jaccard(texts[i], texts[original]), 9)
 
 
+def test_near_copies_among_texts_of_one_template(spark):
+    """Hundreds of texts share most runs without being copies; the few copies are still found."""
+    rng = random.Random(11)
+    body = " ".join(f"t{i}" for i in range(14))
+    texts = [f"a{i} b{i} {body} c{i} d{i}" for i in range(250)]
+    for i in range(0, 60, 3):
+        texts.append(texts[i] + " tail")
+    rng.shuffle(texts)
+    df = frame(spark, "id long, text string", *enumerate(texts))
+    got = {r.id: r.original for r in dedup.near(df, "id", "text", crowd=8).collect()}
+    kept, want = [], {}
+    for i, text in enumerate(texts):
+        near = [e for e in kept if jaccard(text, texts[e]) >= 0.8]
+        if near:
+            want[i] = near[0]
+        else:
+            kept.append(i)
+    assert got == want and len(want) == 20
+
+
 def test_near_copies_of_one_text_are_compared_once_each(spark):
     """A group of copies costs one comparison per member, not one per pair."""
     base = " ".join(f"w{i}" for i in range(60))
