@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import linededup, sharding
+from docgraph.llm import decontaminate, linededup, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,13 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
     done = linededup.deduplicated(table(spark, path, "documents"))
     return done.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed",
                        F.md5(F.coalesce("clean_text", F.lit(""))).alias("clean_md5"))
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, path: str) -> DataFrame:
+    return quality.verdicts(table(spark, path, "documents"))
+
+
+@query("op10_benchmark_decontamination")
+def op10(spark: SparkSession, path: str) -> DataFrame:
+    return decontaminate.hits(table(spark, path, "documents"), table(spark, path, "benchmark"))
