@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import decontaminate, linededup, quality, sharding
+from docgraph.llm import decontaminate, linededup, pieces, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,8 @@ def op8(spark: SparkSession, path: str) -> DataFrame:
 @query("op10_benchmark_decontamination")
 def op10(spark: SparkSession, path: str) -> DataFrame:
     return decontaminate.hits(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, path: str) -> DataFrame:
+    return pieces.round_trip(table(spark, path, "documents"))
