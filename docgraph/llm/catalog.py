@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import decontaminate, linededup, pieces, quality, sharding
+from docgraph.llm import decontaminate, linededup, pieces, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,8 @@ def op10(spark: SparkSession, path: str) -> DataFrame:
 @query("op4_sentencepiece")
 def op4(spark: SparkSession, path: str) -> DataFrame:
     return pieces.round_trip(table(spark, path, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, path: str) -> DataFrame:
+    return toxicity.scored(table(spark, path, "documents"), table(spark, path, "labels"))
