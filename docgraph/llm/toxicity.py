@@ -25,10 +25,12 @@ from docgraph.llm.frames import each, pair
 from docgraph.plans import storage
 
 #: Bounds of the sample of labelled rows, by label, and of the vocabulary.
-SAMPLE = {1: 8_000, 0: 16_000}
-FEATURES = 4_096
-#: Least chi-square of a word, and least number of examples that have it.
-CHI, DOCUMENTS = 20.0, 5
+SAMPLE = {1: 4_000, 0: 8_000}
+FEATURES = 2_048
+#: Least chi-square of a word by example, and least number of examples that have it.
+CHI, DOCUMENTS = 0.002, 5
+#: Bytes of text whose documents are scored side by side.
+CHUNK = 1 << 19
 NEAREST, BLOCK = 15, 128
 #: Mass of the prior in a vote.
 PRIOR = 0.05
@@ -52,7 +54,7 @@ def _terms(chunk: K.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _chunks(column: pa.Array):
-    return K.chunks(pc.utf8_lower(column))
+    return K.chunks(pc.utf8_lower(column), CHUNK)
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str):
@@ -92,7 +94,7 @@ def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
              .filter((F.col("m") >= DOCUMENTS) & (F.col("m") < n)))
     a, m = F.col("a").cast("double"), F.col("m").cast("double")
     chi = (n * F.pow(a * (n - n1) - (m - a) * n1, 2)) / (m * (n - m) * n1 * (n - n1))
-    best = (count.withColumn("chi", chi).filter(F.col("chi") >= CHI)
+    best = (count.withColumn("chi", chi).filter(F.col("chi") >= CHI * n)
             .orderBy(F.desc("chi"), "term").limit(FEATURES).toPandas())
     terms = best["term"].to_numpy(np.int64).view(K.U)
     order = np.argsort(terms)
@@ -110,45 +112,75 @@ def _features(chunk: K.Chunk, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at[hit], 1 + np.log(counts[hit]), inside[offsets]
 
 
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0]+1, ... for every run, end to end."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
 @dataclass
 class Index:
     """Examples in blocks: postings by word and block, block maxima, ids and labels."""
 
     vocab: np.ndarray
     idf: np.ndarray
-    offsets: np.ndarray  # of each word's postings
+    cells: np.ndarray  # offsets of the postings of (word, block)
     example: np.ndarray
     weight: np.ndarray
     maxima: np.ndarray  # words x blocks
     ids: np.ndarray
     y: np.ndarray
 
-    def query(self, place: np.ndarray, tf: np.ndarray) -> np.ndarray:
+    def unit(self, place: np.ndarray, tf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """TF-IDF weights of unit length per document."""
         q = tf * self.idf[place]
-        norm = np.sqrt((q * q).sum())
-        return q / norm if norm else q
-
-    def nearest(self, place: np.ndarray, q: np.ndarray, k: int = NEAREST):
-        """The k examples with the largest positive cosine (ties: the first), with cosines."""
-        bound = q @ self.maxima[place]
-        order = np.argsort(-bound, kind="stable")
-        score = np.zeros(len(self.y))
-        done, width, theta = 0, 2, 0.0
-        live = int((bound > 0).sum())
-        while done < live and bound[order[done]] >= theta - 1e-9:
-            part = order[done:min(done + width, live)]
-            chosen = np.zeros(len(bound), bool)
-            chosen[part[bound[part] >= theta - 1e-9]] = True
-            for t, w in zip(place, q):
-                e = self.example[self.offsets[t]:self.offsets[t + 1]]
-                own = chosen[e // BLOCK]
-                score[e[own]] += w * self.weight[self.offsets[t]:self.offsets[t + 1]][own]
-            done, width = done + len(part), width * 4
-            theta = np.partition(score, -k)[-k] if len(score) > k else 0.0
-        score = np.round(score, 9)
-        top = np.argsort(-score, kind="stable")[:k]
-        top = top[score[top] > 0]
-        return top, score[top]
+        norm = np.sqrt(K.sums(q * q, offsets))
+        return q / np.repeat(np.where(norm > 0, norm, 1.0), np.diff(offsets))
+
+    def _cosines(self, chosen: np.ndarray, place: np.ndarray, q: np.ndarray, offsets: np.ndarray):
+        """Exact cosines of every document with all examples of its chosen blocks."""
+        doc, block = np.nonzero(chosen)
+        count = chosen.sum(axis=1)
+        first = np.cumsum(count) - count
+        owner = np.repeat(np.arange(len(count)), np.diff(offsets))
+        term = np.repeat(np.arange(len(place)), count[owner])
+        pair = _spread(first[owner], count[owner])
+        cell = place[term] * chosen.shape[1] + block[pair]
+        size = self.cells[cell + 1] - self.cells[cell]
+        at = _spread(self.cells[cell], size)
+        target = np.repeat(pair, size) * BLOCK + self.example[at] % BLOCK
+        score = np.bincount(target, self.weight[at] * np.repeat(q[term], size), len(doc) * BLOCK)
+        hit = np.flatnonzero(score)
+        return doc[hit // BLOCK], block[hit // BLOCK] * BLOCK + hit % BLOCK, np.round(score[hit], 9)
+
+    def nearest(self, place: np.ndarray, tf: np.ndarray, offsets: np.ndarray, k: int = NEAREST):
+        """The k examples with the largest positive cosine of every document (ties: the first):
+        documents, examples and cosines, in order."""
+        n = len(offsets) - 1
+        q = self.unit(place, tf, offsets)
+        if not len(place) or not len(self.y):
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        total = np.vstack((np.zeros(self.maxima.shape[1]),
+                           np.cumsum(self.maxima[place] * q[:, None], axis=0)))
+        bound = total[offsets[1:]] - total[offsets[:-1]]
+        positive = bound > 1e-12
+        ahead = np.zeros_like(positive)
+        best = np.argsort(-bound, axis=1, kind="stable")[:, :2]
+        np.put_along_axis(ahead, best, True, axis=1)
+        one = self._cosines(ahead & positive, place, q, offsets)
+        order = np.lexsort((one[1], -one[2], one[0]))
+        begin = np.searchsorted(one[0][order], np.arange(n + 1))
+        theta = np.zeros(n)
+        full = np.diff(begin) >= k
+        theta[full] = one[2][order][begin[:-1][full] + k - 1]
+        rest = positive & ~ahead & (bound >= theta[:, None] - 1e-8)
+        two = self._cosines(rest, place, q, offsets)
+        doc, example, cosine = (np.concatenate(x) for x in zip(one, two))
+        order = np.lexsort((example, -cosine, doc))
+        doc, example, cosine = doc[order], example[order], cosine[order]
+        rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
+        keep = (rank < k) & (cosine > 0)
+        return doc[keep], example[keep], cosine[keep]
 
 
 def indexed(vocab: np.ndarray, vectors: list[tuple[int, int, np.ndarray, np.ndarray]]) -> Index:
@@ -167,20 +199,21 @@ def indexed(vocab: np.ndarray, vectors: list[tuple[int, int, np.ndarray, np.ndar
                               (np.zeros(0, int), np.zeros(0, int), np.zeros(0)))
     order = np.lexsort((example, place))
     place, example, weight = place[order], example[order], weight[order]
-    maxima = np.zeros((len(vocab), -(-n // BLOCK)))
+    blocks = -(-n // BLOCK)
+    maxima = np.zeros((len(vocab), blocks))
     np.maximum.at(maxima, (place, example // BLOCK), weight)
-    return Index(vocab, idf, np.searchsorted(place, np.arange(len(vocab) + 1)), example, weight,
-                 maxima, np.array([v[0] for v in vectors], np.int64),
+    cells = np.searchsorted(place * blocks + example // BLOCK, np.arange(len(vocab) * blocks + 1))
+    return Index(vocab, idf, cells, example, weight, maxima, np.array([v[0] for v in vectors], np.int64),
                  np.array([v[1] for v in vectors], np.int64))
 
 
-def vote(index: Index, place: np.ndarray, tf: np.ndarray):
-    """The weighted share of toxic neighbours, and the neighbours (places, cosines)."""
-    if not len(place):
-        return 0.0, np.zeros(0, int), np.zeros(0)
-    near, cosine = index.nearest(place, index.query(place, tf))
+def votes(index: Index, place: np.ndarray, tf: np.ndarray, offsets: np.ndarray):
+    """The weighted share of toxic neighbours per document, and the neighbours."""
+    n = len(offsets) - 1
+    doc, example, cosine = index.nearest(place, tf, offsets)
     weight = cosine ** 2
-    return float((weight * index.y[near]).sum() / (weight.sum() + PRIOR)), near, cosine
+    toxic = np.bincount(doc, weight * index.y[example], n) if len(doc) else np.zeros(n)
+    return toxic / (np.bincount(doc, weight, n) + PRIOR), (doc, example, cosine)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +263,12 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not held:
         rate = rows.get(1, 0) / max(1, sum(rows.values()))
         return Model(index, (np.array([0.0, 1.0]), np.array([rate, max(rate, 0.9)])))
-    x = np.array([vote(index, r[2], r[3])[0] for r in held])
+    offsets = np.cumsum([0] + [len(r[2]) for r in held])
+    x = np.zeros(len(held))
+    for a in range(0, len(held), 200):
+        own = offsets[a:a + 201]
+        place, tf = (np.concatenate([r[c] for r in held[a:a + 200]]) for c in (2, 3))
+        x[a:a + 200] = votes(index, place, tf, own - own[0])[0]
     y = np.array([float(r[1]) for r in held])
     w = np.array([rows[r[1]] / taken[r[1]] for r in held])
     return Model(index, isotonic(x, y, w))
@@ -254,17 +292,16 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         index = model.index
         for chunk in _chunks(batch["text"]):
             place, tf, offsets = _features(chunk, index.vocab)
-            votes, near = np.zeros(chunk.n), []
-            for d in range(chunk.n):
-                a, b = offsets[d], offsets[d + 1]
-                votes[d], who, cosine = vote(index, place[a:b], tf[a:b])
-                near.append([{"doc_id": int(index.ids[i]), "label": int(index.y[i]),
-                              "cosine": float(c)} for i, c in zip(who, cosine)])
-            score = model.score(votes)
+            share, (doc, example, cosine) = votes(index, place, tf, offsets)
+            near = pa.StructArray.from_arrays(
+                [pa.array(index.ids[example], pa.int64()), pa.array(index.y[example], pa.int32()),
+                 pa.array(cosine)], fields=list(kind.value_type))
+            score = model.score(share)
             part = batch.slice(chunk.first, chunk.n)
             yield {"doc_id": part["doc_id"], "held_out": part["held_out"], "score": score,
                    "predicted": (score >= 0.5).astype(np.int32),
-                   "neighbours": pa.array(near, kind)}
+                   "neighbours": pa.ListArray.from_arrays(
+                       pa.array(np.searchsorted(doc, np.arange(chunk.n + 1)), pa.int32()), near)}
 
     slim = pair(docs, id_col, text_col).withColumn("held_out", fold(F.col("doc_id")) == 0)
     return each(slim, work, "doc_id long, held_out boolean, score double, predicted int, "
