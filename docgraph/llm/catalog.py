@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import decontaminate, linededup, pieces, quality, sharding, toxicity
+from docgraph.llm import decontaminate, linededup, pieces, quality, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,8 @@ def op4(spark: SparkSession, path: str) -> DataFrame:
 @query("op5_toxicity")
 def op5(spark: SparkSession, path: str) -> DataFrame:
     return toxicity.scored(table(spark, path, "documents"), table(spark, path, "labels"))
+
+
+@query("op2_secret_scans")
+def op2(spark: SparkSession, path: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, path, "documents")))
