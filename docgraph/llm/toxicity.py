@@ -25,8 +25,8 @@ from docgraph.llm.frames import each, pair
 from docgraph.plans import storage
 
 #: Bounds of the sample of labelled rows, by label, and of the vocabulary.
-SAMPLE = {1: 4_000, 0: 8_000}
-FEATURES = 2_048
+SAMPLE = {1: 1_500, 0: 4_500}
+FEATURES = 512
 #: Least chi-square of a word by example, and least number of examples that have it.
 CHI, DOCUMENTS = 0.002, 5
 #: Bytes of text whose documents are scored side by side.
