@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import decontaminate, linededup, pieces, quality, secrets, sharding, toxicity
+from docgraph.llm import decontaminate, linededup, lmscore, pieces, quality, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,31 @@ def op5(spark: SparkSession, path: str) -> DataFrame:
 @query("op2_secret_scans")
 def op2(spark: SparkSession, path: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, path, "documents")))
+
+
+@query("op7_lm_scoring", """
+with docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+words as (select doc_id, unnest(ws) as w, unnest(range(len(ws))) as i from docs),
+counts as (select w, count(*) as n from words group by w),
+total as (select sum(n) as n from counts),
+vocab as (select w from counts, total where counts.n * 1048576 >= total.n),
+toks as (select doc_id, i, coalesce(v.w, '') as w from words left join vocab v on words.w = v.w),
+uni as (select w, count(*) as n from toks group by w),
+pairs as (select doc_id, i, w, lag(w) over (partition by doc_id order by i) as p from toks),
+bi as (select p, w, count(*) as n from pairs where p is not null group by p, w),
+scored as (
+  select s.doc_id, s.p is not null and b.n < 2 as back,
+         case when s.p is null then ln(u.n / t.n) when b.n >= 2 then ln(b.n / q.n)
+              else ln(0.4) + ln(u.n / t.n) end as x
+  from pairs s cross join total t join uni u on s.w = u.w
+  left join bi b on s.p = b.p and s.w = b.w left join uni q on s.p = q.w),
+summed as (select doc_id, count(*) as n, count(*) filter (back) as backs, sum(x) as x
+           from scored group by doc_id)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_words, coalesce(s.backs, 0)::bigint as n_backoff,
+       round(coalesce(s.x, 0.0), 4)::double as log_score, round(s.x / s.n, 6)::double as score
+from docs d left join summed s on d.doc_id = s.doc_id
+""")
+def op7(spark: SparkSession, path: str) -> DataFrame:
+    return lmscore.scores(table(spark, path, "documents"))
