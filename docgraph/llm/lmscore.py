@@ -4,9 +4,9 @@ A word of the vocabulary makes up at least one in ``RARE`` of all words, so ther
 RARE of them, whatever the size of the corpus; all other words are one word, the unknown. With
 ids of 20 bits a bigram is a 40-bit key, and no two bigrams share one.
 
-The bigrams of a document go, as one array per hash bucket, to the bucket's task. There they are
-counted (the count table of the bucket), joined to the same bigrams of each document, and summed
-per document. A bigram that the corpus has at least ``SEEN`` times scores ln(c(ab) / c(a)); any
+The bigrams of a chunk of documents go, as one array per hash bucket, to the bucket's task. There
+they are counted (the count table of the bucket), joined to the same bigrams of each document, and
+summed per document; the sums of a chunk's documents meet again by chunk. A bigram that the corpus has at least ``SEEN`` times scores ln(c(ab) / c(a)); any
 other backs off to ln(0.4 * c(b) / N). The first word of a document scores ln(c(a) / N).
 
 A frequent bigram would bring a row of nearly every document into one bucket. Bigrams that are
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,6 @@ BACKOFF, SEEN = 0.4, 2
 FREQUENT, SHARE = 4_096, 1 / 4_096
 #: Bigrams in a bucket on average.
 BUCKET = 4_000_000
-#: Into so many parts, times the batches, go the rows that need no bucket.
-PARTS = 4
 
 
 def _counts(batch: pa.RecordBatch):
@@ -116,9 +115,8 @@ def _score(key: np.ndarray, n: np.ndarray, logs: np.ndarray, total: int):
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_backoff, log_score (sum) and score (mean per word) of every document.
 
-    Null and empty texts have no words, log_score 0 and no score (null). Rows that share an id
-    are scored together, as one document with a sentence break between them; the null id is one
-    such id. An empty table gives an empty result.
+    Null and empty texts have no words, log_score 0 and no score (null). Every row is a document
+    of its own, also where ids repeat or are null. An empty table gives an empty result.
     """
     texts = pair(docs, id_col, text_col)
     vocab, count, total = vocabulary(texts)
@@ -127,65 +125,95 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     buckets = max(1, -(-total // BUCKET))
     shared = docs.sparkSession.sparkContext.broadcast((vocab, logs, keys, often))
 
-    def emit(batch):
-        """Per document one row with what is known here (bucket -1, dealt to parts by row), and
-        one row per bucket."""
+    def emit(batches):
+        """Per chunk one row with what is known here (bucket -1), and one row per bucket."""
         vocab, logs, keys, often = shared.value
-        for chunk in K.chunks(batch["text"]):
-            ids, first, key, offsets = _bigrams(chunk, vocab)
-            doc = np.repeat(np.arange(chunk.n), np.diff(offsets))
-            part = batch.slice(chunk.first, chunk.n)["doc_id"]
-            known = np.zeros(chunk.n)
-            filled = np.diff(first) > 0
-            known[filled] = logs[ids[first[:-1][filled]]]
-            rest = np.ones(len(key), bool)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                rest = keys[at] != key
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for chunk in K.chunks(batch["text"]):
+                number += 1
+                ids, first, key, offsets = _bigrams(chunk, vocab)
+                doc = np.repeat(np.arange(chunk.n), np.diff(offsets))
+                known = np.zeros(chunk.n)
+                filled = np.diff(first) > 0
+                known[filled] = logs[ids[first[:-1][filled]]]
+                at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+                rest = keys[at] != key if len(keys) else np.ones(len(key), bool)
                 value, back = _score(key[~rest], often[at[~rest]], logs, total)
                 known += np.bincount(doc[~rest], value, chunk.n)
-                backs = np.bincount(doc[~rest], back, chunk.n).astype(np.int64)
-            else:
-                backs = np.zeros(chunk.n, np.int64)
-            yield {"bucket": np.full(chunk.n, -1), "part": np.arange(chunk.n) % PARTS + first[-1],
-                   "doc_id": part, "n_words": np.diff(first),
-                   "n_backoff": backs, "known": known,
-                   "keys": K.lists(np.zeros(0, int), np.zeros(chunk.n + 1, int))}
-            key, doc = key[rest], doc[rest]
-            bucket = (K.mixed(key.astype(K.U)) % K.U(buckets)).astype(np.int64)
-            order = np.lexsort((bucket, doc))
-            key, doc, bucket = key[order], doc[order], bucket[order]
-            new = np.flatnonzero(np.concatenate(([True], (np.diff(doc) != 0) | (
-                np.diff(bucket) != 0)))) if len(key) else np.zeros(0, int)
-            zero = np.zeros(len(new), np.int64)
-            yield {"bucket": bucket[new], "part": zero, "doc_id": part.take(pa.array(doc[new])),
-                   "n_words": zero, "n_backoff": zero, "known": zero.astype(float),
-                   "keys": K.lists(key, np.append(new, len(key)))}
+                backs = np.bincount(doc[~rest], back, chunk.n)
+                yield _rows([-1], [number], [number], np.arange(chunk.n), [0, chunk.n], None,
+                            batch["doc_id"].slice(chunk.first, chunk.n), np.diff(first), backs, known)
+                key, doc = key[rest], doc[rest]
+                bucket = (K.mixed(key.astype(K.U)) % K.U(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                met, begin = np.unique(bucket[order], return_index=True)
+                yield _rows(met, np.zeros(len(met)), np.full(len(met), number), doc[order],
+                            np.append(begin, len(key)), key[order])
 
     def join(rows: pa.Table) -> pa.Table:
-        """Count the bigrams of a bucket and score them for each of its documents; rows of
-        bucket -1 are done."""
+        """Count the bigrams of a bucket and sum their scores per row and document."""
         if rows["bucket"][0].as_py() < 0:
-            return rows.select(["doc_id", "n_words", "n_backoff", "known"])
+            return rows.select(list(SUMS))
         _, logs, _, _ = shared.value
-        lists = pa.concat_arrays(rows["keys"].chunks)
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        key = lists.values.to_numpy()[offsets[0]:offsets[-1]]
-        offsets = offsets - offsets[0]
+        offsets, key = _flat(rows["keys"])
+        _, doc = _flat(rows["docs"])
         _, at, n = np.unique(key, return_inverse=True, return_counts=True)
         value, back = _score(key, n[at], logs, total)
-        row = np.repeat(np.arange(len(lists)), np.diff(offsets))
-        return pa.table({"doc_id": rows["doc_id"], "n_words": np.zeros(len(lists), np.int64),
-                         "n_backoff": K.sums(back.astype(np.int64), offsets),
-                         "known": np.bincount(row, value, len(lists))})
-
-    schema = "doc_id long, n_words long, n_backoff long, known double"
-    rows = each(texts, emit, "bucket long, part long, " + schema + ", keys array<long>")
-    met = rows.groupBy("bucket", "part").applyInArrow(join, schema)
-    return (met.groupBy("doc_id")
-            .agg(F.sum("n_words").alias("n_words"), F.sum("n_backoff").alias("n_backoff"),
-                 F.sum("known").alias("log_score"))
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
+        edges = np.append(np.searchsorted(row[new], np.arange(len(offsets) - 1)), len(new))
+        return pa.table({
+            "chunk": rows["chunk"], "docs": K.lists(doc[new].astype(np.int32), edges, pa.int32()),
+            "ids": pa.nulls(len(rows), pa.list_(pa.int64())),
+            "n_words": pa.nulls(len(rows), pa.list_(pa.int64())),
+            "backs": K.lists(np.add.reduceat(back.astype(np.int64), new), edges),
+            "known": K.lists(np.add.reduceat(value, new), edges, pa.float64())})
+
+    def meet(rows: pa.Table) -> pa.Table:
+        """The sums of a chunk's documents."""
+        ids = next(x for x in rows["ids"] if x.is_valid).values
+        words = next(x for x in rows["n_words"] if x.is_valid).values
+        _, doc = _flat(rows["docs"])
+        known = np.bincount(doc, _flat(rows["known"])[1], len(ids))
+        backs = np.bincount(doc, _flat(rows["backs"])[1], len(ids)).astype(np.int64)
+        return pa.table({"doc_id": ids, "n_words": words, "n_backoff": backs, "log_score": known})
+
+    kind = ", ".join(f"{k} {v}" for k, v in SUMS.items())
+    rows = texts.mapInArrow(emit, "bucket long, part long, keys array<long>, " + kind)
+    return (rows.groupBy("bucket", "part").applyInArrow(join, kind)
+            .groupBy("chunk").applyInArrow(
+                meet, "doc_id long, n_words long, n_backoff long, log_score double")
             .withColumn("score", F.when(F.col("n_words") > 0,
                                         F.round(F.col("log_score") / F.col("n_words"), 6)))
             .withColumn("log_score", F.round("log_score", 4)))
 
+
+#: Columns of the partial sums.
+SUMS = {"chunk": "long", "docs": "array<int>", "ids": "array<long>", "n_words": "array<long>",
+        "backs": "array<long>", "known": "array<double>"}
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of a list column."""
+    lists = pa.concat_arrays(column.chunks)
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return offsets - offsets[0], lists.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]]
+
+
+def _rows(bucket, part, chunk, docs, offsets, keys, ids=None, words=None, backs=None, known=None):
+    n = len(bucket)
+    offsets = np.asarray(offsets)
+    edge = pa.array(offsets.astype(np.int32))
+    none = pa.nulls(n, pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.asarray(bucket), pa.int64()), pa.array(np.asarray(part).astype(np.int64)),
+         none if keys is None else K.lists(keys, offsets),
+         pa.array(np.asarray(chunk).astype(np.int64)),
+         K.lists(docs.astype(np.int32), offsets, pa.int32()),
+         none if ids is None else pa.ListArray.from_arrays(edge, ids),
+         none if words is None else K.lists(words, offsets),
+         none if backs is None else K.lists(backs.astype(np.int64), offsets),
+         pa.nulls(n, pa.list_(pa.float64())) if known is None
+         else K.lists(known, offsets, pa.float64())],
+        names=["bucket", "part", "keys", *SUMS])
