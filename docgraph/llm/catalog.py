@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import decontaminate, linededup, lmscore, pieces, quality, secrets, sharding, toxicity
+from docgraph.llm import decontaminate, jaccard, linededup, lmscore, pieces, quality, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,27 @@ from docs d left join summed s on d.doc_id = s.doc_id
 """)
 def op7(spark: SparkSession, path: str) -> DataFrame:
     return lmscore.scores(table(spark, path, "documents"))
+
+
+@query("op1_ngram_jaccard_join", r"""
+with docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+sets as (select doc_id, list_distinct(case when len(ws) = 0 then []
+           when len(ws) < 3 then [array_to_string(ws, ' ')]
+           else list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))
+           end) as s from docs),
+grams as (select doc_id, len(s) as n, unnest(s) as g from sets),
+common as (select a.doc_id as x, b.doc_id as y, a.n as nx, b.n as ny, count(*) as k
+           from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as (select x, y from common where 100 * k >= 90 * (nx + ny - k)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (with recursive r(x, y) as (
+  select doc_id, doc_id from documents union
+  select r.x, b.y from r join both_ways b on r.y = b.x) select x, min(y) as c from r group by x)
+select s.doc_id, len(s.s)::bigint as n_shingles, r.c as component_id
+from sets s join reach r on s.doc_id = r.x
+""".replace("\\\\", "\\"))
+def op1(spark: SparkSession, path: str) -> DataFrame:
+    rows = jaccard.join(table(spark, path, "documents"), n=3, num=9, den=10)
+    return rows.select("doc_id", "n_shingles", "component_id")
