@@ -28,6 +28,9 @@ from docgraph.plans import storage
 FRAGMENTS = 8
 #: N-grams that are put last: how many, and from how many heads on. They only change the order.
 LAST, HEADS = 1 << 17, 16
+#: Classes whose texts are fetched by a broadcast of their row hashes (16 bytes each); with more,
+#: by a shuffle of the texts.
+FETCHED = 1 << 20
 
 
 def _prefix(n: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -122,9 +125,11 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, nu
               den: int) -> DataFrame:
     """The pairs of classes (a, b) that reach the threshold."""
     pairs = storage.stored(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("class")).unionByName(
-        pairs.select(F.col("b").alias("class"))).distinct()
-    own = needed.join(classes.select("class", "row"), "class")
+    needed = pairs.select(F.col("a").alias("id")).unionByName(
+        pairs.select(F.col("b").alias("id"))).distinct()
+    own = storage.stored(needed.join(classes.select("id", "row"), "id"), "needed")
+    if own.count() <= FETCHED:
+        own = F.broadcast(own)
 
     def cut(batch):
         for chunk in K.chunks(batch["text"]):
@@ -133,19 +138,20 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, nu
             fragment = (values >> K.U(64 - FRAGMENTS.bit_length() + 1)).astype(np.int64)
             new = np.flatnonzero(np.concatenate(([True], (np.diff(doc) != 0) | (
                 np.diff(fragment) != 0)))) if len(values) else np.zeros(0, int)
-            part = batch["class"].slice(chunk.first, chunk.n)
-            yield {"class": part.take(pa.array(doc[new])), "fragment": fragment[new],
+            part = batch["id"].slice(chunk.first, chunk.n)
+            yield {"id": part.take(pa.array(doc[new])), "fragment": fragment[new],
                    "grams": K.lists(values, np.append(new, len(values)))}
 
-    rows = _keyed(texts).join(own, "row").dropDuplicates(["row"]).select("class", "text")
-    pieces = storage.stored(each(rows, cut, "class binary, fragment long, grams array<long>"),
+    rows = _keyed(texts).join(own, "row").select("id", "text")
+    pieces = storage.stored(each(rows, cut, "id long, fragment long, grams array<long>"),
                             "fragments")
-    left = pieces.select(F.col("class").alias("a"), "fragment", F.col("grams").alias("x"))
-    right = pieces.select(F.col("class").alias("b"), "fragment", F.col("grams").alias("y"))
+    left = pieces.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
+    right = pieces.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
     shared = (pairs.join(left, "a").join(right, ["b", "fragment"])
-              .select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"))
+              .select("a", "b", "fragment", F.size(F.array_intersect("x", "y")).alias("shared"))
+              .groupBy("a", "b", "fragment").agg(F.max("shared").alias("shared"))  # repeated rows
               .groupBy("a", "b").agg(F.sum("shared").alias("shared")))
-    sizes = classes.select("class", "n_grams")
+    sizes = classes.select("id", "n_grams")
     return (shared.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
             .filter((num + den) * F.col("shared") >= num * (F.col("na") + F.col("nb")))
             .select("a", "b"))
@@ -168,41 +174,41 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
     """
     texts = pair(docs, id_col, text_col)
     rows = storage.stored(members(texts, n, num, den), "sets")
-    classes = storage.stored(
-        rows.filter("class is not null").groupBy("class").agg(
-            F.min("doc_id").alias("least"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in (
-                "n_grams", "usual", "s0", "s1", "prefix")]), "classes")
-    heads = classes.select("class", "n_grams", "s0", "s1",
-                           (F.col("n_grams") - F.col("usual")).alias("unusual"),
-                           F.explode("prefix").alias("gram"))
-    grams = heads.groupBy("gram").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("unusual", "class", "n_grams", "s0", "s1")).alias("lead")).filter("n > 1")
-    heads = storage.stored(heads.join(grams, "gram"), "heads")
-
-    led = heads.select(F.struct("class", "n_grams", "s0", "s1").alias("x"), F.col("lead").alias("y"))
-    first = led.filter((F.col("x.class") != F.col("y.class")) & _possible("x", "y", num, den))
+    sets = ["n_grams", "usual", "s0", "s1", "prefix"]
+    classes = (rows.filter("class is not null").groupBy("class")
+               .agg(F.min("doc_id").alias("least"), F.min("row").alias("row"),
+                    *[F.first(c).alias(c) for c in sets])
+               .withColumn("id", F.monotonically_increasing_id()))
+    classes = storage.stored(classes, "classes")
+    heads = classes.select("id", F.explode("prefix").alias("gram"))
+    grams = heads.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    about = classes.select("id", "n_grams", "s0", "s1",
+                           (F.col("n_grams") - F.col("usual")).alias("unusual"))
+    heads = storage.stored(heads.join(grams, "gram").join(about, "id"), "heads")
+    lead = heads.groupBy("gram").agg(
+        F.min(F.struct("unusual", "id", "n_grams", "s0", "s1")).alias("y"))
+
+    led = heads.select("gram", F.struct("id", "n_grams", "s0", "s1").alias("x")).join(lead, "gram")
+    first = led.filter((F.col("x.id") != F.col("y.id")) & _possible("x", "y", num, den))
     links = storage.stored(_overlaps(_ordered(first), texts, classes, n, num, den), "links")
-    groups = connected(links)
+    groups = connected(links).withColumnRenamed("node", "id")
 
     # What is still apart although it shares the head of a set.
-    own = heads.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class"))
+    own = heads.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = own.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    own = own.join(mixed.filter("lo < hi").select("gram"), "gram").select(
-        "gram", F.struct("class", "n_grams", "s0", "s1", "component").alias("x"),
-        F.col("lead.class").alias("lead"))
-    own = own.filter(F.col("x.class") != F.col("lead"))
+    mixed = mixed.filter("lo < hi").select("gram")
+    own = storage.stored(own.join(mixed, "gram").join(lead.select(
+        "gram", F.col("y.id").alias("lead")), "gram").filter("id <> lead").select(
+        "gram", F.struct("id", "n_grams", "s0", "s1", "component").alias("x")), "apart")
     other = own.select("gram", F.col("x").alias("y"))
-    rest = own.select("gram", "x").join(other, "gram").filter(
-        (F.col("x.class") < F.col("y.class")) & (F.col("x.component") != F.col("y.component"))
+    rest = own.join(other, "gram").filter(
+        (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
         & _possible("x", "y", num, den))
     more = storage.stored(_overlaps(_ordered(rest), texts, classes, n, num, den), "links")
-    groups = connected(links.unionByName(more))
+    groups = connected(links.unionByName(more)).withColumnRenamed("node", "id")
 
-    labels = classes.select("class", "least").join(
-        groups.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class"))
+    labels = classes.select("class", "id", "least").join(groups, "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
     least = labels.groupBy("component").agg(F.min("least").alias("component_id"))
     named = labels.join(least, "component").select("class", "component_id")
     return rows.join(named, "class", "left").select(
@@ -212,5 +218,5 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
-    x, y = F.col("x.class"), F.col("y.class")
+    x, y = F.col("x.id"), F.col("y.id")
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
