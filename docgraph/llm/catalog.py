@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import decontaminate, jaccard, linededup, lmscore, pieces, quality, secrets, sharding, toxicity
+from docgraph.llm import decontaminate, jaccard, linededup, lmscore, pieces, quality, repeats, secrets, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,8 @@ from sets s join reach r on s.doc_id = r.x
 def op1(spark: SparkSession, path: str) -> DataFrame:
     rows = jaccard.join(table(spark, path, "documents"), n=3, num=9, den=10)
     return rows.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op6_suffix_array_dedup")
+def op6(spark: SparkSession, path: str) -> DataFrame:
+    return repeats.removed(table(spark, path, "documents")).drop("kept")

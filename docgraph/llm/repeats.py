@@ -181,3 +181,167 @@ def suffix_array(s: list[int]) -> list[int]:
             placed[p] = True
             p = prev[p]
     return out[1:]
+
+
+def repeated_windows(strings: list[tuple[bytes, bytes, int]], width: int) -> list[list[bool]]:
+    """Which windows of the strings of a group occur twice.
+
+    A string is (bytes before the core, bytes behind it, number of copies); its windows take
+    ``width`` bytes around the core, the first one as many as possible before it. All strings, the
+    core as one symbol and an end each, share one suffix array; equal windows are neighbours.
+    """
+    text: list[int] = []
+    where: dict[int, tuple[int, int]] = {}
+    out = []
+    for i, (left, right, _) in enumerate(strings):
+        windows = len(left) + len(right) - width + 1
+        out.append([False] * windows)
+        for k in range(windows):
+            where[len(text) + k] = (i, k)
+        text += [c + 3 for c in left]
+        text.append(2)
+        text += [c + 3 for c in right]
+        text.append(1)
+    length = width + 1
+    before: list[int] | None = None
+    group: list[tuple[int, int]] = []
+
+    def close():
+        if len(group) > 1 or (group and strings[group[0][0]][2] > 1):
+            for i, k in group:
+                out[i][k] = True
+
+    for p in suffix_array(text):
+        if p not in where:
+            continue
+        own = text[p:p + length]
+        if own != before:
+            close()
+            group, before = [], own
+        group.append(where[p])
+    close()
+    return out
+
+
+def covered(docs: DataFrame, size: int = SIZE, bin_: int = BIN, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """row (hash of id and text) and spans: arrays of first and last repeated windows."""
+    texts = pair(docs, id_col, text_col).select(
+        F.xxhash64("doc_id", "text").alias("row"), F.xxhash64("text").alias("same"), "text")
+
+    def cut(batch):
+        for chunk in K.chunks(batch["text"], CHUNK):
+            found = _strings(chunk, size, bin_)
+            part = batch["row"].slice(chunk.first, chunk.n)
+            yield {"row": part.take(pa.array(found["doc"])), "key": found["key"],
+                   "whole": found["whole"], "lo": found["lo"], "hi": found["hi"],
+                   "core": found["core"]}
+
+    rows = each(texts.select("row", "text"), cut,
+                "row long, key long, whole long, lo int, hi int, core int")
+    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("a"),
+                                   F.max("whole").alias("b")).filter("n > 1")
+    shared = storage.stored(rows.join(keys.select("key", (F.col("a") == F.col("b")).alias("equal")),
+                                      "key"), "shared")
+    # One string only, twice or more: its order is trivial, all its windows are repeated.
+    sure = shared.filter("equal").select("row", "lo", "hi")
+
+    # The others: flanks of the strings, from the texts of their documents.
+    spans = (shared.filter("not equal").groupBy("row").agg(F.collect_set(
+        F.struct("key", "whole", "lo", "hi", "core")).alias("strings")))
+    flanked = texts.select("row", "text").join(spans, "row").dropDuplicates(["row"])
+    width = bin_ - 1  # bytes of a window outside the core
+
+    def flanks(batch):
+        for i in range(batch.num_rows):
+            data = (batch["text"][i].as_py() or "").encode()
+            own = batch["strings"][i].as_py()
+            yield {"row": [batch["row"][i].as_py()] * len(own),
+                   **{k: [s[k] for s in own] for k in ("key", "whole", "lo", "hi")},
+                   "left": [data[s["lo"]:s["core"]] for s in own],
+                   "right": [data[s["core"] - width + size:s["hi"] + size] for s in own]}
+
+    open_ = storage.stored(each(flanked, flanks, "row long, key long, whole long, lo int, hi int, "
+                                                 "left binary, right binary"), "flanks")
+    different = open_.groupBy("key", "whole").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("left").alias("left"),
+        F.first("right").alias("right"))
+    many = different.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    different = storage.stored(different.join(many, "key"), "strings")
+
+    def sort(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        hits = repeated_windows([(r["left"], r["right"], r["copies"]) for r in rows], width)
+        return pa.Table.from_pylist(
+            [{"key": r["key"], "whole": r["whole"], "hits": h} for r, h in zip(rows, hits)],
+            schema=pa.schema([("key", pa.int64()), ("whole", pa.int64()),
+                              ("hits", pa.list_(pa.bool_()))]))
+
+    small = different.filter(F.col("n") <= STRINGS).groupBy("key").applyInArrow(
+        sort, "key long, whole long, hits array<boolean>")
+
+    def windows(batch):
+        out: dict[str, list] = {k: [] for k in ("key", "whole", "place", "window", "copies")}
+        for r in batch.to_pylist():
+            joined = r["left"] + r["right"]
+            for k in range(len(joined) - width + 1):
+                out["key"].append(r["key"])
+                out["whole"].append(r["whole"])
+                out["place"].append(k)
+                cut_at = len(r["left"]) - k
+                out["window"].append(hashlib.blake2b(
+                    cut_at.to_bytes(4, "little") + joined[k:k + width], digest_size=16).digest())
+                out["copies"].append(r["copies"])
+        yield out
+
+    crowd = each(different.filter(F.col("n") > STRINGS).select("key", "whole", "left", "right",
+                                                               "copies"),
+                 windows, "key long, whole long, place int, window binary, copies long")
+    twice = crowd.groupBy("key", "window").agg(F.sum("copies").alias("n")).filter("n > 1")
+    large = (crowd.join(twice.select("key", "window"), ["key", "window"])
+             .groupBy("key", "whole").agg(F.collect_set("place").alias("places")))
+    large = large.select("key", "whole", F.transform(
+        F.sequence(F.lit(0), F.array_max("places")),
+        lambda i: F.array_contains("places", i)).alias("hits"))
+
+    hits = small.unionByName(large)
+    found = (open_.select("row", "key", "whole", "lo", "hi").join(hits, ["key", "whole"])
+             .select("row", "lo", F.posexplode("hits").alias("at", "hit")).filter("hit")
+             .select("row", (F.col("lo") + F.col("at")).alias("lo"),
+                     (F.col("lo") + F.col("at")).alias("hi")))
+    return sure.unionByName(found).groupBy("row").agg(
+        F.collect_set(F.struct("lo", "hi")).alias("spans"))
+
+
+def removed(docs: DataFrame, size: int = SIZE, bin_: int = BIN, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes).
+
+    Null texts count as empty; texts shorter than ``size`` bytes lose nothing; repeated rows are
+    repeats of each other; an empty table gives an empty result.
+    """
+    spans = covered(docs, size, bin_, id_col, text_col)
+    texts = pair(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
+    joined = texts.join(spans, "row", "left").select("doc_id", "text", "spans")
+
+    def rebuild(batch):
+        out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256",
+                                                "kept")}
+        for text, spans in zip(batch["text"], batch["spans"]):
+            data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
+            cover = np.zeros(len(data) + 1, np.int64)
+            own = spans.values
+            if own is not None and len(own):
+                np.add.at(cover, own.field("lo").to_numpy(), 1)
+                np.add.at(cover, own.field("hi").to_numpy() + size, -1)
+            gone = np.cumsum(cover)[:len(data)] > 0
+            kept = data[~gone].tobytes()
+            out["n_bytes"].append(len(data))
+            out["n_removed"].append(int(gone.sum()))
+            out["n_spans"].append(int((np.diff(gone.astype(np.int8), prepend=0) > 0).sum()))
+            out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+            out["kept"].append(kept)
+        yield {"doc_id": batch["doc_id"], **out}
+
+    return each(joined, rebuild, "doc_id long, n_bytes long, n_removed long, n_spans long, "
+                                 "kept_sha256 string, kept binary")
