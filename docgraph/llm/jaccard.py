@@ -28,6 +28,8 @@ from docgraph.plans import storage
 FRAGMENTS = 8
 #: N-grams that are put last: how many, and from how many heads on. They only change the order.
 LAST, HEADS = 1 << 17, 16
+#: Bits of the wide signature, by which pairs are tested before their fragments are counted.
+BITS = 1024
 #: Classes whose texts are fetched by a broadcast of their row hashes (16 bytes each); with more,
 #: by a shuffle of the texts.
 FETCHED = 1 << 20
@@ -97,6 +99,9 @@ def members(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 flat = np.bincount(doc[own] * 64 + (bit[own] & K.U(63)).astype(np.int64),
                                    minlength=chunk.n * 64).reshape(chunk.n, 64) & 1
                 parts.append((flat.astype(K.U) << np.arange(64, dtype=K.U)).sum(axis=1, dtype=K.U))
+            place = doc * BITS + (values >> K.U(20) & K.U(BITS - 1)).astype(np.int64)
+            odd = (np.bincount(place, minlength=chunk.n * BITS) & 1).astype(np.uint8)
+            wide = np.packbits(odd, bitorder="little").view("<i8")
             one = [K.sums(K.mixed(values ^ K.U(salt)).view(np.int64), offsets) for salt in (1, 2)]
             digest = np.stack(one, axis=1).astype("<i8")
             part = batch.slice(chunk.first, chunk.n)
@@ -104,10 +109,11 @@ def members(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
                    "class": [d.tobytes() if k else None for d, k in zip(digest, size)],
                    "n_grams": size, "usual": K.sums(late.astype(np.int64), offsets),
                    "s0": parts[0].view(np.int64), "s1": parts[1].view(np.int64),
-                   "prefix": K.lists(lead, lead_at)}
+                   "prefix": K.lists(lead, lead_at),
+                   "wide": K.lists(wide, np.arange(chunk.n + 1) * (BITS // 64))}
 
     return each(_keyed(texts), work, "doc_id long, row long, class binary, n_grams long, usual long, s0 long, "
-                             "s1 long, prefix array<long>")
+                             "s1 long, prefix array<long>, wide array<long>")
 
 
 def _possible(x: str, y: str, num: int, den: int) -> Column:
@@ -116,15 +122,26 @@ def _possible(x: str, y: str, num: int, den: int) -> Column:
     apart = F.lit(0)
     for s in ("s0", "s1"):
         apart = apart + F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}")))
-    # |A n B| <= (|A| + |B| - apart) / 2, and a link needs (num + den) |A n B| >= num (|A| + |B|).
-    return (den * F.least(nx, ny) >= num * F.greatest(nx, ny)) & (
-        (nx + ny - apart) * (num + den) >= 2 * num * (nx + ny))
+    return (den * F.least(nx, ny) >= num * F.greatest(nx, ny)) & _room(nx, ny, apart, num, den)
+
+
+def _room(nx: Column, ny: Column, apart: Column, num: int, den: int) -> Column:
+    """Whether sets whose symmetric difference has at least ``apart`` elements can be linked.
+
+    |A n B| <= (|A| + |B| - apart) / 2, and a link needs (num + den) |A n B| >= num (|A| + |B|).
+    """
+    return (nx + ny - apart) * (num + den) >= 2 * num * (nx + ny)
 
 
 def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num: int,
               den: int) -> DataFrame:
     """The pairs of classes (a, b) that reach the threshold."""
-    pairs = storage.stored(pairs, "pairs")
+    about = classes.select("id", "n_grams", "wide")
+    pairs = pairs.join(about.toDF("a", "na", "wa"), "a").join(about.toDF("b", "nb", "wb"), "b")
+    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                        F.lit(0), lambda n, x: n + x)
+    pairs = storage.stored(pairs.filter(_room(F.col("na"), F.col("nb"), apart, num, den))
+                           .select("a", "b", "na", "nb"), "pairs")
     needed = pairs.select(F.col("a").alias("id")).unionByName(
         pairs.select(F.col("b").alias("id"))).distinct()
     own = storage.stored(needed.join(classes.select("id", "row"), "id"), "needed")
@@ -147,12 +164,11 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, nu
                             "fragments")
     left = pieces.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
     right = pieces.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
-    shared = (pairs.join(left, "a").join(right, ["b", "fragment"])
+    shared = (pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
               .select("a", "b", "fragment", F.size(F.array_intersect("x", "y")).alias("shared"))
               .groupBy("a", "b", "fragment").agg(F.max("shared").alias("shared"))  # repeated rows
               .groupBy("a", "b").agg(F.sum("shared").alias("shared")))
-    sizes = classes.select("id", "n_grams")
-    return (shared.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    return (shared.join(pairs, ["a", "b"])
             .filter((num + den) * F.col("shared") >= num * (F.col("na") + F.col("nb")))
             .select("a", "b"))
 
@@ -174,7 +190,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
     """
     texts = pair(docs, id_col, text_col)
     rows = storage.stored(members(texts, n, num, den), "sets")
-    sets = ["n_grams", "usual", "s0", "s1", "prefix"]
+    sets = ["n_grams", "usual", "s0", "s1", "prefix", "wide"]
     classes = (rows.filter("class is not null").groupBy("class")
                .agg(F.min("doc_id").alias("least"), F.min("row").alias("row"),
                     *[F.first(c).alias(c) for c in sets])
