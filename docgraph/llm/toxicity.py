@@ -27,8 +27,8 @@ from docgraph.plans import storage
 #: Bounds of the sample of labelled rows, by label, and of the vocabulary.
 SAMPLE = {1: 1_500, 0: 4_500}
 FEATURES = 512
-#: Least chi-square of a word by example, and least number of examples that have it.
-CHI, DOCUMENTS = 0.002, 5
+#: Least chi-square of a word (by example, and at all), and least number of examples that have it.
+CHI, CHI_AT_ALL, DOCUMENTS = 0.002, 10.83, 5
 #: Bytes of text whose documents are scored side by side.
 CHUNK = 1 << 19
 NEAREST, BLOCK = 15, 128
@@ -94,7 +94,7 @@ def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
              .filter((F.col("m") >= DOCUMENTS) & (F.col("m") < n)))
     a, m = F.col("a").cast("double"), F.col("m").cast("double")
     chi = (n * F.pow(a * (n - n1) - (m - a) * n1, 2)) / (m * (n - m) * n1 * (n - n1))
-    best = (count.withColumn("chi", chi).filter(F.col("chi") >= CHI * n)
+    best = (count.withColumn("chi", chi).filter(F.col("chi") >= max(CHI * n, CHI_AT_ALL))
             .orderBy(F.desc("chi"), "term").limit(FEATURES).toPandas())
     terms = best["term"].to_numpy(np.int64).view(K.U)
     order = np.argsort(terms)
