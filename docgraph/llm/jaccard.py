@@ -28,6 +28,8 @@ from docgraph.plans import storage
 FRAGMENTS = 8
 #: N-grams that are put last: how many, and from how many heads on. They only change the order.
 LAST, HEADS = 1 << 17, 16
+#: Further leaders that a group is compared with before its members are.
+ROUNDS = 2
 #: Bits of the wide signature, by which pairs are tested before their fragments are counted.
 BITS = 1024
 #: Classes whose texts are fetched by a broadcast of their row hashes (16 bytes each); with more,
@@ -209,6 +211,18 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
     links = storage.stored(_overlaps(_ordered(first), texts, classes, n, num, den), "links")
     groups = connected(links).withColumnRenamed("node", "id")
 
+    # Other leaders for what is still apart; in a dense group every round joins most of it.
+    for salt in range(ROUNDS):
+        own = heads.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        own = own.select("gram", F.struct(F.xxhash64("id", F.lit(salt)).alias("h"), "id", "n_grams",
+                                          "s0", "s1", "component").alias("x"))
+        other = own.groupBy("gram").agg(F.min("x").alias("y"))
+        again = own.join(other, "gram").filter((F.col("x.component") != F.col("y.component"))
+                                               & _possible("x", "y", num, den))
+        more = _overlaps(_ordered(again), texts, classes, n, num, den)
+        links = storage.stored(links.unionByName(more), "links")
+        groups = connected(links).withColumnRenamed("node", "id")
+
     # What is still apart although it shares the head of a set.
     own = heads.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = own.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
