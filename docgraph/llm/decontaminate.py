@@ -162,7 +162,8 @@ def _searched(df: DataFrame, benchmark: DataFrame, least: int, coverage: float)
             for batch in batches:
                 found = coverages(batch["text"], own)
                 items = [old + [dict(zip(("item_id", "coverage", "longest"), x))
-                                for x in sorted(new) if x[1] >= coverage]
+                                for x in sorted(new, key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
+                                if x[1] >= coverage]
                          for old, new in zip(batch["items"].to_pylist(), found)]
                 at = batch.schema.get_field_index("items")
                 yield batch.set_column(at, "items", pa.array(items, batch["items"].type))
@@ -179,7 +180,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: fl
     """Per document: doc_id, items (id, coverage, longest tile) over the threshold, n_items,
     max_coverage and contaminated.
 
-    Null and empty texts and items match nothing. Items shorter than ``least`` words match as a
+    Null and empty texts and items match nothing; a null item id comes last. Items shorter than ``least`` words match as a
     whole. Repeated rows are judged alike; without items no document is contaminated; an empty
     table gives an empty result.
     """
