@@ -7,8 +7,8 @@ cut into fragments. For a candidate pair the overlap is counted in every fragmen
 rows that hold one fragment of each set, and the partial counts are summed per pair.
 
 Equal sets are one class from the start. In a group of many near copies the class with the
-fewest unusual n-grams leads: all others are compared with it, and only classes that are still in
-different components after that are compared with each other. Sizes and a 128-bit parity
+fewest unusual n-grams leads: the others are compared with it first, then with other members, and
+classes that are still in different components after that are compared with each other. Sizes and a 128-bit parity
 signature, from which the symmetric difference is bounded from below, rule out most candidates.
 """
 
@@ -29,11 +29,13 @@ FRAGMENTS = 8
 #: N-grams that are put last: how many, and from how many heads on. They only change the order.
 LAST, HEADS = 1 << 17, 16
 #: Further leaders that a group is compared with before its members are.
-ROUNDS = 2
+ROUNDS = 4
+#: Partners of one class that are compared with one copy of it.
+CELL = 64
 #: Bits of the wide signature, by which pairs are tested before their fragments are counted.
 BITS = 1024
-#: Classes whose texts are fetched by a broadcast of their row hashes (16 bytes each); with more,
-#: by a shuffle of the texts.
+#: Pairs whose ids and row hashes are broadcast to fetch the texts (24 bytes each); with more, the
+#: texts are shuffled.
 FETCHED = 1 << 20
 
 
@@ -137,18 +139,31 @@ def _room(nx: Column, ny: Column, apart: Column, num: int, den: int) -> Column:
 
 def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num: int,
               den: int) -> DataFrame:
-    """The pairs of classes (a, b) that reach the threshold."""
+    """The pairs of classes (a, b) that reach the threshold.
+
+    The fragments of a travel to those of b. A class b with many partners is copied, once for
+    every ``CELL`` of them, so that no task gets all partners of one class.
+    """
     about = classes.select("id", "n_grams", "wide")
     pairs = pairs.join(about.toDF("a", "na", "wa"), "a").join(about.toDF("b", "nb", "wb"), "b")
     apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                         F.lit(0), lambda n, x: n + x)
     pairs = storage.stored(pairs.filter(_room(F.col("na"), F.col("nb"), apart, num, den))
                            .select("a", "b", "na", "nb"), "pairs")
-    needed = pairs.select(F.col("a").alias("id")).unionByName(
-        pairs.select(F.col("b").alias("id"))).distinct()
-    own = storage.stored(needed.join(classes.select("id", "row"), "id"), "needed")
-    if own.count() <= FETCHED:
-        own = F.broadcast(own)
+    cells = storage.stored(pairs.groupBy("b").agg(
+        F.ceil(F.count(F.lit(1)) / CELL).cast("long").alias("cells")), "cells")
+    routes = pairs.select("a", "b").join(cells, "b").select(
+        "a", "b", F.pmod(F.xxhash64("a"), "cells").alias("cell"))
+    copies = cells.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell"))
+    small = pairs.count() <= FETCHED
+
+    def bounded(df):
+        return F.broadcast(df) if small else df  # at most one row of three numbers per pair
+
+    def fragments(ids):
+        own = bounded(ids.distinct().join(classes.select("id", "row"), "id"))
+        return each(_keyed(texts).join(own, "row").select("id", "text"), cut,
+                    "id long, fragment long, grams array<long>")
 
     def cut(batch):
         for chunk in K.chunks(batch["text"]):
@@ -161,14 +176,12 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, nu
             yield {"id": part.take(pa.array(doc[new])), "fragment": fragment[new],
                    "grams": K.lists(values, np.append(new, len(values)))}
 
-    rows = _keyed(texts).join(own, "row").select("id", "text")
-    pieces = storage.stored(each(rows, cut, "id long, fragment long, grams array<long>"),
-                            "fragments")
-    left = pieces.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
-    right = pieces.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
-    shared = (pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
-              .select("a", "b", "fragment", F.size(F.array_intersect("x", "y")).alias("shared"))
-              .groupBy("a", "b", "fragment").agg(F.max("shared").alias("shared"))  # repeated rows
+    left = fragments(pairs.select(F.col("a").alias("id"))).toDF("a", "fragment", "x")
+    right = fragments(pairs.select(F.col("b").alias("id"))).toDF("b", "fragment", "y")
+    place = ["b", "cell", "fragment"]
+    shared = (left.join(bounded(routes), "a").join(right.join(bounded(copies), "b"), place)
+              .select("a", *place, F.size(F.array_intersect("x", "y")).alias("shared"))
+              .groupBy("a", *place).agg(F.max("shared").alias("shared"))  # repeated rows
               .groupBy("a", "b").agg(F.sum("shared").alias("shared")))
     return (shared.join(pairs, ["a", "b"])
             .filter((num + den) * F.col("shared") >= num * (F.col("na") + F.col("nb")))
@@ -207,35 +220,35 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
         F.min(F.struct("unusual", "id", "n_grams", "s0", "s1")).alias("y"))
 
     led = heads.select("gram", F.struct("id", "n_grams", "s0", "s1").alias("x")).join(lead, "gram")
-    first = led.filter((F.col("x.id") != F.col("y.id")) & _possible("x", "y", num, den))
-    links = storage.stored(_overlaps(_ordered(first), texts, classes, n, num, den), "links")
-    groups = connected(links).withColumnRenamed("node", "id")
-
-    # Other leaders for what is still apart; in a dense group every round joins most of it.
-    for salt in range(ROUNDS):
-        own = heads.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        own = own.select("gram", F.struct(F.xxhash64("id", F.lit(salt)).alias("h"), "id", "n_grams",
-                                          "s0", "s1", "component").alias("x"))
-        other = own.groupBy("gram").agg(F.min("x").alias("y"))
-        again = own.join(other, "gram").filter((F.col("x.component") != F.col("y.component"))
-                                               & _possible("x", "y", num, den))
-        more = _overlaps(_ordered(again), texts, classes, n, num, den)
-        links = storage.stored(links.unionByName(more), "links")
-        groups = connected(links).withColumnRenamed("node", "id")
-
-    # What is still apart although it shares the head of a set.
-    own = heads.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = own.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = mixed.filter("lo < hi").select("gram")
-    own = storage.stored(own.join(mixed, "gram").join(lead.select(
-        "gram", F.col("y.id").alias("lead")), "gram").filter("id <> lead").select(
-        "gram", F.struct("id", "n_grams", "s0", "s1", "component").alias("x")), "apart")
-    other = own.select("gram", F.col("x").alias("y"))
-    rest = own.join(other, "gram").filter(
-        (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-        & _possible("x", "y", num, den))
-    more = storage.stored(_overlaps(_ordered(rest), texts, classes, n, num, den), "links")
-    groups = connected(links.unionByName(more)).withColumnRenamed("node", "id")
+    # Every class is compared with the leader that it shares most heads with.
+    first = (led.filter((F.col("x.id") != F.col("y.id")) & _possible("x", "y", num, den))
+             .groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+             .agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")))
+    groups = connected(_overlaps(first, texts, classes, n, num, den)).withColumnRenamed("node", "id")
+
+    # Heads whose classes are in different components stay in play: for some rounds other
+    # leaders, which join most of a dense group, then whatever is still apart.
+    open_heads = heads
+    for turn in range(ROUNDS + 1):
+        own = open_heads.join(groups, "id", "left").select("gram", F.struct(
+            F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n_grams", "s0", "s1",
+            F.coalesce("component", "id").alias("component")).alias("x"))
+        mixed = own.groupBy("gram").agg(
+            F.min("x").alias("y"), F.min("x.component").alias("lo"),
+            F.max("x.component").alias("hi")).filter("lo < hi").select("gram", "y")
+        apart = storage.stored(own.join(mixed, "gram"), "apart")
+        if apart.isEmpty():
+            break
+        again = apart if turn < ROUNDS else apart.select("gram", "x").join(
+            apart.select("gram", F.col("x").alias("y")), "gram").filter("x.id < y.id")
+        again = again.filter((F.col("x.component") != F.col("y.component"))
+                             & _possible("x", "y", num, den))
+        more = _overlaps(again.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+                         .distinct(), texts, classes, n, num, den)
+        forest = groups.select(F.col("component").alias("a"), F.col("id").alias("b"))
+        groups = connected(forest.unionByName(more)).withColumnRenamed("node", "id")
+        open_heads = apart.select("gram", "x.id", "x.n_grams", "x.s0", "x.s1")
 
     labels = classes.select("class", "id", "least").join(groups, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
@@ -245,8 +258,3 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
         "doc_id", F.col("n_grams").alias("n_shingles"),
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"), F.hex("class").alias("class"))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    x, y = F.col("x.id"), F.col("y.id")
-    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
