@@ -9,7 +9,8 @@ rows that hold one fragment of each set, and the partial counts are summed per p
 Equal sets are one class from the start. In a group of many near copies the class with the
 fewest unusual n-grams leads: the others are compared with it first, then with other members, and
 classes that are still in different components after that are compared with each other. Sizes and a 128-bit parity
-signature, from which the symmetric difference is bounded from below, rule out most candidates.
+signature, from which the symmetric difference is bounded from below, rule out most candidates;
+a wide signature, as long as the set asks for, rules out most of the others.
 """
 
 from __future__ import annotations
@@ -29,10 +30,11 @@ FRAGMENTS = 8
 #: N-grams that are put last: how many, and from how many heads on. They only change the order.
 LAST, HEADS = 1 << 17, 16
 #: Further leaders that a group is compared with before its members are.
-ROUNDS = 4
+ROUNDS = 2
 #: Partners of one class that are compared with one copy of it.
 CELL = 64
-#: Bits of the wide signature, by which pairs are tested before their fragments are counted.
+#: Least bits of the wide signature, by which pairs are tested before their fragments are counted;
+#: larger sets have half as many bits as n-grams or more, a power of two.
 BITS = 1024
 #: Pairs whose ids and row hashes are broadcast to fetch the texts (24 bytes each); with more, the
 #: texts are shuffled.
@@ -103,8 +105,10 @@ def members(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 flat = np.bincount(doc[own] * 64 + (bit[own] & K.U(63)).astype(np.int64),
                                    minlength=chunk.n * 64).reshape(chunk.n, 64) & 1
                 parts.append((flat.astype(K.U) << np.arange(64, dtype=K.U)).sum(axis=1, dtype=K.U))
-            place = doc * BITS + (values >> K.U(20) & K.U(BITS - 1)).astype(np.int64)
-            odd = (np.bincount(place, minlength=chunk.n * BITS) & 1).astype(np.uint8)
+            bits = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(size, 2) / 2)).astype(np.int64))
+            bits_at = np.concatenate(([0], np.cumsum(bits)))
+            place = bits_at[doc] + (values >> K.U(20)).astype(np.int64) % bits[doc]
+            odd = (np.bincount(place, minlength=bits_at[-1]) & 1).astype(np.uint8)
             wide = np.packbits(odd, bitorder="little").view("<i8")
             one = [K.sums(K.mixed(values ^ K.U(salt)).view(np.int64), offsets) for salt in (1, 2)]
             digest = np.stack(one, axis=1).astype("<i8")
@@ -114,7 +118,7 @@ def members(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
                    "n_grams": size, "usual": K.sums(late.astype(np.int64), offsets),
                    "s0": parts[0].view(np.int64), "s1": parts[1].view(np.int64),
                    "prefix": K.lists(lead, lead_at),
-                   "wide": K.lists(wide, np.arange(chunk.n + 1) * (BITS // 64))}
+                   "wide": K.lists(wide, bits_at // 64)}
 
     return each(_keyed(texts), work, "doc_id long, row long, class binary, n_grams long, usual long, s0 long, "
                              "s1 long, prefix array<long>, wide array<long>")
@@ -137,6 +141,23 @@ def _room(nx: Column, ny: Column, apart: Column, num: int, den: int) -> Column:
     return (nx + ny - apart) * (num + den) >= 2 * num * (nx + ny)
 
 
+def _apart(x: str, y: str) -> Column:
+    """A lower bound of the symmetric difference, from two wide signatures.
+
+    A place is a hash modulo the length, so the halves of a signature make the one of half its
+    length. Lengths that are further apart tell nothing.
+    """
+    def folded(c, other):
+        half = F.floor(F.size(c) / 2).cast("int")
+        return F.when(F.size(c) <= F.size(other), F.col(c)).otherwise(F.zip_with(
+            F.slice(c, F.lit(1), half), F.slice(c, half + 1, half), lambda a, b: a.bitwiseXOR(b)))
+
+    odd = F.aggregate(F.zip_with(folded(x, y), folded(y, x), lambda a, b: F.coalesce(
+        F.bit_count(a.bitwiseXOR(b)), F.lit(0))), F.lit(0), lambda n, v: n + v)
+    small, large = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
+    return F.when(large <= 2 * small, odd).otherwise(0)
+
+
 def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num: int,
               den: int) -> DataFrame:
     """The pairs of classes (a, b) that reach the threshold.
@@ -146,9 +167,7 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, nu
     """
     about = classes.select("id", "n_grams", "wide")
     pairs = pairs.join(about.toDF("a", "na", "wa"), "a").join(about.toDF("b", "nb", "wb"), "b")
-    apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                        F.lit(0), lambda n, x: n + x)
-    pairs = storage.stored(pairs.filter(_room(F.col("na"), F.col("nb"), apart, num, den))
+    pairs = storage.stored(pairs.filter(_room(F.col("na"), F.col("nb"), _apart("wa", "wb"), num, den))
                            .select("a", "b", "na", "nb"), "pairs")
     cells = storage.stored(pairs.groupBy("b").agg(
         F.ceil(F.count(F.lit(1)) / CELL).cast("long").alias("cells")), "cells")
