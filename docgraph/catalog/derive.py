@@ -50,8 +50,8 @@ edges AS (
 ALIASES = r"""
 alias_dim AS (
   SELECT DISTINCT item_id, alias FROM (
-    SELECT item_id, unnest(string_split_regex(text, '[.]\s+')) AS alias FROM benchmark)
-  WHERE length(alias) >= 20)"""
+    SELECT item_id, trim(unnest(string_split_regex(text, '[.]\s+'))) AS alias FROM benchmark)
+  WHERE alias NOT IN ('', '~'))"""
 
 MENTIONS = ALIASES + """,
 hits AS (
@@ -128,9 +128,8 @@ def edges(t) -> DataFrame:
 
 
 def registry(t) -> DataFrame:
-    """Benchmark passages as registry entries; their longer sentences are the aliases."""
-    sentences = F.filter(F.split("text", r"[.]\s+"), lambda s: F.length(s) >= 20)
-    return t.benchmark.select("item_id", sentences.alias("aliases"))
+    """Benchmark passages as registry entries; their sentences are the aliases."""
+    return t.benchmark.select("item_id", F.split("text", r"[.]\s+").alias("aliases"))
 
 
 def aliases(t) -> DataFrame:
