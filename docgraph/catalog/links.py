@@ -39,9 +39,9 @@ def link_themes(t):
     return link.primary(link.tags(D.mentions(t), "doc_id", "item_id"), "doc_id", "item_id")
 
 
-def refs(t):
+def refs(t, repeal=rel.REPEAL):
     items = t.benchmark.select("item_id", F.col("item_id").alias("dst"))
-    return rel.references(D.mentions(t), "doc_id", "item_id", items, "dst")
+    return rel.references(D.mentions(t), "doc_id", "item_id", items, "dst", repeal)
 
 
 @query("rel_references", "WITH " + D.REFS + """
@@ -51,19 +51,22 @@ def rel_references(t):
 
 
 @query("rel_supersedes", "WITH " + D.REFS + r"""
-SELECT doc_id, item_id, 'supersedes' AS rel FROM refs WHERE regexp_matches(evidence, '[0-9#%$&]|\n')""")
+SELECT DISTINCT doc_id, item_id, 'supersedes' AS rel FROM mentions WHERE regexp_matches(snippet, '[0-9#%$&]|\n')""")
 def rel_supersedes(t):
     """A digit, a symbol or a line break next to the hit stands for the repeal verb."""
-    return rel.supersedes(refs(t), r"[0-9#%$&]|\n").select("doc_id", "item_id", "rel")
+    return rel.supersedes(refs(t, r"[0-9#%$&]|\n")).select("doc_id", "item_id", "rel")
 
 
 @query("rel_cites_basis", "WITH " + D.REFS + """
 SELECT r.doc_id, r.item_id, CASE l.quality WHEN 1 THEN 'basis' WHEN 0 THEN 'context_mention' END AS semantic
 FROM refs r LEFT JOIN labels l ON l.doc_id = r.doc_id WHERE r.location = 'opening'""")
 def rel_cites_basis(t):
-    verdicts = t.labels.select("doc_id", F.when(F.col("quality") == 1, "basis").otherwise(
+    """The label of a document stands for the verdict on each of its edges."""
+    edges = refs(t)
+    label = t.labels.select("doc_id", F.when(F.col("quality") == 1, "basis").otherwise(
         "context_mention").alias("semantic"))
-    return rel.cites_basis(refs(t), verdicts, "doc_id").select("doc_id", "item_id", "semantic")
+    verdicts = edges.select("doc_id", "item_id").join(label, "doc_id")
+    return rel.cites_basis(edges, verdicts, "doc_id", "item_id").select("doc_id", "item_id", "semantic")
 
 
 @query("rel_clarifies", r"""
@@ -140,11 +143,11 @@ def rel_aligns_cosine(t):
 
 
 @query("rel_conflict_pairs", "WITH " + D.DOCS + """,
-top AS (SELECT *, lag(doc_id) OVER w AS dst, lag(action_class) OVER w AS dst_stance,
-               row_number() OVER w - row_number() OVER (PARTITION BY theme, action_class ORDER BY date, doc_id) AS earlier
-        FROM themed WHERE importance >= 4 WINDOW w AS (PARTITION BY theme ORDER BY date, doc_id))
-SELECT theme, doc_id AS src, dst, action_class AS src_stance, dst_stance, earlier FROM top
-WHERE dst IS NOT NULL AND dst_stance <> action_class""")
+top AS (SELECT theme, doc_id, date, action_class FROM themed WHERE importance >= 4)
+SELECT a.theme, a.doc_id AS src, arg_max(b.doc_id, (b.date, b.doc_id)) AS dst, a.action_class AS src_stance,
+       arg_max(b.action_class, (b.date, b.doc_id)) AS dst_stance, count(*) AS earlier
+FROM top a JOIN top b ON a.theme = b.theme AND a.action_class <> b.action_class AND (b.date, b.doc_id) < (a.date, a.doc_id)
+GROUP BY a.theme, a.doc_id, a.action_class""")
 def rel_conflict_pairs(t):
     return rel.conflict_pairs(D.themed(t), "doc_id", "theme", "date", "importance", "action_class")
 

@@ -46,9 +46,13 @@ def rank_recent(t):
 
 @query("report_monthly", WITH_DOCS + """,
 c AS (SELECT date_trunc('month', date) AS month, CASE WHEN importance >= 4 THEN 'strong' WHEN importance = 3 THEN 'medium' ELSE 'weak' END AS band,
-             count(*) AS n FROM docs GROUP BY ALL)
-SELECT strftime(c.month, '%Y-%m-%d') AS month, c.band, c.n, coalesce(p.n, 0) AS previous, c.n - coalesce(p.n, 0) AS change
-FROM c LEFT JOIN c p ON p.band = c.band AND p.month + INTERVAL 1 MONTH = c.month""")
+             count(*) AS n FROM docs GROUP BY ALL),
+m AS (SELECT band, unnest(generate_series(min(month)::TIMESTAMP, (SELECT max(month) FROM c)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month
+      FROM c GROUP BY band)
+SELECT strftime(m.month, '%Y-%m-%d') AS month, m.band, coalesce(c.n, 0) AS n, coalesce(p.n, 0) AS previous,
+       coalesce(c.n, 0) - coalesce(p.n, 0) AS change
+FROM m LEFT JOIN c ON c.band = m.band AND c.month = m.month
+LEFT JOIN c p ON p.band = m.band AND p.month + INTERVAL 1 MONTH = m.month""")
 def report_monthly(t):
     return report.monthly(D.docs(t), "date", "importance").withColumn("month", D.day("month"))
 

@@ -12,9 +12,17 @@ from docgraph.functions import fixed
 from docgraph.plans import once, sizes, slices, storage
 
 
-def references(mention_rows: DataFrame, src: str, mark: str, docs: DataFrame, dst: str) -> DataFrame:
-    """Resolve cited marks to documents; ``docs`` has ``mark`` and ``dst``."""
+REPEAL = "废止|失效|停止执行"
+
+
+def references(mention_rows: DataFrame, src: str, mark: str, docs: DataFrame, dst: str,
+               repeal: str = REPEAL) -> DataFrame:
+    """Resolve cited marks to documents; ``docs`` has ``mark`` and ``dst``.
+
+    ``repeals``: whether the snippet of any mention row, not only of the first, has a repeal marker.
+    """
     cited = mention_rows.groupBy(src, mark).agg(
+        F.coalesce(F.max(F.col("snippet").rlike(repeal)), F.lit(False)).alias("repeals"),
         F.sum("evidence_count").alias("evidence_count"), F.min("pos").alias("pos"),
         F.min_by("snippet", F.struct("pos", "snippet")).alias("evidence"),
         F.min_by("location", F.struct("pos", "snippet")).alias("location"))
@@ -23,14 +31,18 @@ def references(mention_rows: DataFrame, src: str, mark: str, docs: DataFrame, ds
             .withColumn("resolved", F.col(dst).isNotNull()))
 
 
-def supersedes(refs: DataFrame, repeal: str = "废止|失效|停止执行") -> DataFrame:
-    """References whose snippet carries a repeal marker."""
-    return refs.filter(F.col("evidence").rlike(repeal)).withColumn("rel", F.lit("supersedes"))
+def supersedes(refs: DataFrame) -> DataFrame:
+    """References of which a mention carries a repeal marker."""
+    return refs.filter("repeals").withColumn("rel", F.lit("supersedes"))
+
 
+def cites_basis(refs: DataFrame, verdicts: DataFrame, src: str, mark: str) -> DataFrame:
+    """References in the opening, with the semantic verdict on the same edge where one exists.
 
-def cites_basis(refs: DataFrame, verdicts: DataFrame, src: str) -> DataFrame:
-    """References in the opening, with the semantic verdict where one exists."""
-    return (refs.filter("location = 'opening'").join(verdicts.select(src, "semantic"), src, "left")
+    Several verdicts on an edge are one: the least.
+    """
+    given = verdicts.groupBy(src, mark).agg(F.min("semantic").alias("semantic"))
+    return (refs.filter("location = 'opening'").join(given, [src, mark], "left")
             .withColumn("rel", F.lit("cites_basis")))
 
 
@@ -122,20 +134,24 @@ def aligns_centroid(vectors: DataFrame, key: str, theme: str, vector: str, thres
 
 def conflict_pairs(docs: DataFrame, key: str, theme: str, date: str, score: str, stance: str,
                    floor: int = 4) -> DataFrame:
-    """High-scoring documents against the one before them on the theme, where stances differ.
+    """High-scoring documents against the nearest one before them on the theme with another stance.
 
     ``earlier`` is the number of earlier high-scoring documents of the theme with another stance,
-    that is the size of the full candidate list of the row.
+    that is the size of the full candidate list of the row. Documents without stance take no part.
+    The nearest one of another stance is the one just before the own run of equal stances.
     """
     top = storage.stored(docs.select(key, theme, date, score, stance).filter(
-        F.col(score) >= floor), "top")  # read four times below
+        (F.col(score) >= floor) & F.col(stance).isNotNull()), "top")  # read several times below
     grain = slices.dated(date, key)
     place = slices.sliced(top, [theme], [date, key], grain, ordinal="_n",
-                          previous={key: "dst", stance: "dst_stance"})
+                          previous={key: "_key", stance: "_stance"})
+    turn = F.when(F.col("_stance") != F.col(stance), F.struct("_key", "_stance"))
+    place = slices.sliced(place, [theme], [date, key], grain, latest=(turn, "_other"))
     place = slices.sliced(place, [theme, stance], [date, key], grain, ordinal="_own")
-    return place.select(theme, F.col(key).alias("src"), "dst", F.col(stance).alias("src_stance"),
-                        "dst_stance", (F.col("_n") - F.col("_own")).alias("earlier")).filter(
-        "dst is not null and src_stance <> dst_stance")
+    return place.filter("_other is not null").select(
+        theme, F.col(key).alias("src"), F.col("_other._key").alias("dst"),
+        F.col(stance).alias("src_stance"), F.col("_other._stance").alias("dst_stance"),
+        (F.col("_n") - F.col("_own")).alias("earlier"))
 
 
 def derives(docs: DataFrame, sources: DataFrame, key: str, theme: str, date: str,

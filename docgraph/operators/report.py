@@ -22,14 +22,21 @@ def band(score: Column) -> Column:
 
 
 def monthly(df: DataFrame, date: str, score: str) -> DataFrame:
-    """Documents per month and band, with the change against the calendar month before."""
-    counts = df.groupBy(F.trunc(date, "month").alias("month"), band(F.col(score)).alias("band")).agg(
+    """Documents per month and band, with the change against the calendar month before.
+
+    Every month from a band's first to the last of all bands has a row, so that a band that falls
+    to zero shows it. Undated documents are not reported.
+    """
+    counts = df.filter(F.col(date).isNotNull()).groupBy(
+        F.trunc(date, "month").alias("month"), band(F.col(score)).alias("band")).agg(
         F.count(F.lit(1)).alias("n"))
+    end = counts.agg(F.max("month")).scalar()
+    months = counts.groupBy("band").agg(F.min("month").alias("_from")).select("band", F.explode(
+        F.sequence("_from", end, F.expr("interval 1 month"))).alias("month"))
     by_band = Window.partitionBy("band").orderBy("month")  # one row per month
-    before = F.lag("n").over(by_band)
-    adjacent = F.lag("month").over(by_band) == F.add_months("month", -1)
-    return counts.withColumn("previous", F.when(adjacent, before).otherwise(0)).withColumn(
-        "change", F.col("n") - F.col("previous"))
+    filled = months.join(counts, ["band", "month"], "left").fillna(0, ["n"])
+    return filled.withColumn("previous", F.coalesce(F.lag("n").over(by_band), F.lit(0))).withColumn(
+        "change", F.col("n") - F.col("previous")).select("month", "band", "n", "previous", "change")
 
 
 def cards(df: DataFrame, date: str, score: str, hit: str, key: str, k: int = 4) -> DataFrame:

@@ -26,18 +26,19 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, ts: str, version: str
     """For each fact the version in force at its time (null: a vacuum, none in force yet).
 
     ``versions`` has ``key``, ``ts`` (its start) and the value ``version``. A version that starts
-    at the very time of the fact applies. Facts and versions are laid into one ordered stream per
-    key and the last version is carried forward, so no range join and no pair is built.
+    at the very time of the fact applies; of versions with one start the greatest does. Facts and
+    versions are laid into one ordered stream per key and the last version is carried forward, so
+    no range join and no pair is built.
     """
     start = versions.select(key, ts, F.struct(F.col(ts).alias("valid_from"),
                                               F.col(version).alias("version")).alias("_start"),
-                            F.lit(0).alias("_side"), F.lit(None).cast("long").alias("_tie"))
-    rows = (facts.withColumn("_side", F.lit(1)).withColumn("_tie", F.col(tie).cast("long"))
+                            F.lit(0).alias("_side"), F.col(version).alias("_pick"))
+    rows = (facts.withColumn("_side", F.lit(1)).withColumn("_tie", F.col(tie))
             .unionByName(start, allowMissingColumns=True))
-    out = slices.sliced(rows, [key], [ts, "_side", "_tie"], slices.hourly(ts),
+    out = slices.sliced(rows, [key], [ts, "_side", "_tie", "_pick"], slices.hourly(ts),
                         latest=(F.col("_start"), "_in_force"))
     return (out.filter("_side = 1")
             .withColumn("valid_from", F.col("_in_force.valid_from"))
             .withColumn("version", F.col("_in_force.version"))
             .withColumn("vacuum", F.col("_in_force").isNull())
-            .drop("_in_force", "_start", "_side", "_tie"))
+            .drop("_in_force", "_start", "_side", "_tie", "_pick"))

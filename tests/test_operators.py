@@ -218,11 +218,24 @@ def test_linkage_classes(spark):
 
 
 def test_repeal_and_basis(spark):
-    refs = frame(spark, "s long, evidence string, location string", (1, "同时废止发改〔2020〕1号", "opening"),
-                 (2, "根据发改〔2020〕1号", "body"))
-    assert [r.s for r in rel.supersedes(refs).collect()] == [1]
-    verdicts = frame(spark, "s long, semantic string", (9, "basis"))
-    assert [(r.s, r.semantic) for r in rel.cites_basis(refs, verdicts, "s").collect()] == [(1, None)]
+    mentions = frame(spark, "s long, m string, pos long, snippet string, location string, evidence_count long",
+                     (1, "a", 5, "根据一号", "opening", 1), (1, "a", 90, "同时废止一号", "body", 1),
+                     (1, "b", 9, "根据二号", "opening", 1), (2, "a", 7, "根据一号", "body", 1), (2, "b", 8, None, "body", 1))
+    docs = frame(spark, "m string, d long", ("a", 7), ("b", 8))
+    refs = rel.references(mentions, "s", "m", docs, "d")
+    assert [(r.s, r.m) for r in rel.supersedes(refs).collect()] == [(1, "a")]
+    verdicts = frame(spark, "s long, m string, semantic string", (1, "a", "basis"), (9, "a", "basis"))
+    got = rel.cites_basis(refs, verdicts, "s", "m").collect()
+    assert sorted((r.s, r.m, r.semantic or "") for r in got) == [(1, "a", "basis"), (1, "b", "")]
+
+
+def test_conflicts_with_the_nearest_other_stance(spark):
+    day = dt.date(2024, 1, 1)
+    docs = frame(spark, "id long, t string, d date, s int, c string", (1, "t", day, 5, "A"), (2, "t", day, 5, "B"),
+                 (3, "t", day, 5, "B"), (4, "t", day, 5, None), (5, "t", day, 5, "B"), (6, "t", day, 3, "A"),
+                 (7, "t", day, 5, "C"), (8, "u", day, 5, "A"))
+    got = {r.src: (r.dst, r.dst_stance, r.earlier) for r in rel.conflict_pairs(docs, "id", "t", "d", "s", "c").collect()}
+    assert got == {2: (1, "A", 1), 3: (1, "A", 1), 5: (1, "A", 1), 7: (5, "B", 4)}
 
 
 # -- graph ---------------------------------------------------------------------------------
@@ -388,7 +401,7 @@ def test_claims(spark):
 def test_monthly_gap_month_counts_as_zero(spark):
     df = frame(spark, "d date, s int", (dt.date(2024, 1, 5), 4), (dt.date(2024, 1, 9), 5), (dt.date(2024, 3, 1), 4))
     got = {r.month.month: (r.n, r.previous, r.change) for r in report.monthly(df, "d", "s").collect()}
-    assert got == {1: (2, 0, 2), 3: (1, 0, 1)}
+    assert got == {1: (2, 0, 2), 2: (0, 2, -2), 3: (1, 0, 1)}
 
 
 def test_signals_blank_evidence_is_never_low(spark):

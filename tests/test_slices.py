@@ -45,6 +45,7 @@ def test_as_of_with_tie_and_vacuum(spark):
         (2L, 'a', timestamp'2024-01-03 00:00'), (3L, 'b', timestamp'2024-01-02 00:00')
         as t(id, k, ts)""")
     versions = spark.sql("""select * from values ('a', timestamp'2024-01-03 00:00', 'v2'),
+        ('a', timestamp'2024-01-03 00:00', 'v0'),
         ('a', timestamp'2024-01-01 11:00', 'v1') as t(k, ts, version)""")
     out = version.as_of(facts, versions, "k", "ts", "version", "id").orderBy("id").collect()
     assert [(r.version, r.vacuum) for r in out] == [(None, True), ("v2", False), (None, True)]
