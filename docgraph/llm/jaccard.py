@@ -7,10 +7,13 @@ cut into fragments. For a candidate pair the overlap is counted in every fragmen
 rows that hold one fragment of each set, and the partial counts are summed per pair.
 
 Equal sets are one class from the start. In a group of many near copies the class with the
-fewest unusual n-grams leads: the others are compared with it first, then with other members, and
-classes that are still in different components after that are compared with each other. Sizes and a 128-bit parity
-signature, from which the symmetric difference is bounded from below, rule out most candidates;
-a wide signature, as long as the set asks for, rules out most of the others.
+fewest unusual n-grams leads: the others are compared with it first. Classes that are still in
+different components after that and share an n-gram that can be their first common one are
+candidates. Sizes and a 128-bit parity signature, from which the symmetric difference is bounded
+from below, rule out most of them; a wide signature, as long as the set asks for, rules out most
+of the others. For some rounds every class is compared with its nearest candidate only, which
+joins a dense group without comparing all its pairs; then all candidates that are still in
+different components are compared.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from docgraph.plans import storage
 FRAGMENTS = 8
 #: N-grams that are put last: how many, and from how many heads on. They only change the order.
 LAST, HEADS = 1 << 17, 16
-#: Further leaders that a group is compared with before its members are.
+#: Rounds in which every class is compared with its nearest candidate, before all others are.
 ROUNDS = 2
 #: Partners of one class that are compared with one copy of it.
 CELL = 64
@@ -141,6 +144,16 @@ def _room(nx: Column, ny: Column, apart: Column, num: int, den: int) -> Column:
     return (nx + ny - apart) * (num + den) >= 2 * num * (nx + ny)
 
 
+def _first(num: int, den: int) -> Column:
+    """Whether a common n-gram of x and y can be the first one of a linked pair.
+
+    Then nothing before it is shared, so the rest of either set bounds the overlap. The first
+    common n-gram of a linked pair passes, so every linked pair is met.
+    """
+    nx, ny = F.col("x.n_grams"), F.col("y.n_grams")
+    return F.least(nx - F.col("x.at"), ny - F.col("y.at")) * (num + den) >= num * (nx + ny)
+
+
 def _apart(x: str, y: str) -> Column:
     """A lower bound of the symmetric difference, from two wide signatures.
 
@@ -158,17 +171,23 @@ def _apart(x: str, y: str) -> Column:
     return F.when(large <= 2 * small, odd).otherwise(0)
 
 
+def _near(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs of classes (a, b) that the wide signatures leave open: sizes na and nb, and
+    ``apart``, the bound of the symmetric difference."""
+    about = classes.select("id", "n_grams", "wide")
+    pairs = pairs.join(about.toDF("a", "na", "wa"), "a").join(about.toDF("b", "nb", "wb"), "b")
+    pairs = pairs.withColumn("apart", _apart("wa", "wb"))
+    return storage.stored(pairs.filter(_room(F.col("na"), F.col("nb"), F.col("apart"), num, den))
+                          .select("a", "b", "na", "nb", "apart"), "pairs")
+
+
 def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, num: int,
               den: int) -> DataFrame:
-    """The pairs of classes (a, b) that reach the threshold.
+    """Of pairs of classes (a, b) with their sizes, those that reach the threshold.
 
     The fragments of a travel to those of b. A class b with many partners is copied, once for
     every ``CELL`` of them, so that no task gets all partners of one class.
     """
-    about = classes.select("id", "n_grams", "wide")
-    pairs = pairs.join(about.toDF("a", "na", "wa"), "a").join(about.toDF("b", "nb", "wb"), "b")
-    pairs = storage.stored(pairs.filter(_room(F.col("na"), F.col("nb"), _apart("wa", "wb"), num, den))
-                           .select("a", "b", "na", "nb"), "pairs")
     cells = storage.stored(pairs.groupBy("b").agg(
         F.ceil(F.count(F.lit(1)) / CELL).cast("long").alias("cells")), "cells")
     routes = pairs.select("a", "b").join(cells, "b").select(
@@ -230,7 +249,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
                     *[F.first(c).alias(c) for c in sets])
                .withColumn("id", F.monotonically_increasing_id()))
     classes = storage.stored(classes, "classes")
-    heads = classes.select("id", F.explode("prefix").alias("gram"))
+    heads = classes.select("id", F.posexplode("prefix").alias("at", "gram"))
     grams = heads.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     about = classes.select("id", "n_grams", "s0", "s1",
                            (F.col("n_grams") - F.col("usual")).alias("unusual"))
@@ -244,31 +263,38 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
              .groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
              .agg(F.count(F.lit(1)).alias("n"))
              .groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")))
-    groups = connected(_overlaps(first, texts, classes, n, num, den)).withColumnRenamed("node", "id")
-
-    # Heads whose classes are in different components stay in play: for some rounds other
-    # leaders, which join most of a dense group, then whatever is still apart.
-    open_heads = heads
+    groups = connected(_overlaps(_near(first, classes, num, den), texts, classes, n, num, den))
+
+    # Heads whose classes are in different components stay in play.
+    own = heads.join(groups.toDF("id", "component"), "id", "left").select("gram", F.struct(
+        "id", "at", "n_grams", "s0", "s1", F.coalesce("component", "id").alias("component")).alias("x"))
+    mixed = own.groupBy("gram").agg(F.min("x.component").alias("lo"),
+                                    F.max("x.component").alias("hi")).filter("lo < hi").select("gram")
+    apart = storage.stored(own.join(mixed, "gram"), "apart")
+    met = apart.join(apart.select("gram", F.col("x").alias("y")), "gram").filter(
+        (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+        & _first(num, den) & _possible("x", "y", num, den))
+    open_ = _near(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(),
+                  classes, num, den)
     for turn in range(ROUNDS + 1):
-        own = open_heads.join(groups, "id", "left").select("gram", F.struct(
-            F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n_grams", "s0", "s1",
-            F.coalesce("component", "id").alias("component")).alias("x"))
-        mixed = own.groupBy("gram").agg(
-            F.min("x").alias("y"), F.min("x.component").alias("lo"),
-            F.max("x.component").alias("hi")).filter("lo < hi").select("gram", "y")
-        apart = storage.stored(own.join(mixed, "gram"), "apart")
-        if apart.isEmpty():
+        left, right = groups.toDF("a", "ca"), groups.toDF("b", "cb")
+        open_ = storage.stored(open_.join(left, "a", "left").join(right, "b", "left").filter(
+            F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb"), "open")
+        if open_.isEmpty():
             break
-        again = apart if turn < ROUNDS else apart.select("gram", "x").join(
-            apart.select("gram", F.col("x").alias("y")), "gram").filter("x.id < y.id")
-        again = again.filter((F.col("x.component") != F.col("y.component"))
-                             & _possible("x", "y", num, den))
-        more = _overlaps(again.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-                         .distinct(), texts, classes, n, num, den)
-        forest = groups.select(F.col("component").alias("a"), F.col("id").alias("b"))
-        groups = connected(forest.unionByName(more)).withColumnRenamed("node", "id")
-        open_heads = apart.select("gram", "x.id", "x.n_grams", "x.s0", "x.s1")
-
+        chosen = open_
+        if turn < ROUNDS:
+            ends = open_.select("a", "b", "apart").unionByName(open_.select(
+                F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+            best = ends.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("y")).select(
+                F.least("a", "y.b").alias("a"), F.greatest("a", "y.b").alias("b")).distinct()
+            chosen = storage.stored(open_.join(best, ["a", "b"]), "chosen")
+        more = _overlaps(chosen, texts, classes, n, num, den)
+        forest = groups.toDF("b", "a").select("a", "b")
+        groups = connected(forest.unionByName(more))
+        open_ = open_.join(chosen.select("a", "b"), ["a", "b"], "left_anti")
+
+    groups = groups.toDF("id", "component")
     labels = classes.select("class", "id", "least").join(groups, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     least = labels.groupBy("component").agg(F.min("least").alias("component_id"))
