@@ -312,6 +312,40 @@ def test_lm_scores(docs, rows):
     assert sorted((str(r.doc_id), r.n_words, r.n_backoff, round(r.log_score, 3)) for r in got) == sorted(want)
 
 
+def lm_by_force(texts):
+    total = sum(map(len, texts))
+    uni = Counter(w for t in texts for w in t)
+    bi = Counter(p for t in texts for p in zip(t, t[1:]))
+    for t in texts:
+        x, backs = (np.log(uni[t[0]] / total) if t else 0.0), 0
+        for p in zip(t, t[1:]):
+            seen = bi[p] >= 2
+            backs += not seen
+            x += np.log(bi[p] / uni[p[0]]) if seen else np.log(0.4 * uni[p[1]] / total)
+        yield len(t), backs, x
+
+
+@pytest.mark.parametrize("common,shelf,bucket", [(8, 5, 300), (1 << 20, 1 << 16, 4_000_000)])
+def test_every_word_counts(spark, monkeypatch, common, shelf, bucket):
+    """Words below any share of the corpus keep their own counts; more than 2**20 words."""
+    monkeypatch.setattr(lmscore, "COMMON", common)
+    monkeypatch.setattr(lmscore, "WORDS", shelf)
+    monkeypatch.setattr(lmscore, "BUCKET", bucket)
+    rng = random.Random(6)
+    few = [f"w{i}" for i in range(60)]
+    texts = [[rng.choice(few[:1 + rng.randrange(60)]) for _ in range(rng.randint(1, 60))]
+             for _ in range(60)]
+    texts += [["rare", "word"], ["rare", "word"], ["hapax"], [], [f"junk{i}" for i in range(40)]]
+    if common > 8:  # hapaxes fall below one in 2**20 of these words
+        texts += [few * 300 for _ in range(60)]
+        assert sum(map(len, texts)) > 1 << 20
+    got = {r.doc_id: r for r in lmscore.scores(spark.createDataFrame(
+        [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    for i, (n, backs, x) in enumerate(lm_by_force(texts)):
+        assert (got[i].n_words, got[i].n_backoff) == (n, backs)
+        assert abs(got[i].log_score - x) < 1e-3 + 1e-9 * abs(x)
+
+
 # 8 quality
 
 def test_quality_statistics(docs, rows):
