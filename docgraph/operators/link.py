@@ -37,17 +37,20 @@ def issuer_misses(docs: DataFrame, key: str, issuers: Column, aliases: DataFrame
 
 # -- dictionary tagging -------------------------------------------------------------------
 
-def _bigrams(c: Column) -> Column:
+def _pieces(c: Column) -> Column:
+    """The distinct characters and pairs of characters."""
     chars = F.split(c, "")
-    return F.array_distinct(F.zip_with(chars, F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0))),
-                                       lambda a, b: F.concat(a, b)))
+    return F.array_distinct(F.concat(chars, F.zip_with(
+        chars, F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0))),
+        lambda a, b: F.concat(a, b))))
 
 
 def _anchored(aliases: DataFrame) -> DataFrame:
     """Give each alias an anchor: a token every text that contains the alias must have.
 
     For three words or more that is the longest word inside (the outer ones may be cut in the
-    text); for shorter aliases, and scripts without blanks, its first pair of characters.
+    text); for shorter aliases, and scripts without blanks, its first pair of characters, and for
+    an alias of one character that character.
     """
     words = text.words("alias")
     inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
@@ -60,16 +63,16 @@ def _anchored(aliases: DataFrame) -> DataFrame:
 def mentions(docs: DataFrame, key: str, content: str, aliases: DataFrame, entity: str) -> DataFrame:
     """Occurrences of registry aliases in texts: first position, count, snippet, location.
 
-    ``aliases`` has the columns ``entity`` and ``alias`` (two characters or more). Each text is
+    ``aliases`` has the columns ``entity`` and ``alias`` (one character or more). Each text is
     reduced to its tokens, which meet the aliases' anchors in an equi join; only those meetings
     are checked by a search in the whole text. For a registry of counted small size the anchors
     are literals, so texts are neither exploded in full nor shuffled.
     """
-    dim = _anchored(aliases.select(entity, "alias").filter("length(alias) >= 2").distinct())
+    dim = _anchored(aliases.select(entity, "alias").filter("length(alias) >= 1").distinct())
     listed = dim.limit(LITERAL_ALIASES + 1).collect()
     parts = []
     for by_word, tokens in ((True, F.array_distinct(text.words(content))),
-                            (False, _bigrams(F.col(content)))):
+                            (False, _pieces(F.col(content)))):
         if len(listed) <= LITERAL_ALIASES:
             side = [r for r in listed if r["_by_word"] == by_word]
             if not side:

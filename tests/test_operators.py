@@ -156,6 +156,17 @@ def test_dictionary_tags_cjk_short_and_long_aliases(spark):
         (1, "v2g", 1), (2, "es", 1), (3, "gc", 2), (4, "gc", 1)}
 
 
+@pytest.mark.parametrize("literal", [10_000, 1])
+def test_aliases_of_one_character(spark, monkeypatch, literal):
+    monkeypatch.setattr(link, "LITERAL_ALIASES", literal)
+    docs = frame(spark, "id long, text string", (1, "Ø"), (2, "xØyØ"), (3, "o x"), (4, ""), (5, None), (6, "a 😀 b"))
+    aliases = frame(spark, "e string, alias string", ("o", "Ø"), ("s", "😀"), ("x", "xØ"), ("none", ""))
+    got = link.mentions(docs, "id", "text", aliases, "e").collect()
+    assert {(r.id, r.e, r.pos, r.evidence_count) for r in got} == {
+        (1, "o", 1, 1), (2, "o", 2, 2), (2, "x", 1, 1), (6, "s", 3, 1)}
+    assert len(got) == 4
+
+
 def test_large_dictionary_takes_the_join_and_agrees(spark, monkeypatch):
     docs = frame(spark, "id long, text string", *[(i, f"alpha w{i} beta w{i + 1} gamma 车网{i}") for i in range(50)])
     aliases = frame(spark, "e long, alias string", *[(i, f"w{i} beta w{i + 1}") for i in range(60)],
