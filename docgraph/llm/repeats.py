@@ -40,10 +40,19 @@ CHUNK = 1 << 20
 
 ODD = int(K.BASE)
 INVERSE = K.U(pow(ODD, -1, 1 << 64))
+#: Bits of a place next to a hash; longer data are worked through in overlapping pieces.
+PLACE = 24
 
 
 def _anchors(data: np.ndarray, size: int) -> np.ndarray:
     """The anchor of the window at every place: the first least gram hash among its grams."""
+    step = (1 << PLACE) - size + 1
+    return np.concatenate([_near_anchors(data[at:at + step + size - 1], size) + at
+                           for at in range(0, len(data) - size + 1, step)])
+
+
+def _near_anchors(data: np.ndarray, size: int) -> np.ndarray:
+    """The anchors of data of at most 2**PLACE bytes."""
     n = len(data) - size + 1
     wide = np.zeros(len(data) + 8, np.uint8)
     wide[:len(data)] = data
@@ -52,7 +61,7 @@ def _anchors(data: np.ndarray, size: int) -> np.ndarray:
         v |= wide[shift:len(wide) - 7 + shift].astype(K.U) << K.U(8 * shift)
     grams = len(data) - GRAM + 1
     # Upper bits: the hash; lower bits: the place, so that ties fall to the first.
-    h = (K.mixed(v[:grams]) >> K.U(24) << K.U(24)) | np.arange(grams, dtype=K.U)
+    h = (K.mixed(v[:grams]) >> K.U(PLACE) << K.U(PLACE)) | np.arange(grams, dtype=K.U)
     span = size - GRAM + 1
     blocks = -(-grams // span) * span
     padded = np.full(blocks, np.iinfo(np.uint64).max, K.U)
@@ -62,7 +71,7 @@ def _anchors(data: np.ndarray, size: int) -> np.ndarray:
     behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
     start = np.arange(n)
     least = np.minimum(behind[start], ahead[start + span - 1])
-    return (least & K.U((1 << 24) - 1)).astype(np.int64)
+    return (least & K.U((1 << PLACE) - 1)).astype(np.int64)
 
 
 class _Hashes:
@@ -249,6 +258,9 @@ def covered(docs: DataFrame, size: int = SIZE, bin_: int = BIN, id_col: str = "d
     # The others: flanks of the strings, from the texts of their documents.
     spans = (shared.filter("not equal").groupBy("row").agg(F.collect_set(
         F.struct("key", "whole", "lo", "hi", "core")).alias("strings")))
+    # Equal rows are worked through once, each string with the number of rows as its copies.
+    times = texts.groupBy("row").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    spans = spans.join(times, "row", "left")
     flanked = texts.select("row", "text").join(spans, "row").dropDuplicates(["row"])
     width = bin_ - 1  # bytes of a window outside the core
 
@@ -257,14 +269,15 @@ def covered(docs: DataFrame, size: int = SIZE, bin_: int = BIN, id_col: str = "d
             data = (batch["text"][i].as_py() or "").encode()
             own = batch["strings"][i].as_py()
             yield {"row": [batch["row"][i].as_py()] * len(own),
+                   "times": [batch["times"][i].as_py() or 1] * len(own),
                    **{k: [s[k] for s in own] for k in ("key", "whole", "lo", "hi")},
                    "left": [data[s["lo"]:s["core"]] for s in own],
                    "right": [data[s["core"] - width + size:s["hi"] + size] for s in own]}
 
     open_ = storage.stored(each(flanked, flanks, "row long, key long, whole long, lo int, hi int, "
-                                                 "left binary, right binary"), "flanks")
+                                                 "times long, left binary, right binary"), "flanks")
     different = open_.groupBy("key", "whole").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("left").alias("left"),
+        F.sum("times").alias("copies"), F.first("left").alias("left"),
         F.first("right").alias("right"))
     many = different.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     different = storage.stored(different.join(many, "key"), "strings")

@@ -286,6 +286,32 @@ def test_repeats_are_exact(spark, strings, monkeypatch):
         [(t or "").encode() for t in texts], 40)
 
 
+@pytest.mark.parametrize("strings", [256, 1])
+def test_repeated_rows_next_to_a_partly_equal_text(spark, strings, monkeypatch):
+    monkeypatch.setattr(repeats, "STRINGS", strings)
+    rng = random.Random(5)
+    core = words(rng, 12)
+    texts = [f"{words(rng, 3)} {core} {words(rng, 3)}" for _ in range(3)]
+    ids = [0, 0, 0, 1, 2]
+    texts = [texts[0]] * 3 + texts[1:]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in zip(ids, texts)], SCHEMA)
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                 for r in repeats.removed(df, 40, 12).collect())
+    want = removed_by_force([t.encode() for t in texts], 40)
+    assert got == sorted((i, *w) for i, w in zip(ids, want))
+    assert want[0][1] == len(texts[0])
+
+
+def test_passages_past_16_mib_meet_their_copies():
+    data = np.random.default_rng(3).integers(32, 127, (1 << 24) + 5_000, dtype=np.uint8)
+    alone = data[-1_500:].copy()
+    long, short = (repeats._strings(repeats.K.Chunk(0, d, np.array([0, len(d)])), 400, 80)
+                   for d in (data, alone))
+    # All but the first and last strings, whose runs the edge of the short text cuts, are equal.
+    assert len(short["key"]) > 4 and set(short["whole"][1:]) <= set(long["whole"])
+    assert set(short["key"]) <= set(long["key"])
+
+
 def test_suffix_array():
     rng = random.Random(2)
     for _ in range(400):
