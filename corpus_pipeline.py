@@ -32,11 +32,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id."""
-    groups = jaccard.join(docs, n=5, num=4, den=5)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return docs.join(first.select(F.col("doc_id").alias("_id")).distinct(),
-                     docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    """One row of each group of near copies: least id (nulls last), then text hash, then row number.
+
+    Repeated rows are copies of each other; a text without words is nobody's copy.
+    """
+    rows = storage.stored(docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text",
+        F.monotonically_increasing_id().alias("row")), "rows")
+    groups = jaccard.join(rows, n=5, num=4, den=5, id_col="row").select(
+        F.col("doc_id").alias("row"), "component_id", "class")
+    keyed = groups.join(rows.select("row", F.struct(
+        F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"),
+        "row").alias("key")), "row")
+    first = keyed.filter("class is not null").groupBy("component_id").agg(
+        F.min("key").alias("key")).select("key.row")
+    kept = first.unionByName(groups.filter("class is null").select("row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

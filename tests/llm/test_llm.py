@@ -461,6 +461,20 @@ def test_empty_and_clashing_tables(name, empty, clashing, docs):
     assert n == docs.count() or name == "passing"
 
 
+def test_one_row_of_each_group_of_near_copies_stays(spark):
+    import corpus_pipeline
+
+    rng = random.Random(10)
+    a, b, c, d = (words(rng, 80) for _ in range(4))
+    near = b + " end"
+    rows = [(1, a), (1, a), (2, b), (1, near), (3, c), (None, c), (None, c), (None, d), (None, d),
+            (4, ""), (4, "")]
+    got = corpus_pipeline.near_copies(spark, spark.createDataFrame(
+        [(i, t, "en", "s", 1) for i, t in rows], SCHEMA), "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(
+        [(1, a), (1, near), (3, c), (None, d), (4, ""), (4, "")])
+
+
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline
 
