@@ -407,6 +407,21 @@ def test_junk_is_rejected_and_prose_kept(spark):
     assert not any(r.kept for r in got if r.doc_id >= 500)
 
 
+def test_rare_tags_and_partly_junk_texts_are_rejected(spark):
+    rng = random.Random(8)
+
+    def junk(n):
+        return " ".join("".join(chr(rng.randrange(33, 127)) for _ in range(9)) for _ in range(n))
+
+    rows = [(i, words(rng, 300, "etaoin"), "en", "s", 1) for i in range(200)]
+    rows += [(500 + i, words(rng, 240, "etaoin") + " " + junk(40), "en", "s", 1) for i in range(5)]
+    rows += [(600, junk(60), "rare", "s", 1), (700, words(rng, 300, "etaoin"), "wrong", "s", 1)]
+    got = {r.doc_id: r for r in quality.verdicts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(got[i].base_failed for i in (*range(500, 505), 600, 700))
+    assert not any(got[i].kept for i in (*range(500, 505), 600))
+    assert got[700].kept and sum(got[i].kept for i in range(200)) >= 198
+
+
 # 9 line dedup
 
 def test_line_windows(spark):
