@@ -100,6 +100,20 @@ def test_near_copies_against_brute_force(spark):
         assert similarity == round(jaccard(texts[i], texts[original]), 9)
 
 
+def test_near_copies_at_a_low_threshold(spark):
+    """Pairs just above the threshold are found as surely as close ones, also in small buckets."""
+    rng = random.Random(5)
+    texts = []
+    for i in range(60):
+        base = [f"w{i}x{j}" for j in range(30)]
+        texts.append(" ".join(base))
+        texts.append(" ".join(base[:22] + [f"y{i}x{j}" for j in range(rng.randrange(3, 9))]))
+    got = {r.id: r.original for r in dedup.near(
+        frame(spark, "id long, text string", *enumerate(texts)), "id", "text", threshold=0.5).collect()}
+    want = {i: i - 1 for i in range(1, 120, 2) if jaccard(texts[i], texts[i - 1]) >= 0.5}
+    assert got == want and len(want) > 30
+
+
 def test_near_copies_among_texts_of_one_template(spark):
     """Hundreds of texts share most runs without being copies; the few copies are still found."""
     rng = random.Random(11)
