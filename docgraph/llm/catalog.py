@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import decontaminate, jaccard, linededup, lmscore, pieces, quality, repeats, secrets, sharding, toxicity
+from docgraph.llm import (codes, decontaminate, jaccard, linededup, lmscore, packing, pieces, quality,
+                          repeats, resample, secrets, sharding, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +148,55 @@ def op1(spark: SparkSession, path: str) -> DataFrame:
 @query("op6_suffix_array_dedup")
 def op6(spark: SparkSession, path: str) -> DataFrame:
     return repeats.removed(table(spark, path, "documents")).drop("kept")
+
+
+@query("op11_importance_resampling")
+def op11(spark: SparkSession, path: str) -> DataFrame:
+    rows = resample.resampled(table(spark, path, "documents"), table(spark, path, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_best_fit_packing")
+def op12(spark: SparkSession, path: str) -> DataFrame:
+    return packing.packed(table(spark, path, "documents"), with_ids=False)
+
+
+def _assigned(book: str, name: str) -> str:
+    """The nearest entry of ``book`` for every part, and the floored means of what chose it."""
+    return f"""
+near{name} as (
+  select p.vec_id, p.p, p.q, min(((p.q[1] - b.q[1]) ** 2 + (p.q[2] - b.q[2]) ** 2 + (p.q[3] - b.q[3]) ** 2
+                                  + (p.q[4] - b.q[4]) ** 2)::bigint * 64 + b.e) as de
+  from parts p join {book} b on p.p = b.p group by all),
+sums{name} as (
+  select p, de % 64 as e, count(*)::bigint as n, [sum(q[1])::bigint, sum(q[2])::bigint,
+         sum(q[3])::bigint, sum(q[4])::bigint] as s from near{name} group by all),
+means{name} as (
+  select b.p, b.e, case when s.n is null then b.q
+         else list_transform(s.s, lambda x: (x - ((x % s.n) + s.n) % s.n) // s.n) end as q
+  from {book} b left join sums{name} s on b.p = s.p and b.e = s.e)"""
+
+
+@query("op13_vector_codes", f"""
+with kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(256 * x)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as (select vec_id, p.p, v[4 * p.p + 1:4 * p.p + 4] as q from kept cross join range(16) p(p)),
+seeds as (select vec_id, row_number() over (order by vec_id) - 1 as e from kept order by vec_id limit 64),
+book as (select p, e, q from parts join seeds using (vec_id)),{_assigned('book', '1')},{_assigned('means1', '2')},
+near as (
+  select p.vec_id, p.p, min(((p.q[1] - b.q[1]) ** 2 + (p.q[2] - b.q[2]) ** 2 + (p.q[3] - b.q[3]) ** 2
+                             + (p.q[4] - b.q[4]) ** 2)::bigint * 64 + b.e) as de
+  from parts p join means2 b on p.p = b.p group by all),
+coded as (
+  select vec_id, string_agg(printf('%02x', de % 64), '' order by p) as code, sum(de // 64)::bigint as error
+  from near group by vec_id),
+digest as (
+  select sha256(string_agg(q[i]::varchar, ',' order by p, e, i)) as codebooks_sha256
+  from means2 cross join range(1, 5) r(i))
+select c.vec_id, c.code, c.error, sum(c.error) over (partition by k.label)::bigint as label_error,
+       codebooks_sha256
+from coded c join kept k on c.vec_id = k.vec_id cross join digest
+""")
+def op13(spark: SparkSession, path: str) -> DataFrame:
+    return codes.with_label_error(codes.coded(table(spark, path, "embeddings")))
