@@ -65,7 +65,21 @@ mentions AS (
               ELSE 'body' END AS location
   FROM hits)"""
 
-REFS = MENTIONS + """,
+#: Every occurrence; those of one alias do not overlap.
+HITS = MENTIONS + """,
+cut AS (SELECT doc_id, item_id, alias, text, string_split(text, alias) AS parts FROM hits),
+placed AS (
+  SELECT doc_id, item_id, alias, text, i AS nth,
+         CAST(list_sum(list_transform(parts[1:i], lambda x: length(x))) AS BIGINT) + (i - 1) * length(alias) + 1 AS pos
+  FROM (SELECT *, unnest(range(1, len(parts))) AS i FROM cut)),
+occurrences AS (
+  SELECT doc_id, item_id, alias, nth, pos,
+         substr(text, greatest(1, pos - 30), pos + length(alias) + 30 - greatest(1, pos - 30)) AS snippet,
+         CASE WHEN pos <= 800 THEN 'opening' WHEN pos * 10 > length(text) * 9 THEN 'supplementary'
+              ELSE 'body' END AS location
+  FROM placed)"""
+
+REFS = HITS + """,
 refs AS (
   SELECT doc_id, item_id, CAST(sum(evidence_count) AS BIGINT) AS evidence_count, min(pos) AS pos,
          first(snippet ORDER BY pos, snippet) AS evidence,

@@ -50,8 +50,14 @@ def rel_references(t):
     return refs(t).select("doc_id", "item_id", "evidence_count", "pos", "evidence", "location", "rel")
 
 
+@query("rel_occurrences", "WITH " + D.HITS + """
+SELECT doc_id, item_id, alias, nth, pos, snippet, location FROM occurrences""")
+def rel_occurrences(t):
+    return link.occurrences(D.mentions(t), "doc_id", "item_id")
+
+
 @query("rel_supersedes", "WITH " + D.REFS + r"""
-SELECT DISTINCT doc_id, item_id, 'supersedes' AS rel FROM mentions WHERE regexp_matches(snippet, '[0-9#%$&]|\n')""")
+SELECT DISTINCT doc_id, item_id, 'supersedes' AS rel FROM occurrences WHERE regexp_matches(snippet, '[0-9#%$&]|\n')""")
 def rel_supersedes(t):
     """A digit, a symbol or a line break next to the hit stands for the repeal verb."""
     return rel.supersedes(refs(t, r"[0-9#%$&]|\n")).select("doc_id", "item_id", "rel")
@@ -158,13 +164,43 @@ band AS (SELECT a.o_orderkey, count(*) AS origins, arg_min(b.o_orderkey, (b.day,
                 arg_max(b.o_orderkey, (b.day, b.o_orderkey)) AS last_origin
          FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.day - b.day BETWEEN 180 AND 365 GROUP BY 1)
 SELECT o.o_orderkey AS src, o_custkey, coalesce(origins, 0) AS origins, first_origin, last_origin,
-       count(*) OVER (PARTITION BY o_custkey, date_trunc('month', day)) AS parallel
+       count(*) OVER (PARTITION BY o_custkey, date_trunc('month', day)) - 1 AS parallel
 FROM o LEFT JOIN band ON band.o_orderkey = o.o_orderkey""")
 def rel_derives_band(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     return rel.derives(rows, rows, "o_orderkey", "o_custkey", "o_orderdate")
 
 
+@query("rel_derives_levels", "WITH " + D.DOCS + """,
+nat AS (SELECT theme, doc_id, date FROM themed WHERE level = 0),
+loc AS (SELECT theme, 'L' || doc_id AS src, date FROM themed WHERE level > 0),
+band AS (SELECT l.src, l.theme, count(*) AS origins, min('N' || n.doc_id) FILTER (n.date = early) AS first_origin
+         FROM (SELECT l.*, min(n.date) AS early FROM loc l JOIN nat n ON n.theme = l.theme AND l.date - n.date BETWEEN 180 AND 365 GROUP BY ALL) l
+         JOIN nat n ON n.theme = l.theme AND l.date - n.date BETWEEN 180 AND 365 GROUP BY ALL),
+months AS (SELECT theme, date_trunc('month', date) AS m, count(*) AS n FROM nat GROUP BY ALL)
+SELECT l.src, l.theme, coalesce(b.origins, 0) AS origins, b.first_origin, coalesce(m.n, 0) AS parallel
+FROM loc l LEFT JOIN band b ON b.src = l.src AND b.theme = l.theme
+LEFT JOIN months m ON m.theme = l.theme AND m.m = date_trunc('month', l.date)""")
+def rel_derives_levels(t):
+    """Local documents against national ones of the theme, with ids that are texts."""
+    rows = D.themed(t).withColumn("doc_id", F.concat(F.when(F.col("level") == 0, "N").otherwise("L"), "doc_id"))
+    out = rel.derives(rows.filter("level > 0"), rows.filter("level = 0"), "doc_id", "theme", "date")
+    return out.drop("last_origin")
+
+
+@query("rel_iterates_text_ids", "WITH " + FIRST_LINE + """,
+named AS (SELECT 'P_' || strftime(date, '%Y') || '_' || upper(lang) || '_' || doc_id AS id, * FROM stemmed),
+chained AS (SELECT *, lag(id) OVER w AS dst, lag(title) OVER w AS before
+            FROM named WINDOW w AS (PARTITION BY lang, stem ORDER BY date, id))
+SELECT id AS src, dst, levenshtein(title, before) AS distance
+FROM chained WHERE dst IS NOT NULL AND levenshtein(title, before) <= 5""")
+def rel_iterates_text_ids(t):
+    """The same under ids of the form P_year_issuer_number."""
+    rows = titled(t).withColumn("doc_id", F.concat_ws("_", F.lit("P"), F.year("date"), F.upper("lang"), "doc_id"))
+    out = rel.iterates(rows, "doc_id", ["lang", "stem"], "title", "date", 5)
+    return out.select("src", "dst", F.col("distance").cast("long").alias("distance"))
+
+
 @query("rel_linkage_class", """
 SELECT CASE polarity WHEN 'purchase' THEN 'direct' WHEN 'signup' THEN 'refined' WHEN 'click' THEN 'same direction' END AS evidence_class,
        count(*) AS n FROM (SELECT event_type AS polarity FROM events) GROUP BY 1""")

@@ -13,6 +13,5 @@ def ordinal_claims(docs: DataFrame, key: str, kind: list[str], date: str, claim:
     row names the first and the nearest, so a late claim does not repeat a long list.
     """
     rows = docs.withColumn("_claim", claim)
-    rows = slices.sliced(rows, kind, [date, key], slices.dated(date, key), ordinal="ordinal",
-                         previous={key: "predecessor"}, first={key: "first"})
+    rows = slices.sliced(rows, kind, [date, key], ordinal="ordinal", previous={key: "predecessor"}, first={key: "first"})
     return rows.filter("_claim").drop("_claim").withColumn("holds", F.col("ordinal") == 1)

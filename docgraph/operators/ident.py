@@ -29,7 +29,7 @@ def number_tail(official_number: Column) -> Column:
 
 def suffix(df: DataFrame, key: str, order: str, name: str = "unique_id") -> DataFrame:
     """Colliding ids get ``_a``, ``_b`` … by ``order`` (then ``_aa``); single ids stay."""
-    ranked = slices.sliced(df, [key], [order], slices.id_block(order), ordinal="_n", size="_size")
+    ranked = slices.sliced(df, [key], [order], ordinal="_n", size="_size")
     index = F.col("_n") - 1
     letter = lambda i: F.char(F.lit(97) + i)
     # Letters count like spreadsheet columns; beyond two places the plain number keeps ids unique.

@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.functions import text
-from docgraph.plans import sizes, storage
-
-LITERAL_ALIASES = 10_000
+from docgraph.plans import once, sizes, storage
 
 
 def channel(docs: DataFrame, url: str, channels: DataFrame) -> DataFrame:
@@ -45,59 +43,91 @@ def _pieces(c: Column) -> Column:
         lambda a, b: F.concat(a, b))))
 
 
-def _anchored(aliases: DataFrame) -> DataFrame:
-    """Give each alias an anchor: a token every text that contains the alias must have.
+#: Words of an alias that are tried as its anchor, longest first; more would only be slower.
+CANDIDATES = 4
+
 
-    For three words or more that is the longest word inside (the outer ones may be cut in the
-    text); for shorter aliases, and scripts without blanks, its first pair of characters, and for
-    an alias of one character that character.
+def _candidates(aliases: DataFrame) -> DataFrame:
+    """The tokens (``_token``) of which every text that contains the alias has all.
+
+    For three words or more these are the longest words inside (the outer ones may be cut in the
+    text); for shorter aliases, and scripts without blanks, all pairs of characters, and for an
+    alias of one character that character.
     """
     words = text.words("alias")
-    inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    return aliases.withColumn("_word", longest["w"]).withColumn(
-        "_anchor", F.coalesce("_word", F.substring("alias", 1, 2))).withColumn(
-        "_by_word", F.col("_word").isNotNull()).drop("_word")
+    inner = F.array_distinct(F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))))
+    longest = F.slice(F.sort_array(F.transform(inner, lambda w: F.struct(
+        F.length(w).alias("n"), w.alias("w"))), asc=False), 1, CANDIDATES)["w"]
+    starts = F.sequence(F.lit(1), F.greatest(F.length("alias") - 1, F.lit(1)))
+    pairs = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("alias"), i, F.lit(2))))
+    by_word = F.size(longest) > 0
+    return aliases.withColumn("_by_word", by_word).withColumn(
+        "_token", F.explode(F.when(by_word, longest).otherwise(pairs)))
+
+
+def _met(docs: DataFrame, key: str, content: str, wanted: DataFrame) -> DataFrame:
+    """Which documents have which candidate token, written once."""
+    words, pairs = (wanted.filter(c).select("_token").distinct() for c in ("_by_word", "not _by_word"))
+    parts = [docs.select(key, F.explode(F.array_distinct(text.words(content))).alias("_token"))
+             .join(words, "_token", "left_semi").withColumn("_by_word", F.lit(True))]
+    if not pairs.isEmpty():  # spares the pairs of all texts
+        parts.append(docs.select(key, F.explode(_pieces(F.col(content))).alias("_token"))
+                     .join(pairs, "_token", "left_semi").withColumn("_by_word", F.lit(False)))
+    return storage.stored(reduce(DataFrame.unionByName, parts), "met")
 
 
 def mentions(docs: DataFrame, key: str, content: str, aliases: DataFrame, entity: str) -> DataFrame:
-    """Occurrences of registry aliases in texts: first position, count, snippet, location.
+    """Registry aliases in texts: one row per document and alias with all its occurrences.
+
+    ``aliases`` has the columns ``entity`` and ``alias`` (one character or more). ``hits`` lists
+    position, snippet and location of every occurrence (not overlapping); ``pos``, ``snippet`` and
+    ``location`` are those of the first, ``evidence_count`` is their number.
 
-    ``aliases`` has the columns ``entity`` and ``alias`` (one character or more). Each text is
-    reduced to its tokens, which meet the aliases' anchors in an equi join; only those meetings
-    are checked by a search in the whole text. For a registry of counted small size the anchors
-    are literals, so texts are neither exploded in full nor shuffled.
+    Each text is reduced to its tokens. Of an alias's tokens the one that the fewest documents have
+    is its anchor; texts meet anchors in an equi join, and only those meetings are checked by a
+    search in the text. Texts are shuffled at most once, and not at all where the meetings are
+    few enough for Spark to broadcast.
     """
-    dim = _anchored(aliases.select(entity, "alias").filter("length(alias) >= 1").distinct())
-    listed = dim.limit(LITERAL_ALIASES + 1).collect()
-    parts = []
-    for by_word, tokens in ((True, F.array_distinct(text.words(content))),
-                            (False, _pieces(F.col(content)))):
-        if len(listed) <= LITERAL_ALIASES:
-            side = [r for r in listed if r["_by_word"] == by_word]
-            if not side:
-                continue
-            known = F.array(*[F.lit(a) for a in sorted({r["_anchor"] for r in side})])
-            met = docs.select(key, content, F.explode(F.array_intersect(tokens, known)).alias("_anchor"))
-            rows = docs.sparkSession.createDataFrame(side, dim.schema).drop("_by_word")
-            parts.append(met.join(F.broadcast(rows), "_anchor"))  # counted above
-        else:
-            side = dim.filter(F.col("_by_word") == by_word).drop("_by_word")
-            met = docs.select(key, F.explode(tokens).alias("_anchor")).join(side, "_anchor")
-            parts.append(met.join(docs.select(key, content), key))
-    if not parts:
-        return docs.limit(0).select(key, *_hit_columns(F.lit(""), F.lit("")))
-    hits = reduce(DataFrame.unionByName, parts).drop("_anchor")
-    return (hits.filter(F.contains(content, F.col("alias")))
-            .select(key, entity, "alias", *_hit_columns(F.col(content), F.col("alias"))))
-
-
-def _hit_columns(body: Column, alias: Column) -> list[Column]:
-    pos = F.position(alias, body)
-    count = (F.length(body) - F.length(F.replace(body, alias))) / F.length(alias)
-    return [pos.cast("long").alias("pos"), count.cast("long").alias("evidence_count"),
-            text.snippet_at(body, pos, F.length(alias)).alias("snippet"),
-            text.location(pos, F.length(body)).alias("location")]
+    dim = aliases.select(entity, "alias").filter("length(alias) >= 1").distinct()
+    wanted = storage.stored(_candidates(dim), "candidates")
+    met = _met(docs, key, content, wanted)
+    spread = met.groupBy("_token", "_by_word").agg(F.count(F.lit(1)).alias("_n"))
+    rated = wanted.join(spread, ["_token", "_by_word"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    anchors = rated.groupBy(entity, "alias", "_by_word").agg(
+        F.min(F.struct("_n", "_token")).alias("_best")).filter("_best._n > 0").select(
+        entity, "alias", "_by_word", F.col("_best._token").alias("_token"))
+    # A document's list is as long as the registry at most.
+    pairs = met.join(anchors, ["_token", "_by_word"]).groupBy(F.col(key).alias("_key")).agg(
+        F.collect_set(F.struct(entity, "alias")).alias("_pairs"))
+    rows = docs.select(key, content).join(pairs, F.col(key).eqNullSafe(F.col("_key"))).select(
+        key, content, F.inline("_pairs"))
+    body, alias = F.col(content), F.col("alias")
+    rows = once.computed(rows.filter(F.contains(body, alias)), {"_at": _positions(body, alias)})
+    rows = once.computed(rows, {"hits": F.transform("_at", lambda pos: F.struct(
+        pos.cast("long").alias("pos"), text.snippet_at(body, pos, F.length(alias)).alias("snippet"),
+        text.location(pos, F.length(body)).alias("location")))})
+    first = F.col("hits")[0]
+    return rows.select(key, entity, "alias", first["pos"].alias("pos"),
+                       F.size("hits").cast("long").alias("evidence_count"),
+                       first["snippet"].alias("snippet"), first["location"].alias("location"), "hits")
+
+
+def _positions(body: Column, alias: Column) -> Column:
+    """Where an alias begins in a text that contains it, from 1; occurrences do not overlap."""
+    quoted = F.concat(F.lit(r"\Q"), F.replace(alias, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    between = F.split(body, quoted, -1)
+    seen = F.aggregate(
+        F.slice(between, F.lit(1), F.size(between) - 1),
+        F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all")),
+        lambda done, part: F.struct((done["at"] + F.length(part) + F.length(alias)).alias("at"),
+                                    F.array_append(done["all"], done["at"] + F.length(part)).alias("all")))
+    return seen["all"]
+
+
+def occurrences(mention_rows: DataFrame, key: str, entity: str) -> DataFrame:
+    """One row per occurrence: ``nth`` from 1, position, snippet, location."""
+    return mention_rows.select(key, entity, "alias", F.posexplode("hits").alias("_i", "_hit")).select(
+        key, entity, "alias", (F.col("_i") + 1).cast("long").alias("nth"), "_hit.*")
 
 
 def tags(mention_rows: DataFrame, key: str, entity: str) -> DataFrame:

@@ -19,10 +19,13 @@ def references(mention_rows: DataFrame, src: str, mark: str, docs: DataFrame, ds
                repeal: str = REPEAL) -> DataFrame:
     """Resolve cited marks to documents; ``docs`` has ``mark`` and ``dst``.
 
-    ``repeals``: whether the snippet of any mention row, not only of the first, has a repeal marker.
+    ``repeals``: whether the snippet of any occurrence (``hits``), not only of the first, has a
+    repeal marker; ``opening``, likewise, whether any lies in the opening of the text.
     """
+    any_hit = lambda test: F.coalesce(F.max(F.exists("hits", test)), F.lit(False))
     cited = mention_rows.groupBy(src, mark).agg(
-        F.coalesce(F.max(F.col("snippet").rlike(repeal)), F.lit(False)).alias("repeals"),
+        any_hit(lambda h: h["snippet"].rlike(repeal)).alias("repeals"),
+        any_hit(lambda h: h["location"] == "opening").alias("opening"),
         F.sum("evidence_count").alias("evidence_count"), F.min("pos").alias("pos"),
         F.min_by("snippet", F.struct("pos", "snippet")).alias("evidence"),
         F.min_by("location", F.struct("pos", "snippet")).alias("location"))
@@ -42,7 +45,7 @@ def cites_basis(refs: DataFrame, verdicts: DataFrame, src: str, mark: str) -> Da
     Several verdicts on an edge are one: the least.
     """
     given = verdicts.groupBy(src, mark).agg(F.min("semantic").alias("semantic"))
-    return (refs.filter("location = 'opening'").join(given, [src, mark], "left")
+    return (refs.filter("opening").join(given, [src, mark], "left")
             .withColumn("rel", F.lit("cites_basis")))
 
 
@@ -60,9 +63,8 @@ def clarifies(docs: DataFrame, key: str, scope: str, stem: Column, detail: Colum
 
 def iterates(docs: DataFrame, key: str, blocks: list[str], title: str, date: str,
              distance: int = 5) -> DataFrame:
-    """Each document and the one before it with the same title stem and issuer; numeric keys."""
-    chained = slices.sliced(docs, blocks, [date, key], slices.dated(date, key),
-                            previous={key: "dst", title: "_before", date: "dst_date"})
+    """Each document and the one before it with the same title stem and issuer."""
+    chained = slices.sliced(docs, blocks, [date, key], previous={key: "dst", title: "_before", date: "dst_date"})
     near = once.computed(chained.filter("dst is not null"),
                          {"distance": F.levenshtein(title, "_before", distance)})
     return (near.filter("distance >= 0")
@@ -142,12 +144,11 @@ def conflict_pairs(docs: DataFrame, key: str, theme: str, date: str, score: str,
     """
     top = storage.stored(docs.select(key, theme, date, score, stance).filter(
         (F.col(score) >= floor) & F.col(stance).isNotNull()), "top")  # read several times below
-    grain = slices.dated(date, key)
-    place = slices.sliced(top, [theme], [date, key], grain, ordinal="_n",
+    place = slices.sliced(top, [theme], [date, key], ordinal="_n",
                           previous={key: "_key", stance: "_stance"})
     turn = F.when(F.col("_stance") != F.col(stance), F.struct("_key", "_stance"))
-    place = slices.sliced(place, [theme], [date, key], grain, latest=(turn, "_other"))
-    place = slices.sliced(place, [theme, stance], [date, key], grain, ordinal="_own")
+    place = slices.sliced(place, [theme], [date, key], latest=(turn, "_other"))
+    place = slices.sliced(place, [theme, stance], [date, key], ordinal="_own")
     return place.filter("_other is not null").select(
         theme, F.col(key).alias("src"), F.col("_other._key").alias("dst"),
         F.col(stance).alias("src_stance"), F.col("_other._stance").alias("dst_stance"),
@@ -158,12 +159,14 @@ def derives(docs: DataFrame, sources: DataFrame, key: str, theme: str, date: str
             lag: tuple[int, int] = (180, 365)) -> DataFrame:
     """Documents with the sources dated ``lag`` days before them, and those of the same month.
 
-    Sources of the same month count as parallel, never as an origin. Per day of a theme the
-    sources are summarised once; the band is a range frame over those days. Keys are numbers.
+    Sources of the same month count as parallel, never as an origin; a document that is itself a
+    source is not its own parallel. Per day of a theme the sources are summarised once; the band
+    is a range frame over those days. Undated documents have neither.
     """
-    asked = docs.select(theme, F.to_date(date).alias("_day"), F.lit(None).cast("long").alias("_src"))
-    given = sources.select(theme, F.to_date(date).alias("_day"), F.col(key).cast("long").alias("_src"))
-    days = asked.unionByName(given).groupBy(theme, "_day").agg(
+    given = sources.select(theme, F.to_date(date).alias("_day"), F.col(key).alias("_src"))
+    asked = docs.select(theme, F.to_date(date).alias("_day"),
+                        F.lit(None).cast(given.schema["_src"].dataType).alias("_src"))
+    days = asked.unionByName(given).filter("_day is not null").groupBy(theme, "_day").agg(
         F.count("_src").alias("_n"), F.min("_src").alias("_first"), F.max("_src").alias("_last"))
     days = days.withColumn("_num", F.datediff("_day", F.lit("1970-01-01").cast("date")))
     seen = F.when(F.col("_n") > 0, F.col("_num"))
@@ -174,10 +177,15 @@ def derives(docs: DataFrame, sources: DataFrame, key: str, theme: str, date: str
         F.min_by("_first", seen).over(band).alias("first_origin"),
         F.max_by("_last", seen).over(band).alias("last_origin"),
         F.sum("_n").over(month).alias("_month"))
-    rows = docs.withColumn("_day", F.to_date(date)).join(found, [theme, "_day"], "left")
+    # A source's own rows in its month: one row per source, so the join adds none.
+    own = given.withColumn("_start", F.trunc("_day", "month")).filter("_start is not null").groupBy(
+        theme, "_start", F.col("_src").alias(key)).agg(F.count(F.lit(1)).alias("_own"))
+    rows = docs.withColumn("_day", F.to_date(date)).withColumn("_start", F.trunc("_day", "month"))
+    rows = rows.join(found, [theme, "_day"], "left").join(own, [theme, "_start", key], "left")
     return rows.select(
         F.col(key).alias("src"), theme, F.coalesce("origins", F.lit(0)).alias("origins"),
-        "first_origin", "last_origin", F.coalesce("_month", F.lit(0)).alias("parallel"))
+        "first_origin", "last_origin",
+        (F.coalesce("_month", F.lit(0)) - F.coalesce("_own", F.lit(0))).alias("parallel"))
 
 
 def linkage_class(df: DataFrame, column: str, classes: dict[str, str] | None = None) -> DataFrame:

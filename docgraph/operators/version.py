@@ -1,16 +1,14 @@
 """Versions of a re-fetched document."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.plans import slices
 
 
-def history(df: DataFrame, key: str, ts: str, tie: str,
-            grain: Column | None = None) -> DataFrame:
+def history(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
     """``valid_from``/``valid_to`` of every version; the open one is live, the others archived."""
-    out = slices.sliced(df, [key], [ts, tie], slices.hourly(ts) if grain is None else grain,
-                        following={ts: "valid_to"})
+    out = slices.sliced(df, [key], [ts, tie], following={ts: "valid_to"})
     return (out.withColumn("valid_from", F.col(ts))
             .withColumn("live", F.col("valid_to").isNull()))
 
@@ -35,7 +33,7 @@ def as_of(facts: DataFrame, versions: DataFrame, key: str, ts: str, version: str
                             F.lit(0).alias("_side"), F.col(version).alias("_pick"))
     rows = (facts.withColumn("_side", F.lit(1)).withColumn("_tie", F.col(tie))
             .unionByName(start, allowMissingColumns=True))
-    out = slices.sliced(rows, [key], [ts, "_side", "_tie", "_pick"], slices.hourly(ts),
+    out = slices.sliced(rows, [key], [ts, "_side", "_tie", "_pick"],
                         latest=(F.col("_start"), "_in_force"))
     return (out.filter("_side = 1")
             .withColumn("valid_from", F.col("_in_force.valid_from"))

@@ -1,49 +1,42 @@
 """Ordered-group calculations that survive a group holding a third of all rows.
 
 A plain ``Window.partitionBy(key)`` sends a whole group to one task. Here every group is cut
-into slices along its order (a day, a block of ids). Rows are shuffled once by (key, slice);
-each slice is summarised to one row, the summaries run through the window by key, and what they
-carry over the slice borders is joined back by (key, slice), on which the rows already lie.
+into slices along its order. Rows are shuffled by (key, slice); each slice is summarised to one
+row, the summaries run through the window by key, and what they carry over the slice borders is
+joined back by (key, slice), on which the rows already lie.
+
+Slices are range partitions of (key, order), so they hold equal shares of the rows whatever the
+types of the keys and however many rows share a key or a date; a group has at most as many slices
+as there are shuffle partitions. A caller who knows a cheaper cut can give it.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE = "_sl_key"
-
-
-def id_block(col: str, bits: int = 16) -> Column:
-    """Slice number for an order by a dense numeric id: blocks of 2**bits ids."""
-    return F.shiftright(F.col(col).cast("long"), bits)
-
+from docgraph.plans import ordered
 
-def dated(date: str, key: str, bits: int = 24) -> Column:
-    """Slice for an order by date, then by a unique numeric key.
-
-    A slice has at most 2**bits rows, even if all rows of a group carry one date.
-    """
-    return F.struct(F.col(date), F.shiftright(F.col(key).cast("long"), bits))
-
-
-def hourly(ts: str) -> Column:
-    """Slice for an order that begins with a timestamp."""
-    return F.date_trunc("hour", ts)
+SLICE = "_sl_key"
 
 
-def sliced(df: DataFrame, keys: list[str], order: list[str], grain: Column, *,
+def sliced(df: DataFrame, keys: list[str], order: list[str], grain: Column | None = None, *,
            ordinal: str | None = None, size: str | None = None,
            previous: dict[str, str] | None = None, following: dict[str, str] | None = None,
            first: dict[str, str] | None = None,
            latest: tuple[Column, str] | None = None) -> DataFrame:
     """Window columns over ordered groups, any of them in one pass.
 
-    ``grain`` must not decrease along ``order``. Rows with a null key form a group, as in a window.
+    Rows with a null key form a group, as in a window. Without ``grain`` rows are laid out by
+    ranges of (keys, order) and ties are settled once and for all; a given ``grain`` must not
+    decrease along ``order``, and the order then has to be unique.
 
     ordinal, size: names for the row number and the number of rows of the group.
     previous, following: columns of the row before or after, source to new name.
     first: columns of the first row of the group, source to new name.
     latest: a value and the name for its last non-null occurrence up to the row itself.
     """
+    columns = df.columns
+    if grain is None:
+        df, order, grain = ordered.laid(df, [*keys, *order], "slices"), [ordered.AT], ordered.part()
     # One struct as key: structs with null fields compare as equal, so the join keeps them, and
     # the same column partitions the window, the summary and the join.
     rows = df.withColumn(SLICE, F.struct(*keys, grain.alias("_grain")))
@@ -96,4 +89,4 @@ def sliced(df: DataFrame, keys: list[str], order: list[str], grain: Column, *,
     carry = (rows.groupBy(SLICE).agg(*[c.alias(n) for n, c in summary.items()])
              .select(SLICE, *[c.alias(n) for n, c in carried.items()]))
     joined = rows.withColumns(in_slice).join(carry, SLICE)
-    return joined.select(*df.columns, *[c.alias(n) for n, c in result.items()])
+    return joined.select(*columns, *[c.alias(n) for n, c in result.items()])
