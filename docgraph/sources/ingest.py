@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docgraph.functions import text
+from docgraph.functions import text, yaml
 from docgraph.plans import once
 
 
@@ -87,6 +87,26 @@ def documents(spark: SparkSession, path: str, schema: T.StructType,
     return parse_documents(raw, schema, "value", required)
 
 
+def records(df: DataFrame, schema: T.StructType, column: str = "value",
+            required: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Type texts in plain YAML, one record or registry each; maps and lists as the schema says.
+
+    The second frame holds the texts that could not be read or lack a required field, with reason.
+    """
+    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    rows = once.computed(df, {"_yaml": yaml.to_json(F.col(column))})
+    rows = once.computed(rows, {"_row": F.from_json("_yaml.json", full, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})})
+    lacking = F.array_compact(F.array(*[F.when(F.col("_row")[c].isNull(), c) for c in required]))
+    shape = F.col("_row").isNull() | F.col("_row._corrupt").isNotNull() | ~F.col("_yaml.json").startswith("{")
+    rows = rows.withColumn("_reason", F.coalesce(
+        F.when(F.trim(F.coalesce(column, F.lit(""))) == "", "empty"), "_yaml.reason", F.when(shape, "not of the schema"),
+        F.when(F.size(lacking) > 0, F.concat(F.lit("missing: "), F.concat_ws(", ", lacking)))))
+    keep = [c for c in df.columns if c != column]
+    good = rows.filter("_reason is null").select(*keep, *[F.col("_row")[f.name].alias(f.name) for f in schema.fields])
+    return good, rows.filter("_reason is not null").select(*keep, F.col("_reason").alias("reason"), column)
+
+
 def jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Read JSON lines with a fixed schema; unreadable lines stay apart."""
     lines = spark.read.text(path)
