@@ -68,6 +68,43 @@ def ingest_documents(t):
     return rows.unionByName(lost)
 
 
+@query("ingest_records", r"""
+WITH cut AS (SELECT *, array_to_string(list_transform(string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)),
+               lambda l: CASE WHEN trim(l, ' ') = '' THEN '' ELSE l END), chr(10)) AS body FROM documents)
+SELECT doc_id, lang, source, CAST(doc_id % 6 AS INTEGER) AS d1, CAST(n_chars % 6 AS INTEGER) AS d2, 2 * n_chars + 1 AS parts,
+       'one two' || chr(10) || source || ' it''s: #' || doc_id AS impact,
+       md5(rtrim('text' || chr(10) || body, chr(10))) AS text_md5
+FROM cut WHERE lang <> 'es'
+UNION ALL SELECT NULL, NULL, 'brackets not understood', NULL, NULL, count(*), NULL, NULL FROM documents WHERE lang = 'es'""")
+def ingest_records(t):
+    """All documents written as records and read back; Spanish ones with a list that does not close."""
+    id_, chars = F.col("doc_id"), F.col("n_chars")
+    lines = F.transform(F.split("text", "\n"), lambda line: F.concat(F.lit("    "), line))
+    record = F.concat(
+        F.lit("# a record\npid: P_"), id_, F.lit("   # remark"), F.lit("\nthemes:\n- "), F.col("lang"),
+        F.lit("\n-   '"), F.col("source"), F.lit("'\nscores:\n  D1: "), id_ % 6, F.lit("\n  D2: "), chars % 6,
+        F.lit("\nparts:\n  - n: 1\n    of: {chars: "), chars, F.lit("}\n  -\n    n: 2\n    of:\n        chars: "),
+        chars + 1, F.lit("\nimpact:\n  main: 'one\n    two\n\n    "), F.col("source"), F.lit(" it''s: #"), id_,
+        F.lit("'\n  text: |-\n    text\n"), F.array_join(lines, "\n"), F.lit("\n\nlast: ~\n"))
+    broken = F.concat(F.lit("pid: P_"), id_, F.lit("\nthemes: [a, [b]]"))
+    schema = T.StructType([
+        T.StructField("pid", T.StringType()), T.StructField("themes", T.ArrayType(T.StringType())),
+        T.StructField("scores", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("parts", T.ArrayType(T.StructType([
+            T.StructField("n", T.IntegerType()), T.StructField("of", T.MapType(T.StringType(), T.LongType()))]))),
+        T.StructField("impact", T.MapType(T.StringType(), T.StringType()))])
+    raw = t.texts.select(F.when(F.col("lang") == "es", broken).otherwise(record).alias("value"))
+    good, bad = ingest.records(raw, schema, required=("pid",))
+    rows = good.select(
+        F.substring("pid", 3, 20).cast("long").alias("doc_id"), F.col("themes")[0].alias("lang"),
+        F.col("themes")[1].alias("source"), F.col("scores")["D1"].alias("d1"), F.col("scores")["D2"].alias("d2"),
+        F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["of"]["chars"]).alias("parts"),
+        F.col("impact")["main"].alias("impact"), F.md5(F.col("impact")["text"]).alias("text_md5"))
+    lost = bad.groupBy(F.split_part("reason", F.lit(":"), F.lit(1)).alias("source")).agg(
+        F.count(F.lit(1)).alias("parts"))
+    return rows.unionByName(lost, allowMissingColumns=True)
+
+
 @query("registry_alias_dim", "WITH " + D.ALIASES + """
 SELECT item_id, alias, count(*) OVER (PARTITION BY alias) AS owners FROM alias_dim""")
 def registry_alias_dim(t):

@@ -35,12 +35,21 @@ def issuer_misses(docs: DataFrame, key: str, issuers: Column, aliases: DataFrame
 
 # -- dictionary tagging -------------------------------------------------------------------
 
-def _pieces(c: Column) -> Column:
-    """The distinct characters and pairs of characters."""
+#: Characters of a piece, or fewer for a shorter alias. Three made texts cost twice the time.
+PIECE = 2
+
+
+def _pieces(c: Column, lengths: list[int]) -> Column:
+    """The distinct runs of characters of the given lengths (1 to ``PIECE``)."""
     chars = F.split(c, "")
-    return F.array_distinct(F.concat(chars, F.zip_with(
-        chars, F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, b))))
+    runs, longer = chars, []
+    for n in range(1, max(lengths) + 1):
+        if n > 1:
+            rest = F.slice(chars, n, F.greatest(F.size(chars) - (n - 1), F.lit(0)))
+            runs = F.filter(F.zip_with(runs, rest, lambda a, b: F.concat(a, b)), lambda x: x.isNotNull())
+        if n in lengths:
+            longer.append(runs)
+    return F.array_distinct(F.concat(*longer))
 
 
 #: Words of an alias that are tried as its anchor, longest first; more would only be slower.
@@ -51,28 +60,29 @@ def _candidates(aliases: DataFrame) -> DataFrame:
     """The tokens (``_token``) of which every text that contains the alias has all.
 
     For three words or more these are the longest words inside (the outer ones may be cut in the
-    text); for shorter aliases, and scripts without blanks, all pairs of characters, and for an
-    alias of one character that character.
+    text); for shorter aliases, and scripts without blanks, their pairs of characters, or the whole
+    of an alias of one.
     """
     words = text.words("alias")
     inner = F.array_distinct(F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))))
     longest = F.slice(F.sort_array(F.transform(inner, lambda w: F.struct(
         F.length(w).alias("n"), w.alias("w"))), asc=False), 1, CANDIDATES)["w"]
-    starts = F.sequence(F.lit(1), F.greatest(F.length("alias") - 1, F.lit(1)))
-    pairs = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("alias"), i, F.lit(2))))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("alias") - (PIECE - 1), F.lit(1)))
+    pieces = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("alias"), i, F.lit(PIECE))))
     by_word = F.size(longest) > 0
     return aliases.withColumn("_by_word", by_word).withColumn(
-        "_token", F.explode(F.when(by_word, longest).otherwise(pairs)))
+        "_token", F.explode(F.when(by_word, longest).otherwise(pieces)))
 
 
 def _met(docs: DataFrame, key: str, content: str, wanted: DataFrame) -> DataFrame:
     """Which documents have which candidate token, written once."""
-    words, pairs = (wanted.filter(c).select("_token").distinct() for c in ("_by_word", "not _by_word"))
+    words, pieces = (wanted.filter(c).select("_token").distinct() for c in ("_by_word", "not _by_word"))
     parts = [docs.select(key, F.explode(F.array_distinct(text.words(content))).alias("_token"))
              .join(words, "_token", "left_semi").withColumn("_by_word", F.lit(True))]
-    if not pairs.isEmpty():  # spares the pairs of all texts
-        parts.append(docs.select(key, F.explode(_pieces(F.col(content))).alias("_token"))
-                     .join(pairs, "_token", "left_semi").withColumn("_by_word", F.lit(False)))
+    lengths = sorted(r[0] for r in pieces.select(F.length("_token")).distinct().collect())  # ``PIECE`` at most
+    if lengths:
+        parts.append(docs.select(key, F.explode(_pieces(F.col(content), lengths)).alias("_token"))
+                     .join(pieces, "_token", "left_semi").withColumn("_by_word", F.lit(False)))
     return storage.stored(reduce(DataFrame.unionByName, parts), "met")
 
 
@@ -96,20 +106,22 @@ def mentions(docs: DataFrame, key: str, content: str, aliases: DataFrame, entity
     anchors = rated.groupBy(entity, "alias", "_by_word").agg(
         F.min(F.struct("_n", "_token")).alias("_best")).filter("_best._n > 0").select(
         entity, "alias", "_by_word", F.col("_best._token").alias("_token"))
+    pairs = met.join(anchors, ["_token", "_by_word"]).select(F.col(key).alias("_key"), entity, "alias")
     # A document's list is as long as the registry at most.
-    pairs = met.join(anchors, ["_token", "_by_word"]).groupBy(F.col(key).alias("_key")).agg(
-        F.collect_set(F.struct(entity, "alias")).alias("_pairs"))
+    pairs = pairs.groupBy("_key").agg(F.collect_set(F.struct(entity, "alias")).alias("_pairs"))
     rows = docs.select(key, content).join(pairs, F.col(key).eqNullSafe(F.col("_key"))).select(
         key, content, F.inline("_pairs"))
     body, alias = F.col(content), F.col("alias")
     rows = once.computed(rows.filter(F.contains(body, alias)), {"_at": _positions(body, alias)})
-    rows = once.computed(rows, {"hits": F.transform("_at", lambda pos: F.struct(
-        pos.cast("long").alias("pos"), text.snippet_at(body, pos, F.length(alias)).alias("snippet"),
-        text.location(pos, F.length(body)).alias("location")))})
-    first = F.col("hits")[0]
-    return rows.select(key, entity, "alias", first["pos"].alias("pos"),
-                       F.size("hits").cast("long").alias("evidence_count"),
-                       first["snippet"].alias("snippet"), first["location"].alias("location"), "hits")
+    width = F.length(alias)
+    snippet = lambda pos: text.snippet_at(body, pos, width)
+    place = lambda pos: text.location(pos, F.length(body))
+    first = F.col("_at")[0]
+    return rows.select(
+        key, entity, "alias", first.cast("long").alias("pos"), F.size("_at").cast("long").alias("evidence_count"),
+        snippet(first).alias("snippet"), place(first).alias("location"),
+        F.transform("_at", lambda pos: F.struct(pos.cast("long").alias("pos"), snippet(pos).alias("snippet"),
+                                                place(pos).alias("location"))).alias("hits"))
 
 
 def _positions(body: Column, alias: Column) -> Column:
