@@ -56,20 +56,36 @@ def graph_mirror_check(t):
     return graph.mirror(views.filter(~lost))
 
 
-@query("graph_chain", "WITH RECURSIVE " + D.EDGES.lstrip() + """,
-e AS (SELECT DISTINCT src, dst FROM edges WHERE src <> dst),
-walk(src, dst, depth) AS (SELECT src, dst, 1 FROM e
+STEPS = "WITH RECURSIVE " + D.EDGES.lstrip() + """,
+e AS (SELECT DISTINCT src, dst FROM edges WHERE src <> dst AND rel IN ('iterates', 'supersedes'))"""
+
+
+@query("graph_chain", STEPS + """,
+walk(src, dst, depth) AS (SELECT src, dst, 1 FROM e WHERE src NOT IN (SELECT dst FROM e)
   UNION SELECT w.src, e.dst, w.depth + 1 FROM walk w JOIN e ON e.src = w.dst WHERE w.src <> e.dst AND w.depth < 64)
 SELECT src, dst, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY src, dst""")
 def graph_chain(t):
-    return graph.chain(D.edges(t))
+    """The history of every newest version."""
+    edges = D.edges(t)
+    return graph.chain(edges, graph.heads(edges))
+
+
+@query("graph_reach", "WITH RECURSIVE " + D.EDGES.lstrip() + """,
+e AS (SELECT DISTINCT src, dst FROM edges WHERE src <> dst),
+walk(src, dst, depth) AS (SELECT src, dst, 1 FROM e WHERE src IN (SELECT doc_id FROM labels WHERE quality = 1)
+  UNION SELECT w.src, e.dst, w.depth + 1 FROM walk w JOIN e ON e.src = w.dst WHERE w.src <> e.dst AND w.depth < 64)
+SELECT src, dst, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY src, dst""")
+def graph_reach(t):
+    """What documents of good quality lead to, along relations of all kinds."""
+    starts = t.labels.filter("quality = 1").select(F.col("doc_id").alias("src"))
+    return graph.chain(D.edges(t), starts, None)
 
 
-@query("graph_lineage", "WITH RECURSIVE " + D.EDGES.lstrip() + """,
-up AS (SELECT src, min(dst) AS dst FROM edges WHERE src <> dst GROUP BY src),
+@query("graph_lineage", STEPS + """,
+up AS (SELECT src, min(dst) AS dst FROM e GROUP BY src),
 walk(node, root, depth) AS (SELECT src, dst, 1 FROM up
   UNION ALL SELECT w.node, u.dst, w.depth + 1 FROM walk w JOIN up u ON u.src = w.root)
-SELECT node, arg_max(root, depth) AS root, CAST(max(depth) AS BIGINT) AS depth FROM walk GROUP BY node""")
+SELECT node, arg_max(root, depth) AS root, CAST(max(depth) AS BIGINT) AS depth, false AS cyclic FROM walk GROUP BY node""")
 def graph_lineage(t):
     return graph.lineage(D.edges(t))
 

@@ -63,39 +63,55 @@ def mirror(views: DataFrame) -> DataFrame:
     return sums.filter("surplus <> 0")
 
 
-def chain(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """Transitive closure: every pair joined by a path, with its least number of steps.
+#: Relations along which a document develops out of an earlier one.
+EVOLUTION = ("iterates", "supersedes")
+
+
+def _steps(edges: DataFrame, rels: tuple[str, ...] | None) -> DataFrame:
+    own = edges.filter("src is not null and dst is not null and src <> dst")
+    return (own.filter(F.col("rel").isin(*rels)) if rels else own).select("src", "dst").distinct()
 
-    Breadth first, one join per depth; pairs already known are dropped, which also ends cycles.
-    The frontier is checkpointed, so a lost executor costs one step and the plan stays short.
-    """
-    steps = edges.filter("src is not null and dst is not null and src <> dst").select(
-        "src", "dst").distinct()
-    steps = storage.cut(steps)
-    frontier, depth = steps.withColumn("depth", F.lit(1).cast("long")), 1
-    layers = [frontier]
-    hop = steps.select(F.col("src").alias("dst"), F.col("dst").alias("_next"))
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        known = reduce(DataFrame.unionByName, layers).select("src", "dst")
-        reached = (frontier.join(hop, "dst").select("src", F.col("_next").alias("dst"))
-                   .filter("src <> dst").distinct().join(known, ["src", "dst"], "left_anti"))
-        frontier = storage.cut(reached.withColumn("depth", F.lit(depth).cast("long")))
-        if frontier.isEmpty():
-            break
-        layers.append(frontier)
-    return reduce(DataFrame.unionByName, layers)
 
+def heads(edges: DataFrame, rels: tuple[str, ...] | None = EVOLUTION) -> DataFrame:
+    """Nodes that begin a chain: they lead to another one, and none leads to them."""
+    steps = _steps(edges, rels)
+    return steps.select("src").distinct().join(steps.select(F.col("dst").alias("src")), "src", "left_anti")
 
-def lineage(edges: DataFrame) -> DataFrame:
+
+def chain(edges: DataFrame, starts: DataFrame, rels: tuple[str, ...] | None = EVOLUTION,
+          max_depth: int | None = None) -> DataFrame:
+    """What each start node (``src``) reaches, with the least number of steps.
+
+    Only the given nodes are expanded, so from the head of a chain of n nodes there are n - 1 rows
+    and no closure of the whole graph. Round i joins all that was reached with the jumps of 2**i
+    steps, which are the jumps of the round before joined with themselves: a chain of n steps takes
+    log2(n) rounds. A node is not listed as reached from itself; ``lineage`` names cycles.
+    """
+    jump = storage.cut(_steps(edges, rels))
+    reached = starts.select("src").distinct().select("src", F.col("src").alias("dst"), F.lit(0).cast("long").alias("depth"))
+    width = 1
+    while True:
+        hop = jump.select(F.col("src").alias("dst"), F.col("dst").alias("_next"))
+        further = reached.join(hop, "dst").select("src", F.col("_next").alias("dst"), (F.col("depth") + width).alias("depth"))
+        if max_depth is not None:
+            further = further.filter(F.col("depth") <= max_depth)
+        known = reached.withColumn("_new", F.lit(0)).unionByName(further.withColumn("_new", F.lit(1)))
+        merged = storage.cut(known.groupBy("src", "dst").agg(F.min("depth").alias("depth"), F.min("_new").alias("_new")))
+        reached = merged.drop("_new")
+        if merged.filter("_new = 1").isEmpty():
+            return reached.filter("depth > 0")
+        width *= 2
+        jump = storage.cut(jump.join(hop, "dst").select("src", F.col("_next").alias("dst")).distinct())
+
+
+def lineage(edges: DataFrame, rels: tuple[str, ...] | None = EVOLUTION) -> DataFrame:
     """Where each document's chain begins: its oldest ancestor and the number of steps.
 
     Follows one predecessor per document (the least) by pointer doubling: a chain of n steps
-    takes log2(n) joins, and there is one row per document, unlike the closure. Documents on or
-    before a cycle have no root.
+    takes log2(n) joins, and there is one row per document. ``cyclic`` marks documents on or before
+    a cycle; they have no root.
     """
-    links = edges.filter("src is not null and dst is not null and src <> dst")
-    active = storage.cut(links.groupBy(F.col("src").alias("node")).agg(
+    active = storage.cut(_steps(edges, rels).groupBy(F.col("src").alias("node")).agg(
         F.min("dst").alias("root"), F.lit(1).cast("long").alias("depth")))
     nodes, reach, done = active.count(), 1, []
     while True:
@@ -116,7 +132,7 @@ def lineage(edges: DataFrame) -> DataFrame:
                                  F.lit(None).cast("long").alias("depth"))
             done.append(lost)
             break
-    return reduce(DataFrame.unionByName, done)
+    return reduce(DataFrame.unionByName, done).withColumn("cyclic", F.col("root").isNull())
 
 
 def isolated(nodes: DataFrame, key: str, edges: DataFrame) -> DataFrame:

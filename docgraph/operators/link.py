@@ -156,38 +156,61 @@ def primary(tag_rows: DataFrame, key: str, entity: str) -> DataFrame:
 
 # -- fuzzy titles and the cascade ---------------------------------------------------------
 
-def _deletions(c: Column, distance: int) -> Column:
-    """The title and every form of it with up to ``distance`` characters deleted."""
-    # Deletions are made from left to right, so each set of positions is visited once.
-    layer = F.array(F.struct(c.alias("s"), F.lit(1).alias("at")))
-    layers = [layer]
-    for _ in range(distance):
-        layer = F.flatten(F.transform(layer, lambda f: F.transform(
-            F.filter(F.sequence(f["at"], F.greatest(F.length(f["s"]), f["at"])),
-                     lambda i: i <= F.length(f["s"])),
-            lambda i: F.struct(F.concat(F.substring(f["s"], F.lit(1), i - 1),
-                                        F.substring(f["s"], i + 1, F.length(f["s"]))).alias("s"),
-                               i.alias("at")))))
-        layers.append(layer)
-    return F.array_distinct(F.transform(F.concat(*layers), lambda f: F.xxhash64(f["s"])))
+def _segment(length: Column, i: int, distance: int) -> tuple[Column, Column]:
+    """Where segment ``i`` of ``distance`` + 1 even ones begins (from 0), and its length."""
+    parts = distance + 1
+    short, wide = F.floor(length / parts).cast("int"), (length % parts).cast("int")
+    longer = F.greatest(F.lit(0), F.lit(i - parts) + wide)
+    size = F.when(F.lit(i) >= parts - wide, short + 1).otherwise(short)
+    return short * i + longer, size
 
 
-def fuzzy_title(left: DataFrame, right: DataFrame, distance: int = 2) -> DataFrame:
-    """For each distinct title on the left the closest title on the right, ``distance`` at most.
+def _key(length: Column, i: int, title: Column, start: Column, size: Column) -> Column:
+    return F.xxhash64(length, F.lit(i), F.substring(title, start + 1, size))
+
+
+def _segments(title: Column, distance: int) -> Column:
+    """The keys of a title's own segments."""
+    n = F.length(title)
+    cuts = [_segment(n, i, distance) for i in range(distance + 1)]
+    return F.array_distinct(F.array(*[_key(n, i, title, start, size) for i, (start, size) in enumerate(cuts)]))
+
 
-    Two titles that many edits apart share a form after deleting that many characters, so an
-    equi join on these forms finds all of them; the edit distance itself decides.
-    Both sides need one column ``title``; equal titles are left to the exact match.
+def _probes(title: Column, distance: int) -> Column:
+    """The keys that a segment of any title within the distance would have.
+
+    Of ``distance`` + 1 segments one stays whole, and not far from its place: if segment ``i`` is the
+    first that does, at most ``i`` edits are before it and ``distance - i`` behind it.
     """
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = []
+    n = F.length(title)
+    for more in range(-distance, distance + 1):
+        length = n - more  # of the other title
+        for i in range(distance + 1):
+            start, size = _segment(length, i, distance)
+            for shift in range(-i, i + 1):
+                if abs(shift - more) > distance - i:
+                    continue
+                at = start + shift
+                inside = (length >= 0) & (at >= 0) & (at + size <= n)
+                keys.append(F.when(inside, _key(length, i, title, at, size)))
+    return F.array_distinct(F.array_compact(F.array(*keys)))
 
-    def indexed(df, name):
-        # A fixed number of partitions: the rows are few, but each grows to hundreds of forms.
-        rows = df.select(F.col("title").alias(name)).filter(f"{name} is not null")
-        rows = rows.repartition(parts, name).distinct()
-        return rows.select(name, F.explode(_deletions(F.col(name), distance)).alias("_form"))
 
-    pairs = indexed(left, "title").join(indexed(right, "match"), "_form").filter("title <> match")
+def fuzzy_title(left: DataFrame, right: DataFrame, distance: int = 2) -> DataFrame:
+    """For each distinct title on the left the closest title on the right, ``distance`` at most.
+
+    Titles on the right are cut into ``distance`` + 1 even segments. A title within the distance
+    has one of them whole, near its place, so an equi join of segments with places finds all; the
+    edit distance itself decides. The index has ``distance`` + 1 rows per title, and a title asks
+    a number of times that does not depend on its length. Both sides need one column ``title``;
+    equal titles are left to the exact match.
+    """
+    ask = left.select("title").filter("title is not null").distinct()
+    give = right.select(F.col("title").alias("match")).filter("match is not null").distinct()
+    asked = ask.select("title", F.explode(_probes(F.col("title"), distance)).alias("_key"))
+    given = give.select("match", F.explode(_segments(F.col("match"), distance)).alias("_key"))
+    pairs = asked.join(given, "_key").filter("title <> match")
     scored = pairs.withColumn("distance", F.levenshtein("title", "match", distance)).filter(
         "distance >= 0")
     return scored.groupBy("title").agg(F.min(F.struct("distance", "match")).alias("_best")).select(

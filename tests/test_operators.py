@@ -233,11 +233,11 @@ def test_a_repeal_at_the_second_occurrence(spark):
     assert [(r.id, r.d) for r in rel.supersedes(refs).collect()] == [(1, 70)]
 
 
-@pytest.mark.parametrize("distance", [1, 2])
+@pytest.mark.parametrize("distance", [1, 2, 3])
 def test_fuzzy_titles_against_brute_force(spark, distance):
     rng = random.Random(5)
     titles = sorted({"".join(rng.choice("ab車網") for _ in range(rng.randrange(1, 9))) for _ in range(120)})
-    left, right = titles[::2] + ["", None], titles[1::2] + [titles[0]]
+    left, right = titles[::2] + ["", None], titles[1::2] + [titles[0], None, ""]
     got = {r.title: (r.distance, r.match) for r in link.fuzzy_title(
         frame(spark, "title string", *[(t,) for t in left]),
         frame(spark, "title string", *[(t,) for t in right]), distance).collect()}
@@ -254,7 +254,7 @@ def test_fuzzy_titles_against_brute_force(spark, distance):
     for a in left:
         if a is None:
             continue
-        near = [(edits(a, b), b.encode()) for b in right if a != b and edits(a, b) <= distance]
+        near = [(edits(a, b), b.encode()) for b in right if b is not None and a != b and edits(a, b) <= distance]
         if near:
             d, b = min(near)
             want[a] = (d, b.decode())
@@ -313,18 +313,52 @@ EDGES = [("a", "b", "iterates"), ("b", "c", "iterates"), ("c", "a", "iterates"),
 
 
 def test_chain_ends_on_cycles(spark):
-    got = {(r.src, r.dst): r.depth for r in graph.chain(frame(spark, "src string, dst string, rel string", *EDGES)).collect()}
-    assert got == {("a", "b"): 1, ("b", "c"): 1, ("c", "a"): 1, ("d", "a"): 1, ("a", "c"): 2, ("b", "a"): 2,
-                   ("c", "b"): 2, ("d", "b"): 2, ("d", "c"): 3}
-    two = graph.chain(frame(spark, "src string, dst string, rel string", *EDGES), max_depth=2)
-    assert two.agg(F.max("depth")).first()[0] == 2
+    edges = frame(spark, "src string, dst string, rel string", *EDGES)
+    starts = frame(spark, "src string", ("a",), ("d",), ("d",), ("nowhere",), (None,))
+    got = {(r.src, r.dst): r.depth for r in graph.chain(edges, starts, None).collect()}
+    assert got == {("a", "b"): 1, ("a", "c"): 2, ("d", "a"): 1, ("d", "b"): 2, ("d", "c"): 3}
+    two = graph.chain(edges, starts, None, max_depth=2)
+    assert {(r.src, r.dst) for r in two.collect()} == set(got) - {("d", "c")}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chains_against_breadth_first_search(spark, seed):
+    """Branches, joins, cycles, other relations and repeated edges."""
+    rng = random.Random(seed)
+    rows = [(rng.randrange(40), rng.randrange(40), rng.choice(["iterates", "supersedes", "aligns_with"])) for _ in range(60)]
+    rows += [(100 + i, 101 + i, "iterates") for i in range(37)]
+    edges = frame(spark, "src long, dst long, rel string", *rows, *rows[:5])
+    starts = [0, 1, 2, 3, 100, 120]
+    want = {}
+    for s in starts:
+        seen, layer, depth = {s}, {s}, 0
+        while layer:
+            depth += 1
+            layer = {d for a, d, r in rows if a in layer and r != "aligns_with"} - seen
+            want.update({(s, d): depth for d in layer})
+            seen |= layer
+    got = graph.chain(edges, frame(spark, "src long", *[(s,) for s in starts]))
+    assert {(r.src, r.dst): r.depth for r in got.collect()} == want
+    ends = {d for a, d, r in rows if r != "aligns_with" and a != d}
+    assert {r.src for r in graph.heads(edges).collect()} == {
+        a for a, d, r in rows if r != "aligns_with" and a != d} - ends
+
+
+def test_a_long_chain_has_a_row_per_node_and_few_rounds(spark, monkeypatch):
+    rounds, real = [], storage.cut
+    monkeypatch.setattr(storage, "cut", lambda df: rounds.append(1) or real(df))
+    edges = frame(spark, "src long, dst long, rel string", *[(i, i - 1, "iterates") for i in range(1, 301)])
+    got = graph.chain(edges, graph.heads(edges)).collect()
+    assert {(r.src, r.dst, r.depth) for r in got} == {(300, i, 300 - i) for i in range(300)} and len(got) == 300
+    assert len(rounds) <= 22
 
 
 def test_lineage_of_long_chains_and_cycles(spark):
-    chain = [(i, i - 1, "iterates") for i in range(1, 38)] + [(100, 101, "iterates"), (101, 102, "iterates"),
-                                                              (102, 100, "iterates"), (103, 100, "iterates")]
-    got = {r.node: (r.root, r.depth) for r in graph.lineage(frame(spark, "src long, dst long, rel string", *chain)).collect()}
-    assert got == {**{i: (0, i) for i in range(1, 38)}, **{i: (None, None) for i in (100, 101, 102, 103)}}
+    chain = [(i, i - 1, "iterates") for i in range(1, 38)] + [(100, 101, "iterates"), (101, 102, "supersedes"),
+                                                              (102, 100, "iterates"), (103, 100, "iterates"), (37, 104, "extends")]
+    rows = graph.lineage(frame(spark, "src long, dst long, rel string", *chain)).collect()
+    assert {r.node: (r.root, r.depth, r.cyclic) for r in rows} == {
+        **{i: (0, i, False) for i in range(1, 38)}, **{i: (None, None, True) for i in (100, 101, 102, 103)}}
 
 
 def test_reverse_index_mirrors(spark):
