@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from docgraph.catalog import derive as D
 from docgraph.catalog.base import query
+from docgraph.plans import storage
 from docgraph.catalog.quality import RULE_TEXT, verdicts
 from docgraph.operators import agg, backlog, cover, link, nested, opinion, report, signals, theme
 
@@ -154,29 +155,30 @@ def cover_matrix(t):
 
 
 @query("cover_summary", WITH_DOCS + """
-SELECT level, count(*) AS documents, count(DISTINCT nation) AS covered, (SELECT count(*) FROM nation) AS regions,
-       round(100.0 * count(DISTINCT nation) / (SELECT count(*) FROM nation), 1) AS pct
-FROM docs WHERE importance >= 4 AND lang = 'es' GROUP BY level""")
+SELECT lang || level || importance || action_class AS level, count(*) AS documents, count(DISTINCT nation) AS covered,
+       (SELECT count(*) FROM nation) AS regions, round(100.0 * count(DISTINCT nation) / (SELECT count(*) FROM nation), 1) AS pct
+FROM docs GROUP BY ALL""")
 def cover_summary(t):
+    """All documents; a level is one of a place, in a language, of an importance and a class."""
     regions = t.nation.select(F.col("n_nationkey").alias("nation"))
-    rows = D.docs(t).filter("importance >= 4 and lang = 'es'")
+    rows = D.docs(t).withColumn("level", F.concat("lang", "level", "importance", "action_class"))
     return cover.summary(rows, "level", "nation", regions)
 
 
 @query("cover_gaps", """
-WITH present AS (SELECT DISTINCT p_name || ' ' || p_brand AS title, s_nationkey FROM lineitem JOIN part ON l_partkey = p_partkey
-                 JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity >= 45 AND l_returnflag = 'R'),
-grid AS (SELECT b.title, n.n_name, n.n_nationkey, r.r_name FROM (SELECT DISTINCT p_name || ' ' || p_brand AS title FROM part) b, nation n
+WITH present AS (SELECT DISTINCT p_partkey || ' ' || p_name AS title, s_nationkey FROM lineitem JOIN part ON l_partkey = p_partkey
+                 JOIN supplier ON l_suppkey = s_suppkey),
+grid AS (SELECT b.title, n.n_name, n.n_nationkey, r.r_name FROM (SELECT DISTINCT p_partkey || ' ' || p_name AS title FROM part) b, nation n
          JOIN region r ON n.n_regionkey = r.r_regionkey),
 miss AS (SELECT g.* FROM grid g WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.title = g.title AND p.s_nationkey = g.n_nationkey))
 SELECT title, r_name, count(*) AS n_missing, (SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE region.r_name = miss.r_name) AS n_regions,
        string_agg(n_name, ',' ORDER BY n_name) AS missing FROM miss GROUP BY ALL""")
 def cover_gaps(t):
-    """Nations that never shipped a large returned lot of a product, by region of the world."""
+    """Nations that never shipped a product, by region of the world."""
     names = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", "n_name", "r_name")
-    lots = t.lineitem.filter("l_quantity >= 45 and l_returnflag = 'R'").select("l_partkey", "l_suppkey")
-    products = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("title"))
+    lots = t.lineitem.select("l_partkey", "l_suppkey")
+    products = t.part.select("p_partkey", F.concat_ws(" ", "p_partkey", "p_name").alias("title"))
     pairs = lots.join(products, F.col("l_partkey") == F.col("p_partkey")).join(
         t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     seen = pairs.select("title", "s_nationkey").distinct().join(
@@ -256,6 +258,24 @@ def agg_sources_approx(t):
     return agg.sources(t.events, "event_type", "user_id", approx=True)
 
 
+@query("agg_sources_merged", """
+SELECT 'all' AS span, event_type, true AS within FROM events GROUP BY ALL
+UNION ALL SELECT strftime(ts, '%Y-%m'), event_type, true FROM events GROUP BY ALL""")
+def agg_sources_merged(t):
+    """Sketches per type and day, stored and united over months and in all, against exact counts:
+    whether each estimate lies within three standard errors (1.6 % each) and one of rounding."""
+    rows = t.events.withColumn("day", F.to_date("ts"))
+    days = storage.stored(agg.sketched(rows, ["event_type", "day"], "user_id"), "sketches")
+
+    def spans(df):
+        span = F.explode(F.array(F.lit("all"), F.date_format("day", "yyyy-MM")))
+        return df.withColumn("span", span)
+
+    exact = spans(rows).groupBy("span", "event_type").agg(F.count_distinct("user_id").alias("n"))
+    both = agg.united(spans(days), ["span", "event_type"]).join(exact, ["span", "event_type"])
+    return both.select("span", "event_type", (F.abs(F.col("sources") - F.col("n")) <= 0.048 * F.col("n") + 1).alias("within"))
+
+
 @query("report_global_index", WITH_DOCS + "," + D.EDGES + "," + D.STANCES + """
 SELECT 'documents' AS metric, CAST(count(*) AS DOUBLE) AS value FROM docs
 UNION ALL SELECT 'top_importance', count(*) FILTER (importance = 5) FROM docs

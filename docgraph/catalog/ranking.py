@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docgraph.catalog import derive as D
 from docgraph.catalog.base import query
+from docgraph.plans import storage
 from docgraph.operators import check, cover, rank, report, theme
 
 WITH_DOCS = "WITH " + D.DOCS
@@ -99,6 +100,25 @@ def rank_frequent(t):
     return rank.frequent(t.part, "p_name", 15)
 
 
+@query("rank_frequent_merged", """
+SELECT event_type, k, n FROM (
+  SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY ALL)
+QUALIFY rank() OVER (PARTITION BY event_type ORDER BY n DESC) <= 3""")
+def rank_frequent_merged(t):
+    """Sketches per type and day, stored and combined: the most frequent numbers of each type.
+
+    There are fewer numbers than the sketch tracks, so counts are exact; the values that share the
+    third place are all listed.
+    """
+    rows = t.events.select("event_type", F.to_date("ts").alias("day"),
+                           F.get_json_object("props", "$.k").cast("long").alias("k"))
+    days = storage.stored(rank.tracked(rows, ["event_type", "day"], "k"), "sketches")
+    top = rank.combined(days, ["event_type"], "k", 1_000)
+    third = F.element_at(F.sort_array(F.collect_list("n"), False), F.lit(3))
+    least = top.groupBy("event_type").agg(third.alias("_third"))
+    return top.join(least, "event_type").filter("n >= _third").drop("_third")
+
+
 @query("rank_frequent_approx")
 def rank_frequent_approx(t):
     return rank.frequent_approx(t.lineitem, "l_partkey", 15)
@@ -107,7 +127,7 @@ def rank_frequent_approx(t):
 @query("rank_bounded", """
 SELECT lang, doc_id, rank, total, greatest(total - 20, 0) AS more FROM (
   SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY n_chars, doc_id) AS rank,
-         count(*) OVER (PARTITION BY lang) AS total FROM documents WHERE n_chars < 3000) WHERE rank <= 20""")
+         count(*) OVER (PARTITION BY lang) AS total FROM documents) WHERE rank <= 20""")
 def rank_bounded(t):
-    rows = t.documents.filter("n_chars < 3000").select("lang", "doc_id", "n_chars")
+    rows = t.documents.select("lang", "doc_id", "n_chars")
     return rank.bounded(rows, ["lang"], [F.col("n_chars"), F.col("doc_id")], 20).drop("n_chars")

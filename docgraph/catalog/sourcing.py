@@ -127,6 +127,30 @@ def append_new_docs(t):
         F.sum("n_chars").alias("chars"))
 
 
+@query("append_manifest", """
+SELECT 'first' AS batch, 'rows' AS part, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+UNION ALL SELECT 'second', 'rows', count(*), CAST(sum(n_chars) AS BIGINT) FROM documents
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND lang NOT IN ('es', 'fr')
+UNION ALL SELECT 'second', 'several contents', 2 * count(*), CAST(sum(2 * n_chars + 1) AS BIGINT) FROM documents
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND lang = 'es'
+UNION ALL SELECT 'second', 'other content is stored', count(*), CAST(sum(n_chars + 1) AS BIGINT) FROM documents
+  WHERE doc_id IN (SELECT doc_id FROM labels) AND lang = 'es'
+UNION ALL SELECT 'second', 'no key', count(*), CAST(sum(n_chars) AS BIGINT) FROM documents WHERE lang = 'fr'""")
+def append_manifest(t):
+    """Labelled documents first; then all, French ones without a key, Spanish ones in two versions."""
+    path = storage.work_path(t.spark, "manifest")
+    rows = t.documents
+    sink.append_batch(rows.join(t.labels, "doc_id", "left_semi"), path, "doc_id", "first")
+    twice = rows.unionByName(rows.filter("lang = 'es'").withColumn("n_chars", F.col("n_chars") + 1))
+    again = twice.withColumn("doc_id", F.when(F.col("lang") != "fr", F.col("doc_id")))
+    for _ in range(2):  # the second time it is in already
+        sink.append_batch(again, path, "doc_id", "second")
+    kept = sink.stored_rows(t.spark, path, rows.schema).withColumn("part", F.lit("rows"))
+    aside = sink.rejected_rows(t.spark, path, rows.schema).withColumnRenamed("reason", "part")
+    return kept.unionByName(aside).groupBy("batch", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
 @query("rewrite_roundtrip", """
 SELECT lang, count(*) AS n, CAST(sum(CASE WHEN lang = 'en' THEN n_chars ELSE -n_chars END) AS BIGINT) AS chars
 FROM documents GROUP BY lang""")

@@ -72,3 +72,45 @@ def recompute(df: DataFrame, field: str, candidates: dict[str, tuple[Column, flo
             .withColumn(f"{field}_fixed_at", F.when(changed, at))
             .withColumn(field, F.when(changed, F.col("_new.value")).otherwise(F.col(field)))
             .drop("_new"))
+
+
+def reidentify(df: DataFrame, key: str, aliases: str, new_id: Column, method: str, at: Column,
+               confidence: float = 1.0) -> DataFrame:
+    """Recompute the id; ``aliases`` then holds what it held, the former id and the current one.
+
+    The audit columns of ``recompute`` tell what changed, how and when. Without a new id, or with
+    the same, the id stays; it is listed among its aliases all the same.
+    """
+    before = df.withColumn("_former", F.col(key))
+    rows = recompute(before, key, {method: (new_id, confidence)}, at)
+    known = F.concat(F.coalesce(F.col(aliases), F.array().cast("array<string>")),
+                     F.array("_former", key))
+    return rows.withColumn(aliases, F.array_sort(F.array_distinct(F.array_compact(known)))).drop("_former")
+
+
+def renamed(renames: DataFrame, old: str, new: str, at: str) -> DataFrame:
+    """Former ids with their current one after any number of recomputes.
+
+    ``renames`` are the audit rows (former id, id given, time); of several renames of one id the
+    latest counts. Pointer doubling compresses the paths in a logarithmic number of joins.
+    ``status`` is ``moved``, or ``cycle`` where ids lead in a circle; those have no current id.
+    """
+    from docgraph.operators import graph
+
+    last = renames.filter(F.col(old).isNotNull() & F.col(new).isNotNull()).groupBy(F.col(old).alias("src")).agg(
+        F.max_by(new, F.struct(at, new)).alias("dst")).withColumn("rel", F.lit("renamed"))
+    paths = graph.lineage(last, None)
+    return paths.select(F.col("node").alias("former"), F.col("root").alias("current"), F.col("depth").alias("steps"),
+                        F.when(F.col("cyclic"), "cycle").otherwise("moved").alias("status"))
+
+
+def with_former_ids(docs: DataFrame, key: str, aliases: str, paths: DataFrame) -> DataFrame:
+    """Documents under their current ids, with all former ids of the way among ``aliases``."""
+    sure = paths.filter("status = 'moved'")
+    former = sure.groupBy("current").agg(F.collect_set("former").alias("_ways"))  # one document's ids
+    rows = docs.join(sure.select(F.col("former").alias(key), F.col("current").alias("_now")), key, "left")
+    rows = rows.withColumn(key, F.coalesce("_now", key)).join(
+        former.withColumnRenamed("current", key), key, "left")
+    empty = F.array().cast(docs.schema[aliases].dataType)
+    known = F.concat(F.coalesce(F.col(aliases), empty), F.coalesce("_ways", empty), F.array(key))
+    return rows.withColumn(aliases, F.array_sort(F.array_distinct(F.array_compact(known)))).select(docs.columns)

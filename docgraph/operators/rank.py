@@ -39,6 +39,21 @@ def frequent_approx(df: DataFrame, column: str, n: int, tracked: int = 100_000)
     return top.select(F.inline("_top")).withColumnsRenamed({"item": column, "count": "n"})
 
 
+def tracked(df: DataFrame, keys: list[str], column: str, size: int = 10_000) -> DataFrame:
+    """A mergeable sketch of the frequent values per key, such as a day; store it once."""
+    return df.groupBy(*keys).agg(F.expr(f"approx_top_k_accumulate(`{column}`, {size})").alias("sketch"))
+
+
+def combined(sketches: DataFrame, keys: list[str], column: str, n: int, size: int = 10_000) -> DataFrame:
+    """The ``n`` most frequent values per coarser key with estimated counts, from stored sketches.
+
+    Estimates are exact while a key has at most three quarters of ``size`` distinct values.
+    """
+    top = sketches.groupBy(*keys).agg(F.expr(
+        f"approx_top_k_estimate(approx_top_k_combine(sketch, {size}), {n})").alias("_top"))
+    return top.select(*keys, F.inline("_top")).withColumnsRenamed({"item": column, "count": "n"})
+
+
 def bounded(df: DataFrame, part: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows per group and how many more there are."""
     totals = df.groupBy(*part).agg(F.count(F.lit(1)).alias("total"))

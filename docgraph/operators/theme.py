@@ -5,12 +5,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docgraph.operators import rank
+from docgraph.operators import agg, rank
 from docgraph.plans import paging
 
 
 def stats(docs: DataFrame, theme: str, date: str, score: str, high: int = 4) -> DataFrame:
-    """Total, high share, mean, busiest year (ties to the earlier) and counts per year."""
+    """Total, high share, mean, busiest year (ties to the earlier) and counts per year.
+
+    Undated documents count in the totals; they have no year.
+    """
     years = docs.groupBy(theme, F.year(date).alias("year")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col(score) >= high).alias("_high"),
         F.sum(score).alias("_sum"))
@@ -18,8 +21,9 @@ def stats(docs: DataFrame, theme: str, date: str, score: str, high: int = 4) ->
         F.sum("_n").alias("documents"), F.sum("_high").alias("high"),
         F.round(100.0 * F.sum("_high") / F.sum("_n"), 1).alias("high_pct"),
         F.round(F.sum("_sum") / F.sum("_n"), 2).alias("mean_importance"),
-        F.min_by("year", F.struct(-F.col("_n"), F.col("year"))).alias("busiest_year"),
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", "_n")))).alias("years"))
+        F.min_by("year", F.when(F.col("year").isNotNull(), F.struct(-F.col("_n"), F.col("year")))).alias("busiest_year"),
+        F.map_from_entries(F.sort_array(F.collect_list(F.when(
+            F.col("year").isNotNull(), F.struct("year", "_n"))))).alias("years"))
 
 
 def timeline(docs: DataFrame, theme: str, level: str, date: str, key: str, score: str,
@@ -33,8 +37,9 @@ def bundle(docs: DataFrame, edges: DataFrame, theme: str, key: str, level: str,
     """One nested row of figures per theme: sizes, maps of regions and issuers, best documents.
 
     The row nests what the registries or ``k`` bound; documents and relations, which grow with
-    the corpus, are nested by ``bundle_pages``.
+    the corpus, are nested by ``bundle_pages``. Missing levels, regions and issuers are ``(none)``.
     """
+    docs = docs.withColumns({c: agg.named(c) for c in (level, region, issuer)})
     sizes = docs.groupBy(theme).agg(F.count(F.lit(1)).alias("documents"))
     cells = docs.groupBy(theme, level, region).agg(F.count(F.lit(1)).alias("n"))
     levels = cells.groupBy(theme, level).agg(F.map_from_entries(
