@@ -242,6 +242,13 @@ def _pieces_of(batch: pa.RecordBatch, size: int):
         yield chunk, [raw[a:b] for a, b in zip(chunk.starts[:-1], chunk.starts[1:])]
 
 
+def _rows(v: Vocabulary, batch: pa.RecordBatch):
+    """Rows of a batch, a few megabytes of text at a time, with their ids."""
+    for chunk, texts in _pieces_of(batch, CHUNK):
+        ids, offsets = encoded(v, texts)
+        yield batch.slice(chunk.first, chunk.n), texts, K.lists(ids.astype(np.int32), offsets, pa.int32())
+
+
 def encode(docs: DataFrame, path: str = MODEL, unigram: bool = False, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id, text and ids (array of int) per document.
@@ -253,12 +260,8 @@ def encode(docs: DataFrame, path: str = MODEL, unigram: bool = False, id_col: st
     shared = _shared(docs, path, unigram)
 
     def work(batch):
-        v = shared.value
-        for chunk, texts in _pieces_of(batch, CHUNK):
-            ids, offsets = encoded(v, texts)
-            rows = batch.slice(chunk.first, chunk.n)
-            yield {"doc_id": rows["doc_id"], "text": rows["text"],
-                   "ids": K.lists(ids.astype(np.int32), offsets, pa.int32())}
+        for rows, _, ids in _rows(shared.value, batch):
+            yield {"doc_id": rows["doc_id"], "text": rows["text"], "ids": ids}
 
     return each(pair(docs, id_col, text_col), work, "doc_id long, text string, ids array<int>")
 
@@ -286,17 +289,18 @@ def round_trip(docs: DataFrame, path: str = MODEL, unigram: bool = False,
 
     def work(batch):
         v = shared.value
-        out = {k: [] for k in ("n_tokens", "n_byte_tokens", "ids_sha256", "round_trip")}
         raw = np.zeros(len(v.text), bool)
         raw[v.bytes] = True
-        for text, ids in zip(batch["text"], batch["ids"]):
-            own = ids.values.to_numpy().astype("<i4")
-            out["n_tokens"].append(len(own))
-            out["n_byte_tokens"].append(int(raw[own].sum()))
-            out["ids_sha256"].append(hashlib.sha256(own.tobytes()).hexdigest())
-            out["round_trip"].append(decoded(v, own.tolist()) == (text.as_py() or ""))
-        yield {"doc_id": batch["doc_id"], "ids": batch["ids"], **out}
-
-    return each(encode(docs, path, unigram, id_col, text_col), work,
+        for rows, texts, lists in _rows(v, batch):
+            out = {k: [] for k in ("n_tokens", "n_byte_tokens", "ids_sha256", "round_trip")}
+            for text, ids in zip(texts, lists):
+                own = ids.values.to_numpy().astype("<i4")
+                out["n_tokens"].append(len(own))
+                out["n_byte_tokens"].append(int(raw[own].sum()))
+                out["ids_sha256"].append(hashlib.sha256(own.tobytes()).hexdigest())
+                out["round_trip"].append(decoded(v, own.tolist()) == text.decode())
+            yield {"doc_id": rows["doc_id"], "ids": lists, **out}
+
+    return each(pair(docs, id_col, text_col), work,
                 "doc_id long, ids array<int>, n_tokens long, n_byte_tokens long, "
                 "ids_sha256 string, round_trip boolean")
