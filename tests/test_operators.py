@@ -64,6 +64,32 @@ def test_history_and_latest(spark):
     assert {r.id for r in version.latest(df, "k", ["ts", "id"]).collect()} == {2, 4}
 
 
+def test_ids_renamed_several_times(spark):
+    """Chains, a rename taken back by a later one, a circle, repeated audit rows."""
+    rows = [(f"a{i}", f"a{i + 1}", i) for i in range(20)] + [("b0", "b9", 1), ("b0", "b1", 2), ("c0", "c1", 1), ("c1", "c0", 2),
+            ("d", "c0", 3), (None, "x", 1), ("y", None, 1), ("e", "e", 1), ("a3", "a4", 3)]
+    paths = ident.renamed(frame(spark, "old string, new string, at int", *rows), "old", "new", "at")
+    got = {r.former: (r.current, r.steps, r.status) for r in paths.collect()}
+    assert got == {**{f"a{i}": ("a20", 20 - i, "moved") for i in range(20)}, "b0": ("b1", 1, "moved"),
+                   **{c: (None, None, "cycle") for c in ("c0", "c1", "d")}}
+    docs = frame(spark, "id string, aliases array<string>, n int", ("a0", ["a0", "old"], 1), ("a20", None, 2), ("b0", [], 3),
+                 ("c0", ["z"], 4), (None, None, 5), ("q", ["q"], 6))
+    out = {r.n: (r.id, r.aliases) for r in ident.with_former_ids(docs, "id", "aliases", paths).collect()}
+    ways = sorted(f"a{i}" for i in range(21))
+    assert out == {1: ("a20", sorted([*ways, "old"])), 2: ("a20", ways), 3: ("b1", ["b0", "b1"]), 4: ("c0", ["c0", "z"]),
+                   5: (None, []), 6: ("q", ["q"])}
+
+
+def test_recomputed_id_keeps_both_ids(spark):
+    df = frame(spark, "id string, aliases array<string>, d string", ("P_1900_A_1", ["P_1900_A_1"], "2031"),
+               ("P_2030_A_2", None, None), ("P_2030_A_3", ["x"], "2030"))
+    new = F.when(F.col("d").isNotNull(), F.concat(F.lit("P_"), "d", F.substring("id", 7, 9)))
+    out = ident.reidentify(df, "id", "aliases", new, "id_recompute_from_metadata", F.lit("2032-01-01").cast("timestamp"))
+    got = {r.id: (r.aliases, r.id_fixed_from, r.id_fixed_method) for r in out.collect()}
+    assert got == {"P_2031_A_1": (["P_1900_A_1", "P_2031_A_1"], "P_1900_A_1", "id_recompute_from_metadata"),
+                   "P_2030_A_2": (["P_2030_A_2"], None, None), "P_2030_A_3": (["P_2030_A_3", "x"], None, None)}
+
+
 # -- copies --------------------------------------------------------------------------------
 
 def copies(texts, threshold=0.8):
@@ -527,3 +553,40 @@ def test_bounded_listing(spark):
     df = spark.range(25).withColumn("g", F.lit("x"))
     out = rank.bounded(df, ["g"], [F.col("id")], 20)
     assert out.count() == 20 and out.first().more == 5
+
+
+# -- missing values and sketches -----------------------------------------------------------
+
+def test_missing_values_are_classes_of_their_own(spark):
+    df = frame(spark, "lv string, nm string, c string", ("a", None, "x"), ("a", "p", None), (None, "p", "odd"), ("a", "p", "x"))
+    got = {r.lv: r.names for r in agg.nested_counts(df, "lv", "nm").collect()}
+    assert got == {"a": {"(none)": 1, "p": 2}, None: {"p": 1}}
+    assert {(r.c, r.n) for r in agg.edge_types(df.withColumnRenamed("c", "c"), "c", ["x", "y"]).collect()} == {
+        ("x", 2), ("y", 0), ("odd", 1), ("(none)", 1)}
+
+
+def test_undated_documents_and_missing_places(spark):
+    day = dt.date(2031, 5, 6)
+    docs = frame(spark, "id long, t string, d date, s int, lv string, rg string, who string", (1, "t", day, 5, "a", "r", "i"),
+                 (2, "t", None, 3, None, None, None), (3, "u", None, 1, "a", "r", None))
+    got = {r.t: (r.documents, r.busiest_year, r.years) for r in theme.stats(docs, "t", "d", "s").collect()}
+    assert got == {"t": (2, 2031, {2031: 1}), "u": (1, None, {})}
+    edges = frame(spark, "t string, src long, dst long, rel string", ("t", 1, 2, "extends"))
+    rows = {r.t: r for r in theme.bundle(docs, edges, "t", "id", "lv", "rg", "who", "s").collect()}
+    assert rows["t"].region_distribution == {"a": {"r": 1}, "(none)": {"(none)": 1}}
+    assert rows["t"].top_issuers == {"i": 1, "(none)": 1} and rows["u"].relations == 0
+
+
+def test_sketches_of_days_unite(spark):
+    rng = random.Random(4)
+    rows = [("g", d, f"s{rng.randrange(3000)}") for d in range(10) for _ in range(800)] + [("h", 1, None), ("h", 2, "x")]
+    df = frame(spark, "g string, d int, s string", *rows)
+    days = agg.sketched(df, ["g", "d"], "s")
+    got = {r.g: r.sources for r in agg.united(days, ["g"]).collect()}
+    exact = len({s for g, _, s in rows if g == "g"})
+    assert abs(got["g"] - exact) <= 0.048 * exact and got["h"] == 1
+    top = rank.combined(rank.tracked(df, ["g", "d"], "s"), ["g"], "s", 5_000)
+    want = {}
+    for g, _, s in rows:
+        want[g, s] = want.get((g, s), 0) + (s is not None)
+    assert {(r.g, r.s): r.n for r in top.filter("s is not null").collect()} == {k: n for k, n in want.items() if n}
