@@ -10,7 +10,7 @@ from docgraph.catalog import derive as D
 from docgraph.catalog.base import query
 from docgraph.catalog.quality import QUEUE, queues
 from docgraph.plans import storage
-from docgraph.streaming import stream
+from docgraph.streaming import stream, upsert
 
 COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -85,3 +85,37 @@ def stream_latest(t):
     out = drive(t, "latest", lambda s: stream.latest(s, "user_id", ["ts", "event_id"]), "update")
     rows = stream.current(t.spark, out, ["user_id"])
     return rows.select("user_id", "event_id", "event_type", D.stamp("ts").alias("ts"))
+
+
+def kept_up(t, name, build, keys, merge, buckets=8):
+    """Run all deliveries into a keyed table; returns its rows."""
+    root = storage.work_path(t.spark, name)
+    for i, rows in enumerate(deliveries(t)):
+        rows.write.parquet(f"{root}/in/{i}")
+        source = build(stream.arriving(t.spark, f"{root}/in", rows.schema))
+        upsert.run(source, f"{root}/table", f"{root}/checkpoint", keys, merge, buckets)
+    return upsert.table(t.spark, f"{root}/table", source.schema)
+
+
+@query("stream_upsert_latest", """
+SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY events.ts DESC, event_id DESC) = 1""")
+def stream_upsert_latest(t):
+    rows = kept_up(t, "upsert", lambda s: s.select("user_id", "event_id", "event_type", "ts"), ["user_id"],
+                   upsert.newest(["user_id"], ["ts", "event_id"]))
+    return rows.withColumn("ts", D.stamp("ts"))
+
+
+@query("stream_upsert_backlog", """
+SELECT 'k' || CAST(json_extract(props, '$.k') AS BIGINT) AS title, user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen, count(*) AS sightings
+FROM events GROUP BY ALL""")
+def stream_upsert_backlog(t):
+    def build(s):
+        return s.select(F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("title"), "user_id",
+                        F.col("ts").alias("first_seen"), F.col("ts").alias("last_seen"), F.lit(1).cast("long").alias("sightings"))
+
+    keys = ["title", "user_id"]
+    rows = kept_up(t, "backlog", build, keys, upsert.summed(
+        keys, {"first_seen": F.min, "last_seen": F.max, "sightings": F.sum}))
+    return rows.withColumns({c: D.stamp(c) for c in ("first_seen", "last_seen")})
