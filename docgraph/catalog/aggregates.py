@@ -225,25 +225,44 @@ def theme_bundle(t):
 
 
 @query("theme_bundle_pages", WITH_DOCS + """
-SELECT theme, count(*) AS documents, CAST(sum(doc_id) AS BIGINT) AS ids, count(DISTINCT doc_id) AS distinct_ids FROM themed GROUP BY theme""")
+SELECT theme, (nth - 1) // 50 AS page, count(*) AS documents, CAST(sum(doc_id) AS BIGINT) AS ids, max(doc_id) AS last
+FROM (SELECT theme, doc_id, row_number() OVER (PARTITION BY theme ORDER BY doc_id) AS nth FROM themed) GROUP BY ALL""")
 def theme_bundle_pages(t):
-    """Documents of each theme in nested pages of about 50, unfolded again."""
+    """Documents of each theme in nested pages of 50, in order."""
     rows = D.themed(t)
     policies, _ = theme.bundle_pages(rows, D.edges(t).withColumn("theme", F.col("src") % 13), "theme",
                                      "doc_id", ["date", "importance"], 50)
-    flat = policies.select("theme", F.explode("entries").alias("e"))
-    return flat.groupBy("theme").agg(F.count(F.lit(1)).alias("documents"), F.sum("e.doc_id").alias("ids"),
-                                     F.count_distinct("e.doc_id").alias("distinct_ids"))
+    flat = policies.select("theme", "page", F.explode("entries").alias("e"))
+    return flat.groupBy("theme", "page").agg(F.count(F.lit(1)).alias("documents"), F.sum("e.doc_id").alias("ids"),
+                                             F.max("e.doc_id").alias("last"))
+
+
+@query("theme_relation_pages", "WITH " + D.EDGES + """
+SELECT src % 13 AS theme, (nth - 1) // 50 AS page, count(*) AS relations, CAST(sum(src) AS BIGINT) AS sources, CAST(sum(dst) AS BIGINT) AS targets
+FROM (SELECT *, row_number() OVER (PARTITION BY src % 13 ORDER BY src, dst, rel) AS nth FROM edges) GROUP BY ALL""")
+def theme_relation_pages(t):
+    """The relations of each theme's documents in nested pages of 50, in order."""
+    _, relations = theme.bundle_pages(D.themed(t), D.edges(t).withColumn("theme", F.col("src") % 13), "theme",
+                                      "doc_id", ["date"], 50)
+    flat = relations.select("theme", "page", F.explode("entries").alias("e"))
+    return flat.groupBy("theme", "page").agg(F.count(F.lit(1)).alias("relations"), F.sum("e.src").alias("sources"),
+                                             F.sum("e.dst").alias("targets"))
 
 
 @query("backlog_build", """
-SELECT 'k' || CAST(json_extract(props, '$.k') AS BIGINT) AS title, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen,
-       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen, count(DISTINCT user_id) AS ref_count, count(*) AS sightings
-FROM events WHERE event_type = 'error' GROUP BY 1""")
+WITH e AS (SELECT 'k' || CAST(json_extract(props, '$.k') AS BIGINT) AS title, 't' || event_id % 3 AS kind, ts, user_id, event_id
+           FROM events WHERE event_type = 'error'),
+kinds AS (SELECT title, first(kind ORDER BY n DESC, kind) AS linkage_type FROM (
+  SELECT title, kind, count(*) AS n FROM e GROUP BY ALL) GROUP BY title)
+SELECT title, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_seen,
+       count(DISTINCT user_id) AS ref_count, count(*) AS sightings, any_value(linkage_type) AS linkage_type,
+       first('value ' || event_id ORDER BY ts, event_id) AS evidence_sample
+FROM e JOIN kinds USING (title) GROUP BY title""")
 def backlog_build(t):
     rows = t.events.filter("event_type = 'error'").select(
-        F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("title"), "user_id", "ts")
-    out = backlog.build(rows, "title", "user_id", "ts")
+        F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("title"), "user_id", "ts", "event_id",
+        F.concat(F.lit("t"), F.col("event_id") % 3).alias("kind"), F.concat(F.lit("value "), "event_id").alias("evidence"))
+    out = backlog.build(rows, "title", "user_id", "ts", "kind", "evidence", ["event_id"])
     return out.withColumns({c: D.stamp(c) for c in ("first_seen", "last_seen")})
 
 

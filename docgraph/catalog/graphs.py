@@ -21,13 +21,11 @@ def graph_reverse(t):
 
 
 @query("graph_reverse_pages", WITH_EDGES + """,
-v AS (SELECT rel AS node, 'all' AS direction, 'members' AS section, src AS other FROM edges),
-c AS (SELECT node, CAST(ceil(count(*) / 50) AS BIGINT) AS pages, count(*) AS n FROM v GROUP BY node)
-SELECT v.node, CASE WHEN c.n > 50 THEN ('0x' || substr(md5(CAST(other AS VARCHAR)), 1, 8))::BIGINT % c.pages ELSE 0 END AS page,
-       count(*) AS n, CAST(min(other) AS BIGINT) AS first, CAST(max(other) AS BIGINT) AS last
-FROM v JOIN c ON c.node = v.node GROUP BY ALL""")
+v AS (SELECT rel AS node, src AS other, (row_number() OVER (PARTITION BY rel ORDER BY src) - 1) // 50 AS page FROM edges)
+SELECT node, page, count(*) AS n, CAST(min(other) AS BIGINT) AS first, CAST(max(other) AS BIGINT) AS last
+FROM v GROUP BY ALL""")
 def graph_reverse_pages(t):
-    """Hub nodes (the relation names) listed in pages of about 50 entries."""
+    """Hub nodes (the relation names) listed in order, in pages of 50 entries."""
     views = D.edges(t).select(F.col("rel").alias("node"), F.lit("all").alias("direction"),
                               F.lit("members").alias("section"), F.col("src").alias("other"))
     out = graph.pages(views, 50)

@@ -6,7 +6,8 @@ from docgraph.catalog import derive as D
 from docgraph.catalog.base import query
 from docgraph.functions import text
 from docgraph.operators import link, rel
-from docgraph.sources import ingest
+from docgraph.plans import storage
+from docgraph.sources import ingest, sink
 
 
 @query("link_issuer_misses", """
@@ -201,6 +202,49 @@ def rel_iterates_text_ids(t):
     return out.select("src", "dst", F.col("distance").cast("long").alias("distance"))
 
 
+@query("rel_number_citations", """
+WITH own AS (SELECT doc_id, '机关〔' || (2000 + doc_id % 27) || '〕' || (doc_id + 1) || '号' AS mark, length(text) AS n FROM documents)
+SELECT a.doc_id, b.doc_id AS dst, b.mark, CAST(2 AS BIGINT) AS evidence_count, a.n + 2 AS pos, a.doc_id % 2 = 0 AS repeals
+FROM own a JOIN own b ON b.doc_id = a.doc_id // 3
+UNION ALL SELECT doc_id, NULL, '机关〔1999〕' || (doc_id + 1) || '号', 1, 2 * n + 111 + 2 * length(CAST(doc_id // 3 + 1 AS VARCHAR)), false FROM own""")
+def rel_number_citations(t):
+    """Every text cites the number of another one twice, in two spellings and the second time with a
+    repeal in every other text, and one that nobody has; numbers are resolved to documents."""
+    id_, cited = F.col("doc_id"), F.floor(F.col("doc_id") / 3)
+    plain = F.regexp_replace("text", r"[\s\S]", "x")  # as long as the text, without numbers of its own
+    body = F.concat(
+        plain, F.format_string(" 依据机关 [%d] %d 号印发", 2000 + cited % 27, cited + 1), plain, F.lit("。" + "y" * 40),
+        F.when(id_ % 2 == 0, "废止").otherwise("参照"), F.format_string("机关〔%d〕%d号。", 2000 + cited % 27, cited + 1),
+        F.format_string("z" * 40 + "见机关〔1999〕%d号", id_ + 1))
+    rows = link.numbers(t.texts.select("doc_id", body.alias("text")), "doc_id", "text", ["机关"])
+    own = t.documents.select(F.format_string("机关〔%d〕%d号", 2000 + id_ % 27, id_ + 1).alias("mark"), F.col("doc_id").alias("dst"))
+    out = rel.references(rows, "doc_id", "mark", own, "dst")
+    return out.select("doc_id", "dst", "mark", "evidence_count", "pos", "repeals")
+
+
+@query("rel_edge_table", "WITH " + D.HITS + "," + FIRST_LINE + """,
+cites AS (SELECT doc_id, item_id, first(snippet ORDER BY pos, snippet) AS evidence FROM mentions GROUP BY ALL),
+chained AS (SELECT title, lag(doc_id) OVER w AS dst, lag(title) OVER w AS before
+            FROM stemmed WINDOW w AS (PARTITION BY lang, stem ORDER BY date, doc_id)),
+gone AS (SELECT DISTINCT doc_id, item_id FROM occurrences WHERE regexp_matches(snippet, '[0-9#%$&]|\n'))
+SELECT 'references' AS rel, count(*) AS n, count(evidence) AS with_evidence, 0.9 AS confidence, 'dictionary' AS source FROM cites
+UNION ALL SELECT 'supersedes', count(*), count(*), 0.7, 'dictionary' FROM gone
+UNION ALL SELECT 'iterates', count(*), 0, 0.8, 'title' FROM chained WHERE dst IS NOT NULL AND levenshtein(title, before) <= 5""")
+def rel_edge_table(t):
+    """Three relations as one table, written by relation and read back."""
+    cites = refs(t, r"[0-9#%$&]|\n")
+    cites = storage.stored(cites, "cites")
+    chains = rel.iterates(titled(t), "doc_id", ["lang", "stem"], "title", "date")
+    found = {"references": cites.withColumnRenamed("doc_id", "src"),
+             "supersedes": rel.supersedes(cites).withColumnRenamed("doc_id", "src"), "iterates": chains}
+    table = rel.edge_table(found, confidence={"references": 0.9, "supersedes": 0.7, "iterates": 0.8},
+                           source={"references": "dictionary", "supersedes": "dictionary", "iterates": "title"})
+    path = storage.work_path(t.spark, "edges")
+    sink.rewrite(table, path, ["rel"])
+    return t.spark.read.schema(table.schema).parquet(path).groupBy("rel", "confidence", "source").agg(
+        F.count(F.lit(1)).alias("n"), F.count("evidence").alias("with_evidence"))
+
+
 @query("rel_linkage_class", """
 SELECT CASE polarity WHEN 'purchase' THEN 'direct' WHEN 'signup' THEN 'refined' WHEN 'click' THEN 'same direction' END AS evidence_class,
        count(*) AS n FROM (SELECT event_type AS polarity FROM events) GROUP BY 1""")

@@ -7,12 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.functions import text
-from docgraph.plans import once, sizes, storage
+from docgraph.plans import once, storage
 
 
 def channel(docs: DataFrame, url: str, channels: DataFrame) -> DataFrame:
     """Issuer and region of a document from the host of its address."""
-    return docs.withColumn("host", text.host(url)).join(sizes.small(channels), "host", "left")
+    return docs.withColumn("host", text.host(url)).join(channels, "host", "left")
 
 
 def issuer_misses(docs: DataFrame, key: str, issuers: Column, aliases: DataFrame,
@@ -25,7 +25,7 @@ def issuer_misses(docs: DataFrame, key: str, issuers: Column, aliases: DataFrame
 
     parts = docs.select(key, F.explode(issuers).alias("name")).select(
         key, text.blank_to_null("name").alias("name")).filter("name is not null")
-    missed = parts.join(sizes.small(aliases.select(F.col("alias").alias("name"))), "name",
+    missed = parts.join(aliases.select(F.col("alias").alias("name")), "name",
                         "left_anti")
     counts = missed.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
     first = rank.topk(missed.distinct(), ["name"], [F.col(key)], samples, "_rank")
@@ -136,6 +136,28 @@ def _positions(body: Column, alias: Column) -> Column:
     return seen["all"]
 
 
+def numbers(docs: DataFrame, key: str, content: str, issuers: list[str] | None = None,
+            mark: str = "mark") -> DataFrame:
+    """Official numbers cited in texts, in the form of ``mentions``: a row per document and number.
+
+    ``mark`` is the number in its normal form; spellings that mean the same number are one row.
+    """
+    body = F.col(content)
+    rows = once.computed(docs.select(key, content), {"_raw": F.array_distinct(
+        F.regexp_extract_all(body, F.lit(text.DOC_NUMBER), F.lit(1)))})
+    rows = rows.select(key, content, F.explode("_raw").alias("alias"))
+    rows = once.computed(rows, {mark: F.get(text.doc_numbers("alias", issuers), F.lit(0)), "_at": _positions(body, F.col("alias"))})
+    width, size = F.length("alias"), F.length(body)
+    hits = rows.filter(F.col(mark).isNotNull()).select(key, mark, F.transform("_at", lambda pos: F.struct(
+        pos.cast("long").alias("pos"), text.snippet_at(body, pos, width).alias("snippet"),
+        text.location(pos, size).alias("location"))).alias("hits"))
+    # The spellings of a number in one text.
+    one = hits.groupBy(key, mark).agg(F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits"))
+    first = F.col("hits")[0]
+    return one.select(key, mark, F.col(mark).alias("alias"), first["pos"].alias("pos"), F.size("hits").cast("long").alias("evidence_count"),
+                      first["snippet"].alias("snippet"), first["location"].alias("location"), "hits")
+
+
 def occurrences(mention_rows: DataFrame, key: str, entity: str) -> DataFrame:
     """One row per occurrence: ``nth`` from 1, position, snippet, location."""
     return mention_rows.select(key, entity, "alias", F.posexplode("hits").alias("_i", "_hit")).select(
@@ -228,7 +250,7 @@ def cascade(comments: DataFrame, key: str,
         hit = match(rest).groupBy(key).agg(F.min("target").alias("target"))
         hit = storage.stored(hit, "stage")  # read by every later stage and by the result
         found.append(hit.withColumn("method", F.lit(method)))
-        rest = rest.join(sizes.small(hit.select(key)), key, "left_anti")
+        rest = rest.join(hit.select(key), key, "left_anti")
     none = rest.select(key, F.lit(None).cast(found[0].schema["target"].dataType).alias("target"),
                        F.lit("none").alias("method"))
     return reduce(DataFrame.unionByName, [*found, none])

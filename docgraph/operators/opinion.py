@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.functions import fixed, text
-from docgraph.plans import sizes
 
 
 def normalize_aspect(stances: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
@@ -14,7 +13,7 @@ def normalize_aspect(stances: DataFrame, synonyms: DataFrame | None = None) -> D
     if synonyms is None:
         return rows.withColumn("aspect_norm", F.col("_key")).drop("_key")
     dim = synonyms.select(F.col("aspect").alias("_aspect"), F.col("canonical").alias("_canonical"))
-    joined = rows.join(sizes.small(dim), rows["_key"] == dim["_aspect"], "left")
+    joined = rows.join(dim, rows["_key"] == dim["_aspect"], "left")
     return joined.withColumn("aspect_norm", F.coalesce("_canonical", "_key")).drop(
         "_key", "_aspect", "_canonical")
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docgraph.functions import fixed
-from docgraph.plans import once, sizes, slices, storage
+from docgraph.plans import once, slices, storage
 
 
 REPEAL = "废止|失效|停止执行"
@@ -126,7 +126,7 @@ def aligns_centroid(vectors: DataFrame, key: str, theme: str, vector: str, thres
     centroid = means.groupBy(theme).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_d", "_m"))), lambda s: s["_m"]).alias("_c"))
     total = lambda arr: F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
-    rows = vectors.join(sizes.small(centroid, 1_000), theme).withColumn(
+    rows = vectors.join(centroid, theme).withColumn(
         "_v", F.transform(vector, lambda x: x.cast("double")))
     dot = total(F.zip_with("_v", "_c", lambda a, b: a * b))
     norm = lambda c: F.sqrt(total(F.transform(c, lambda x: x * x)))
@@ -188,6 +188,34 @@ def derives(docs: DataFrame, sources: DataFrame, key: str, theme: str, date: str
         (F.coalesce("_month", F.lit(0)) - F.coalesce("_own", F.lit(0))).alias("parallel"))
 
 
+#: Columns that edges of every relation share.
+EDGE = ["src", "dst", "rel", "evidence", "confidence", "source", "detail"]
+
+
+def edge_table(parts: dict[str, DataFrame], src: str = "src", dst: str = "dst",
+               confidence: dict[str, float] | None = None, source: dict[str, str] | None = None) -> DataFrame:
+    """The edges of all relations under common columns; ids become texts.
+
+    ``evidence`` is taken from a part that has it, else null; what else a relation has goes to
+    ``detail`` as JSON. ``confidence`` and ``source`` (how the edge was found) are given per relation.
+    Several rows of one edge are one: that with evidence first, then the least. Edges without target
+    are unresolved and belong to the backlog. Write the result with ``sink.rewrite`` by ``rel``.
+    """
+    out = None
+    for rel, df in parts.items():
+        rest = [F.col(f"`{c}`") for c in df.columns if c not in (src, dst, "rel", "evidence")]
+        own = df.filter(F.col(dst).isNotNull() & F.col(src).isNotNull()).select(
+            F.col(src).cast("string").alias("src"), F.col(dst).cast("string").alias("dst"), F.lit(rel).alias("rel"),
+            (F.col("evidence") if "evidence" in df.columns else F.lit(None)).cast("string").alias("evidence"),
+            F.lit((confidence or {}).get(rel)).cast("double").alias("confidence"),
+            F.lit((source or {}).get(rel)).cast("string").alias("source"),
+            (F.to_json(F.struct(*rest)) if rest else F.lit(None)).cast("string").alias("detail"))
+        out = own if out is None else out.unionByName(own)
+    order = F.struct(F.col("evidence").isNull(), "evidence", "detail")
+    best = out.groupBy("src", "dst", "rel").agg(F.min_by(F.struct(*EDGE[3:]), order).alias("_row"))
+    return best.select("src", "dst", "rel", "_row.*")
+
+
 def linkage_class(df: DataFrame, column: str, classes: dict[str, str] | None = None) -> DataFrame:
     """Old link labels to evidence classes; unknown labels become null."""
     pairs = F.create_map(*[F.lit(x) for p in (classes or fixed.LINKAGE_CLASSES).items() for x in p])

@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.functions import scores as S
-from docgraph.plans import sizes
 
 
 def scored(df: DataFrame) -> DataFrame:
@@ -18,7 +17,7 @@ def scored(df: DataFrame) -> DataFrame:
 def issuer_level(df: DataFrame, issuer: str, score: str, dim: DataFrame) -> DataFrame:
     """Records whose issuer level differs from the lookup; ``dim`` has ``issuer`` and ``level``."""
     want = dim.select(F.col("issuer").alias(issuer), F.col("level").alias("expected"))
-    return df.join(sizes.small(want), issuer).filter(F.col(score) != F.col("expected"))
+    return df.join(want, issuer).filter(F.col(score) != F.col("expected"))
 
 
 def gate_audit(df: DataFrame, declared: Column, stored: Column) -> DataFrame:
@@ -45,7 +44,7 @@ def signals(docs: DataFrame, key: str, words: Column, region: Column, rules: Dat
     document: it goes to review. Rule tables are small and broadcast when counted so.
     """
     terms = docs.select(key, region.alias("_region"), F.explode(F.array_distinct(words)).alias("term"))
-    hits = terms.join(sizes.small(rules), "term")
+    hits = terms.join(rules, "term")
     is_weight = lambda w: F.max((F.col("weight") == w).cast("int"))
     local = (F.col("weight") == "medium") & (F.col("region") == F.col("_region"))
     flags = hits.groupBy(key, "business").agg(

@@ -3,19 +3,16 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgraph.plans import sizes, storage
+from docgraph.plans import slices
 
 
-def paged(df: DataFrame, keys: list[str], spread: str, entry: Column, size: int = 1000) -> DataFrame:
-    """Sorted ``entries`` per group and page of about ``size`` entries.
+def paged(df: DataFrame, keys: list[str], order: str, entry: Column, size: int = 1000) -> DataFrame:
+    """Sorted ``entries`` per group and page; the pages of a group follow each other in ``order``.
 
-    Groups of up to ``size`` rows are one page. There are at most rows/size larger ones; these are
-    looked up and their rows dealt to pages by a hash of ``spread``.
+    Every page but a group's last has ``size`` entries. Entries should sort by ``order`` first.
     """
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size)
-    large = storage.stored(large.select(*keys, F.ceil(F.col("_n") / size).alias("_pages")), "large")
-    large = sizes.small(large)
-    digits = F.conv(F.substring(F.md5(F.col(spread).cast("string")), 1, 8), 16, 10).cast("long")
-    page = F.coalesce(F.pmod(digits, F.col("_pages")), F.lit(0)).cast("long")
-    return (df.join(large, keys, "left").withColumn("page", page).groupBy(*keys, "page")
-            .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(entry)).alias("entries")))
+    rows = df.select(*keys, F.col(order).alias("_order"), entry.alias("_entry"))
+    placed = slices.sliced(rows, keys, ["_order", "_entry"], ordinal="_nth")
+    page = F.floor((F.col("_nth") - 1) / size).cast("long").alias("page")
+    return placed.groupBy(*keys, page).agg(
+        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("_entry")).alias("entries"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docgraph.functions import fixed
-from docgraph.operators import (agg, audit, check, cover, dedup, gate, graph, ident, link, lint, norm,
+from docgraph.operators import (agg, audit, backlog, check, cover, dedup, gate, graph, ident, link, lint, norm,
                                 opinion, rank, rel, report, score, theme, version)
 from docgraph.plans import storage
 
@@ -590,3 +590,31 @@ def test_sketches_of_days_unite(spark):
     for g, _, s in rows:
         want[g, s] = want.get((g, s), 0) + (s is not None)
     assert {(r.g, r.s): r.n for r in top.filter("s is not null").collect()} == {k: n for k, n in want.items() if n}
+
+
+def test_backlog_with_kinds_and_evidence(spark):
+    rows = frame(spark, "t string, r string, d int, k string, e string", ("a", "x", 3, "q", "late"), ("a", "x", 1, "p", None),
+                 ("a", "y", 2, "p", "early"), ("a", "y", 4, "q", None), (None, "z", 1, None, None))
+    got = {r.t: (r.first_seen, r.last_seen, r.ref_count, r.sightings, r.linkage_type, r.evidence_sample)
+           for r in backlog.build(rows, "t", "r", "d", "k", "e").collect()}
+    assert got == {"a": (1, 4, 2, 4, "p", "early"), None: (1, 1, 1, 1, None, None)}
+    plain = backlog.build(rows, "t", "r", "d").columns
+    assert plain == ["t", "first_seen", "last_seen", "sightings", "ref_count"]
+
+
+def test_edges_of_all_relations_in_one_table(spark):
+    refs = frame(spark, "src long, dst long, evidence string, pos int", (1, 2, None, 5), (1, 2, "seen", 9), (1, 3, "b", 1), (1, None, "lost", 1))
+    chains = frame(spark, "src string, dst string, distance int", ("1", "2", 0), ("7", "8", 3))
+    table = rel.edge_table({"references": refs, "iterates": chains}, confidence={"references": 0.9}, source={"iterates": "title"})
+    got = {(r.src, r.dst, r.rel): (r.evidence, r.confidence, r.source, r.detail) for r in table.collect()}
+    assert got == {("1", "2", "references"): ("seen", 0.9, None, '{"pos":9}'), ("1", "3", "references"): ("b", 0.9, None, '{"pos":1}'),
+                   ("1", "2", "iterates"): (None, None, "title", '{"distance":0}'), ("7", "8", "iterates"): (None, None, "title", '{"distance":3}')}
+
+
+def test_numbers_in_texts_as_mentions(spark):
+    docs = frame(spark, "id long, text string", (1, "依据部委［2031］7号。" + "z" * 60 + "废止部委〔2031〕第7号和部委〔2030〕 8 号"), (2, None), (3, "无"))
+    hits = link.numbers(docs, "id", "text", ["部委"])
+    got = {(r.id, r.mark): (r.pos, r.evidence_count) for r in hits.collect()}
+    assert got == {(1, "部委〔2031〕7号"): (1, 2), (1, "部委〔2030〕8号"): (87, 1)}
+    refs = rel.references(hits, "id", "mark", frame(spark, "mark string, d long", ("部委〔2031〕7号", 70)), "d")
+    assert [(r.id, r.d) for r in rel.supersedes(refs).filter("resolved").collect()] == [(1, 70)]
