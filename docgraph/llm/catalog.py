@@ -100,10 +100,8 @@ with docs as (
 words as (select doc_id, unnest(ws) as w, unnest(range(len(ws))) as i from docs),
 counts as (select w, count(*) as n from words group by w),
 total as (select sum(n) as n from counts),
-vocab as (select w from counts, total where counts.n * 1048576 >= total.n),
-toks as (select doc_id, i, coalesce(v.w, '') as w from words left join vocab v on words.w = v.w),
-uni as (select w, count(*) as n from toks group by w),
-pairs as (select doc_id, i, w, lag(w) over (partition by doc_id order by i) as p from toks),
+uni as (select w, n from counts),
+pairs as (select doc_id, i, w, lag(w) over (partition by doc_id order by i) as p from words),
 bi as (select p, w, count(*) as n from pairs where p is not null group by p, w),
 scored as (
   select s.doc_id, s.p is not null and b.n < 2 as back,
