@@ -304,6 +304,30 @@ def link_cascade(t):
     }).select("doc_id", "target", "method")
 
 
+@query("link_cascade_fuzzy", """
+WITH named AS (SELECT p_partkey, p_size, p_name || ' ' || p_type AS title FROM part),
+reg AS (SELECT title, min(p_partkey) AS target FROM named WHERE p_partkey % 2 = 0 GROUP BY title),
+ask AS (SELECT * FROM named WHERE p_partkey % 2 = 1),
+exact AS (SELECT a.p_partkey, r.target FROM ask a JOIN reg r ON r.title = a.title),
+titles AS (SELECT DISTINCT title FROM ask WHERE p_partkey NOT IN (SELECT p_partkey FROM exact)),
+near AS (SELECT t.title, r.title AS match, r.target, levenshtein(t.title, r.title) AS d FROM titles t JOIN reg r
+         ON abs(length(t.title) - length(r.title)) <= 3 AND levenshtein(t.title, r.title) <= 3),
+best AS (SELECT title, arg_min(target, (d, match)) AS target FROM near GROUP BY title),
+fuzzy AS (SELECT a.p_partkey, b.target FROM ask a JOIN best b ON b.title = a.title WHERE a.p_partkey NOT IN (SELECT p_partkey FROM exact))
+SELECT a.p_partkey, coalesce(e.target, f.target, CASE WHEN a.p_size > 25 THEN a.p_partkey - 1 END) AS target,
+       CASE WHEN e.target IS NOT NULL THEN 'B1_title' WHEN f.target IS NOT NULL THEN 'B2_fuzzy' WHEN a.p_size > 25 THEN 'B3_verdict' ELSE 'none' END AS method
+FROM ask a LEFT JOIN exact e ON e.p_partkey = a.p_partkey LEFT JOIN fuzzy f ON f.p_partkey = a.p_partkey""")
+def link_cascade_fuzzy(t):
+    """Odd parts against even ones: the same title, then one at most three edits away, then a verdict."""
+    rows = t.part.select("p_partkey", "p_size", F.concat_ws(" ", "p_name", "p_type").alias("title"))
+    known = rows.filter("p_partkey % 2 = 0")
+    return link.cascade(rows.filter("p_partkey % 2 = 1"), "p_partkey", {
+        "B1_title": lambda rest: link.by_title(rest, "p_partkey", "title", known, "p_partkey"),
+        "B2_fuzzy": lambda rest: link.by_title(rest, "p_partkey", "title", known, "p_partkey", 3),
+        "B3_verdict": lambda rest: rest.filter("p_size > 25").select("p_partkey", (F.col("p_partkey") - 1).alias("target")),
+    }).select("p_partkey", "target", "method")
+
+
 @query("cov_zero_entity", "WITH " + D.MENTIONS + """
 SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM mentions)""")
 def cov_zero_entity(t):

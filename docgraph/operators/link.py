@@ -239,6 +239,18 @@ def fuzzy_title(left: DataFrame, right: DataFrame, distance: int = 2) -> DataFra
         "title", "_best.match", "_best.distance")
 
 
+def by_title(rows: DataFrame, key: str, title: str, registry: DataFrame, target: str,
+             distance: int = 0) -> DataFrame:
+    """A stage of the cascade: rows with the registry entry of the same title, or of the closest one
+    within ``distance``; of entries with one title the least ``target``."""
+    known = registry.filter(F.col(title).isNotNull()).groupBy(title).agg(F.min(target).alias("target"))
+    if distance:
+        near = fuzzy_title(rows.select(F.col(title).alias("title")), known.select(F.col(title).alias("title")), distance)
+        known = near.join(known.withColumnRenamed(title, "match"), "match").select(
+            F.col("title").alias(title), "target")
+    return rows.join(known, title).select(key, "target")
+
+
 def cascade(comments: DataFrame, key: str,
             stages: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """Match in stages, cheapest first; a stage sees only what the stages before left over.

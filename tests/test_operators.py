@@ -294,6 +294,16 @@ def test_cascade_takes_the_first_stage(spark):
     assert {tuple(r) for r in out.collect()} == {(1, "a", "number"), (2, "t", "title"), (3, None, "none")}
 
 
+def test_titles_of_the_cascade_exact_then_close(spark):
+    known = frame(spark, "title string, id long", ("harbour fees 2031", 7), ("harbour fees 2031", 4), ("rail fees 2030", 5), (None, 9))
+    asked = frame(spark, "k long, title string", (1, "harbour fees 2031"), (2, "harbour fee 2031"), (3, "rail fees 2031"), (4, "other"),
+                  (5, None), (6, "rail fees 2031"))
+    out = link.cascade(asked, "k", {"exact": lambda r: link.by_title(r, "k", "title", known, "id"),
+                                    "fuzzy": lambda r: link.by_title(r, "k", "title", known, "id", 2)})
+    assert {tuple(r) for r in out.collect()} == {(1, 4, "exact"), (2, 4, "fuzzy"), (3, 5, "fuzzy"), (6, 5, "fuzzy"),
+                                                 (4, None, "none"), (5, None, "none")}
+
+
 # -- relations -----------------------------------------------------------------------------
 
 def test_same_month_is_parallel_and_never_an_origin(spark):
