@@ -484,7 +484,7 @@ def test_distribution_and_buckets(spark):
     df = frame(spark, "t string, c double", ("A", 0.9), ("B", 0.7), ("B", 0.69), (None, None))
     assert sum(r.pct for r in agg.distribution(df, "t").collect()) == pytest.approx(100)
     got = {r.bucket: r.n for r in agg.buckets(df, "c", [("high", 0.85), ("mid", 0.7)], "low").collect()}
-    assert got == {"high": 1, "mid": 1, "low": 1}
+    assert got == {"high": 1, "mid": 1, "low": 1, "(none)": 1}  # a missing value is no low one, and not lost
 
 
 def test_empty_input(spark):
