@@ -29,7 +29,7 @@ UNKNOWN = 10.0
 #: The place of the vocabulary (a parameter of every operator here).
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose distinct parts are encoded together.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 #: Parts of a text: a word with the spaces before it, spaces alone, or a line end.
 PARTS = re.compile(rb" *[^ \n]+| +|\n")
 
