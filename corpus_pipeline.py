@@ -37,13 +37,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Repeated rows are copies of each other; a text without words is nobody's copy.
     """
     rows = storage.stored(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text",
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
         F.monotonically_increasing_id().alias("row")), "rows")
-    groups = jaccard.join(rows, n=5, num=4, den=5, id_col="row").select(
+    groups = jaccard.join(rows.select("row", F.col("doc.text").alias("text")), n=5, num=4, den=5, id_col="row").select(
         F.col("doc_id").alias("row"), "component_id", "class")
     keyed = groups.join(rows.select("row", F.struct(
-        F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"),
-        "row").alias("key")), "row")
+        F.col("doc.doc_id").isNull().alias("last"), F.col("doc.doc_id").alias("doc_id"),
+        F.xxhash64("doc.text").alias("hash"), "row").alias("key")), "row")
     first = keyed.filter("class is not null").groupBy("component_id").agg(
         F.min("key").alias("key")).select("key.row")
     kept = first.unionByName(groups.filter("class is null").select("row"))
