@@ -54,18 +54,15 @@ def graph_mirror_check(t):
     return graph.mirror(views.filter(~lost))
 
 
-STEPS = "WITH RECURSIVE " + D.EDGES.lstrip() + """,
-e AS (SELECT DISTINCT src, dst FROM edges WHERE src <> dst AND rel IN ('iterates', 'supersedes'))"""
-
-
-@query("graph_chain", STEPS + """,
-walk(src, dst, depth) AS (SELECT src, dst, 1 FROM e WHERE src NOT IN (SELECT dst FROM e)
+@query("graph_chain", "WITH RECURSIVE " + D.EDGES.lstrip() + """,
+e AS (SELECT DISTINCT src, dst FROM edges WHERE src <> dst),
+walk(src, dst, depth) AS (SELECT src, dst, 1 FROM e
   UNION SELECT w.src, e.dst, w.depth + 1 FROM walk w JOIN e ON e.src = w.dst WHERE w.src <> e.dst AND w.depth < 64)
 SELECT src, dst, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY src, dst""")
 def graph_chain(t):
-    """The history of every newest version."""
+    """What every document leads to, along relations of all kinds."""
     edges = D.edges(t)
-    return graph.chain(edges, graph.heads(edges))
+    return graph.chain(edges, edges.select("src"), None)
 
 
 @query("graph_reach", "WITH RECURSIVE " + D.EDGES.lstrip() + """,
@@ -79,6 +76,10 @@ def graph_reach(t):
     return graph.chain(D.edges(t), starts, None)
 
 
+STEPS = "WITH RECURSIVE " + D.EDGES.lstrip() + """,
+e AS (SELECT DISTINCT src, dst FROM edges WHERE src <> dst AND rel IN ('iterates', 'supersedes'))"""
+
+
 @query("graph_lineage", STEPS + """,
 up AS (SELECT src, min(dst) AS dst FROM e GROUP BY src),
 walk(node, root, depth) AS (SELECT src, dst, 1 FROM up
