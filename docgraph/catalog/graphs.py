@@ -76,17 +76,13 @@ def graph_reach(t):
     return graph.chain(D.edges(t), starts, None)
 
 
-STEPS = "WITH RECURSIVE " + D.EDGES.lstrip() + """,
-e AS (SELECT DISTINCT src, dst FROM edges WHERE src <> dst AND rel IN ('iterates', 'supersedes'))"""
-
-
-@query("graph_lineage", STEPS + """,
-up AS (SELECT src, min(dst) AS dst FROM e GROUP BY src),
+@query("graph_lineage", "WITH RECURSIVE " + D.EDGES.lstrip() + """,
+up AS (SELECT src, min(dst) AS dst FROM edges WHERE src <> dst GROUP BY src),
 walk(node, root, depth) AS (SELECT src, dst, 1 FROM up
   UNION ALL SELECT w.node, u.dst, w.depth + 1 FROM walk w JOIN up u ON u.src = w.root)
 SELECT node, arg_max(root, depth) AS root, CAST(max(depth) AS BIGINT) AS depth, false AS cyclic FROM walk GROUP BY node""")
 def graph_lineage(t):
-    return graph.lineage(D.edges(t))
+    return graph.lineage(D.edges(t), None)
 
 
 @query("graph_isolated", WITH_EDGES + """

@@ -20,3 +20,14 @@ def test_chain_lists_all_that_every_document_leads_to(spark):
             dst, depth = up.get(dst), depth + 1
     got = {(r.src, r.dst): r.depth for r in QUERIES["graph_chain"](spark, PATH).collect()}
     assert got == want and {src for src, _ in got} == set(up)
+
+
+def test_lineage_follows_every_relation(spark):
+    up, want = targets(spark), {}
+    for node in up:
+        root, depth = up[node], 1
+        while root in up:
+            root, depth = up[root], depth + 1
+        want[node] = root, depth, False
+    got = {r.node: (r.root, r.depth, r.cyclic) for r in QUERIES["graph_lineage"](spark, PATH).collect()}
+    assert got == want
