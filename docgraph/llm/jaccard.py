@@ -8,12 +8,14 @@ rows that hold one fragment of each set, and the partial counts are summed per p
 
 Equal sets are one class from the start. In a group of many near copies the class with the
 fewest unusual n-grams leads: the others are compared with it first. Classes that are still in
-different components after that and share an n-gram that can be their first common one are
-candidates. Sizes and a 128-bit parity signature, from which the symmetric difference is bounded
+different components after that and share an n-gram of their prefixes are cut into more parts, by
+hash, than a linked pair can differ in: linked sets agree in a whole part, so classes with an
+equal part are candidates. Unlike sets seldom agree in one, however common their n-grams are.
+Sizes and a 128-bit parity signature, from which the symmetric difference is bounded
 from below, rule out most of them; a wide signature, as long as the set asks for, rules out most
 of the others. For some rounds every class is compared with its nearest candidate only, which
 joins a dense group without comparing all its pairs; then all candidates that are still in
-different components are compared.
+different components are compared. If there are fewer of them than classes, all are at once.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from docgraph.plans import storage
 FRAGMENTS = 8
 #: N-grams that are put last: how many, and from how many heads on. They only change the order.
 LAST, HEADS = 1 << 17, 16
+#: Bytes of text handled at once.
+CHUNK = 1 << 19
 #: Rounds in which every class is compared with its nearest candidate, before all others are.
 ROUNDS = 2
 #: Partners of one class that are compared with one copy of it.
@@ -39,6 +43,8 @@ CELL = 64
 #: Least bits of the wide signature, by which pairs are tested before their fragments are counted;
 #: larger sets have half as many bits as n-grams or more, a power of two.
 BITS = 1024
+#: Columns of the wide signature folded to 256 bits, by which candidates are tested where they meet.
+FOLDED = tuple(f"w{i}" for i in range(4))
 #: Pairs whose ids and row hashes are broadcast to fetch the texts (24 bytes each); with more, the
 #: texts are shuffled.
 FETCHED = 1 << 20
@@ -62,7 +68,7 @@ def crowded(texts: DataFrame, n: int, num: int, den: int) -> np.ndarray:
 
     def heads(batch):
         found = []
-        for chunk in K.chunks(batch["text"]):
+        for chunk in K.chunks(batch["text"], CHUNK):
             values, offsets = _sets(chunk, n)
             size = _prefix(np.diff(offsets), num, den)
             found.append(values[_runs(offsets[:-1], size)])
@@ -73,8 +79,8 @@ def crowded(texts: DataFrame, n: int, num: int, den: int) -> np.ndarray:
 
     rows = (each(texts.select("text"), heads, "gram long, n long").groupBy("gram")
             .agg(F.sum("n").alias("n")).filter(F.col("n") >= HEADS)
-            .orderBy(F.desc("n"), "gram").limit(LAST).select("gram").toPandas())
-    return np.sort(rows["gram"].to_numpy(np.int64).view(K.U))
+            .orderBy(F.desc("n"), "gram").limit(LAST).select("gram").toArrow())
+    return np.sort(rows["gram"].to_numpy().astype(np.int64).view(K.U))
 
 
 def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -90,7 +96,7 @@ def members(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
     def work(batch):
         last = shared.value
-        for chunk in K.chunks(batch["text"]):
+        for chunk in K.chunks(batch["text"], CHUNK):
             values, offsets = _sets(chunk, n)
             size = np.diff(offsets)
             doc = np.repeat(np.arange(chunk.n), size)
@@ -127,15 +133,21 @@ def members(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
                              "s1 long, prefix array<long>, wide array<long>")
 
 
-def _possible(x: str, y: str, num: int, den: int) -> Column:
+def _possible(x: str, y: str, num: int, den: int, signs: tuple[str, ...] = ("s0", "s1")) -> Column:
     """Whether sizes and signatures leave room for a link of two rows."""
     nx, ny = F.col(f"{x}.n_grams"), F.col(f"{y}.n_grams")
     apart = F.lit(0)
-    for s in ("s0", "s1"):
+    for s in signs:
         apart = apart + F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}")))
     return (den * F.least(nx, ny) >= num * F.greatest(nx, ny)) & _room(nx, ny, apart, num, den)
 
 
+def _folded(wide: Column, i: int) -> Column:
+    """The i-th 64 bits of a wide signature folded to the length of FOLDED."""
+    return F.aggregate(F.filter(wide, lambda _, at: at % len(FOLDED) == i), F.lit(0).cast("long"),
+                       lambda a, b: a.bitwiseXOR(b))
+
+
 def _room(nx: Column, ny: Column, apart: Column, num: int, den: int) -> Column:
     """Whether sets whose symmetric difference has at least ``apart`` elements can be linked.
 
@@ -144,14 +156,78 @@ def _room(nx: Column, ny: Column, apart: Column, num: int, den: int) -> Column:
     return (nx + ny - apart) * (num + den) >= 2 * num * (nx + ny)
 
 
-def _first(num: int, den: int) -> Column:
-    """Whether a common n-gram of x and y can be the first one of a linked pair.
+def _bands(most: int, num: int, den: int) -> np.ndarray:
+    """Least sizes of bands: the sizes of a linked pair lie in one band or in two that follow."""
+    least = [1]
+    while least[-1] <= most:
+        least.append(den * least[-1] // num + 1)
+    return np.array(least + [den * least[-1] // num + 1], np.int64)
+
 
-    Then nothing before it is shared, so the rest of either set bounds the overlap. The first
-    common n-gram of a linked pair passes, so every linked pair is met.
+def part_keys(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sets and keys such that any two linked sets share a key.
+
+    A pair whose smaller set is in a band differs in d n-grams at most, so of m > d parts at least
+    m - d are equal, and one of these is not empty if fewer than m - d parts of either set are.
+    Sets with more empty parts also meet by their prefixes. A set has keys for its own band, and
+    for the one below, in which a smaller partner may be.
+    """
+    size = np.diff(offsets)
+    doc = np.repeat(np.arange(len(size)), size)
+    least = _bands(int(size.max(initial=0)), num, den)
+    apart = (least[1:-1] + least[2:] - 2) * (den - num) // (den + num)
+    parts = apart + 1 + apart // 8
+    own = np.searchsorted(least, size, "right") - 1
+    content = K.mixed(values ^ K.U(3))
+    owners, keys = [], []
+    for band in (own, own - 1):
+        fits = np.flatnonzero((size > 0) & (band >= 0))
+        m = np.zeros(len(size), np.int64)
+        m[fits] = parts[band[fits]]
+        begin = np.concatenate(([0], np.cumsum(m)))
+        inside = np.flatnonzero(m[doc])
+        at = doc[inside]
+        place = begin[at] + ((values[inside] >> K.U(20)) % m[at].astype(K.U)).astype(np.int64)
+        sums = np.zeros(begin[-1], K.U)
+        np.add.at(sums, place, content[inside])
+        filled = np.bincount(place, minlength=begin[-1]) > 0
+        owner = np.repeat(np.arange(len(size)), m)
+        label = (band[owner].astype(K.U) << K.U(32)) + (np.arange(begin[-1]) - begin[owner]).astype(K.U)
+        keys.append(K.mixed(sums ^ K.mixed(label + K.U(1)))[filled])
+        owners.append(owner[filled])
+        empty = m - np.bincount(owner[filled], minlength=len(size))
+        bare = fits[empty[fits] >= m[fits] - apart[band[fits]]]
+        length = _prefix(size[bare], num, den)
+        head = values[_runs(offsets[:-1][bare], length)]
+        owners.append(np.repeat(bare, length))
+        keys.append(K.mixed(head ^ K.mixed((np.repeat(band[bare], length).astype(K.U) << K.U(32)) + K.U(0xFFFFFFFF))))
+    return np.concatenate(owners), np.concatenate(keys)
+
+
+def met(texts: DataFrame, open_: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of classes of different components that can be linked.
+
+    ``open_`` has the classes in question: id, row, component, n_grams and the signature FOLDED.
     """
-    nx, ny = F.col("x.n_grams"), F.col("y.n_grams")
-    return F.least(nx - F.col("x.at"), ny - F.col("y.at")) * (num + den) >= num * (nx + ny)
+    def cut(batch):
+        for chunk in K.chunks(batch["text"], CHUNK):
+            owner, key = part_keys(*_sets(chunk, n), num, den)
+            part = batch.slice(chunk.first, chunk.n)
+            at = pa.array(owner)
+            yield {"key": key.view(np.int64), "id": part["id"].take(at), "component": part["component"].take(at)}
+
+    own = open_.select("row", "id", "component")
+    own = F.broadcast(own) if open_.count() <= FETCHED else own
+    keys = storage.stored(each(_keyed(texts).join(own, "row").select("id", "component", "text"), cut,
+                               "key long, id long, component long"), "parts")
+    mixed = keys.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
+        "lo < hi").select("key")
+    about = open_.select("id", "n_grams", *FOLDED)
+    shared = keys.join(mixed, "key").join(about, "id").select("key", F.struct(
+        "id", "component", "n_grams", *FOLDED).alias("x"))
+    return shared.join(shared.select("key", F.col("x").alias("y")), "key").filter(
+        (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+        & _possible("x", "y", num, den, FOLDED)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def _apart(x: str, y: str) -> Column:
@@ -204,7 +280,7 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, n: int, nu
                     "id long, fragment long, grams array<long>")
 
     def cut(batch):
-        for chunk in K.chunks(batch["text"]):
+        for chunk in K.chunks(batch["text"], CHUNK):
             values, offsets = _sets(chunk, n)
             doc = np.repeat(np.arange(chunk.n), np.diff(offsets))
             fragment = (values >> K.U(64 - FRAGMENTS.bit_length() + 1)).astype(np.int64)
@@ -249,7 +325,7 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
                     *[F.first(c).alias(c) for c in sets])
                .withColumn("id", F.monotonically_increasing_id()))
     classes = storage.stored(classes, "classes")
-    heads = classes.select("id", F.posexplode("prefix").alias("at", "gram"))
+    heads = classes.select("id", F.explode("prefix").alias("gram"))
     grams = heads.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     about = classes.select("id", "n_grams", "s0", "s1",
                            (F.col("n_grams") - F.col("usual")).alias("unusual"))
@@ -265,25 +341,25 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
              .groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")))
     groups = connected(_overlaps(_near(first, classes, num, den), texts, classes, n, num, den))
 
-    # Heads whose classes are in different components stay in play.
-    own = heads.join(groups.toDF("id", "component"), "id", "left").select("gram", F.struct(
-        "id", "at", "n_grams", "s0", "s1", F.coalesce("component", "id").alias("component")).alias("x"))
-    mixed = own.groupBy("gram").agg(F.min("x.component").alias("lo"),
-                                    F.max("x.component").alias("hi")).filter("lo < hi").select("gram")
-    apart = storage.stored(own.join(mixed, "gram"), "apart")
-    met = apart.join(apart.select("gram", F.col("x").alias("y")), "gram").filter(
-        (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-        & _first(num, den) & _possible("x", "y", num, den))
-    open_ = _near(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(),
-                  classes, num, den)
+    # Classes that share a head with a class of another component stay in play.
+    own = heads.select("gram", "id").join(groups.toDF("id", "component"), "id", "left").select(
+        "gram", "id", F.coalesce("component", "id").alias("component"))
+    mixed = own.groupBy("gram").agg(F.min("component").alias("lo"),
+                                    F.max("component").alias("hi")).filter("lo < hi").select("gram")
+    apart = own.join(mixed, "gram").select("id", "component").distinct()
+    signs = [_folded(F.col("wide"), i).alias(c) for i, c in enumerate(FOLDED)]
+    apart = storage.stored(apart.join(classes.select("id", "row", "n_grams", *signs), "id"), "apart")
+    open_ = _near(met(texts, apart, n, num, den), classes, num, den)
+    many = classes.count()
     for turn in range(ROUNDS + 1):
         left, right = groups.toDF("a", "ca"), groups.toDF("b", "cb")
         open_ = storage.stored(open_.join(left, "a", "left").join(right, "b", "left").filter(
             F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb"), "open")
-        if open_.isEmpty():
+        left_over = open_.count()
+        if not left_over:
             break
         chosen = open_
-        if turn < ROUNDS:
+        if turn < ROUNDS and left_over > many:
             ends = open_.select("a", "b", "apart").unionByName(open_.select(
                 F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
             best = ends.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("y")).select(
@@ -292,6 +368,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, id_col: str =
         more = _overlaps(chosen, texts, classes, n, num, den)
         forest = groups.toDF("b", "a").select("a", "b")
         groups = connected(forest.unionByName(more))
+        if chosen is open_:
+            break
         open_ = open_.join(chosen.select("a", "b"), ["a", "b"], "left_anti")
 
     groups = groups.toDF("id", "component")
